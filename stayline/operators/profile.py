@@ -246,9 +246,9 @@ def kde(df: DataFrame, column: str, by: str = "churn", points: int = 1000) -> Da
     at = F.col("g.lo") - 0.5 * F.col("g.span") + F.col("point") * (2.0 * F.col("g.span") / (points - 1))
     z = (at - F.col("x")) / F.col("g.h")
     scale = F.col("g.n") * F.col("g.h") * F.sqrt(F.lit(2.0) * F.pi())
-    return spread.select(by, "point", at.alias("at"), (F.col("c") * F.exp(-0.5 * z * z) / scale).alias("d")).groupBy(
+    return spread.select(by, "point", at.alias("grid_x"), (F.col("c") * F.exp(-0.5 * z * z) / scale).alias("d")).groupBy(
         by, "point"
-    ).agg(F.first("at").alias("at"), F.sum("d").alias("density"))
+    ).agg(F.first("grid_x").alias("grid_x"), F.sum("d").alias("density"))
 
 
 def scatter(df: DataFrame, x: str, y: str, by: str = "churn", key: str = "customer_id",
