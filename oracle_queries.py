@@ -291,6 +291,9 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {
         # sources and cleaning
         "scan_snapshot": f"with {SNAP} select * replace ({r('monthly_charges')} as monthly_charges) from snap",
+        "csv_roundtrip": f"with {SNAP} select * replace ({r('monthly_charges')} as monthly_charges) from snap",
+        "splits_roundtrip": f"""with {FEAT} select case when is_test then 'test' else 'train' end as part, label, count(*) as n
+            from split group by all""",
         "clean_numeric": f"with {NUM} select customer_id, total_charges from num",
         "missing_total_charges": f"with {NUM} select count(*) - count(total_charges) as n_missing from num",
         "fill_median": f"with {CLEAN} select customer_id, {r('total_charges')} as total_charges from clean",

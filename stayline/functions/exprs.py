@@ -111,6 +111,13 @@ def lookup(small: DataFrame, key: str, limit: int = 1000) -> Column:
     return rows.agg(F.when(F.count(F.lit(1)) <= limit, packed).otherwise(guard)).scalar()
 
 
+def few(small: DataFrame, limit: int = 10_000) -> DataFrame:
+    """A table that is small by nature, checked: more than ``limit`` rows fail. Safe to broadcast."""
+    counted = small.limit(limit + 1).withColumn("_rows", F.expr("count(1) over ()"))
+    checked = F.expr(f"if(_rows <= {limit}, true, raise_error('more than {limit} rows to broadcast'))")
+    return F.broadcast(counted.where(checked).drop("_rows"))
+
+
 def one_row(stats: DataFrame) -> Column:
     """The single row of ``stats`` as a struct column (scalar subquery, no cross join)."""
     return stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns])).scalar()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.columns import METRICS, SELECTION_WEIGHTS
-from stayline.functions.exprs import half_even, one_row, ratio, ratio_or_zero
+from stayline.functions.exprs import few, half_even, one_row, ratio, ratio_or_zero
 from stayline.operators.ordered import SINGLE_TASK_ROWS, running_sum
 
 
@@ -70,7 +70,7 @@ def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label", score
     )
     totals = df.groupBy(*by).agg(F.expr(f"count_if({label} = 1) as p"), F.expr(f"count_if({label} = 0) as n"))
     if by:
-        joined = ranked.join(F.broadcast(totals), by)  # one row per model
+        joined = ranked.join(few(totals), by)  # one row per model
     else:
         joined = ranked.withColumn("t", one_row(totals)).select("*", "t.*")
     points = joined.select(
@@ -83,7 +83,7 @@ def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label", score
 
 def model_metrics(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """All five metrics per model as one wide row."""
-    return class_metrics(df, by).join(F.broadcast(roc_auc(df, by)), list(by))  # one row per model
+    return class_metrics(df, by).join(few(roc_auc(df, by)), list(by))  # one row per model
 
 
 def metric_table(df: DataFrame, by: str = "model") -> DataFrame:

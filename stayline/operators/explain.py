@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.columns import KEY, SEED
+from stayline.functions.exprs import few
 from stayline.operators.split import sample_n
 
 # Task functions travel with their code, so executors need no copy of this package.
@@ -153,7 +154,7 @@ def top_features(ranked: DataFrame, n: int) -> DataFrame:
 
 def of_top_features(shap: DataFrame, ranked: DataFrame, n: int) -> DataFrame:
     """Attributions of the n strongest features: 20 for the summary cloud, 3 for dependence."""
-    return shap.join(F.broadcast(top_features(ranked, n).select("feature")), "feature", "left_semi")
+    return shap.join(few(top_features(ranked, n).select("feature")), "feature", "left_semi")
 
 
 def waterfall(shap: DataFrame, key_value: str, base: float, n: int = 15, key: str = KEY) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -82,26 +84,31 @@ def score_all(models: dict[str, Model], df: DataFrame, keep: Sequence[str] = (KE
 
 def cross_validate(
     train: DataFrame, names: Sequence[str], learners: dict[str, Estimator], folds: int = 5, seed: int = SEED,
-    leaky: bool = False,
+    leaky: bool = False, parallelism: int = 5,
 ) -> list[tuple[str, int, float]]:
     """AUC per model and fold as ``(model, fold, auc)``.
 
     Oversampling happens inside each fold, on its training part only, so no synthetic row is built
-    from a row it is judged on. ``leaky=True`` oversamples first and folds afterwards.
+    from a row it is judged on. ``leaky=True`` oversamples first and folds afterwards. Folds are
+    independent jobs and are submitted side by side.
     """
     names = list(names)
+    spark = train.sparkSession
     source = smote(train, names, seed=seed) if leaky else train
     folded = materialise(stratified_folds(source, "label", folds, seed), "folds")
-    results = []
-    for fold in range(folds):
+
+    def run(fold: int) -> list[tuple[str, int, float]]:
         part = folded.where(F.col("fold") != fold)
         fit_on = part if leaky else smote(part, names, seed=seed)
         fit_rows = materialise(assemble(fit_on, names).select("label", "features"), f"fold-{fold}")
         held_out = assemble(folded.where(F.col("fold") == fold), names).select(KEY, "label", "features")
         models, _ = fit_all(fit_rows, learners)
         aucs = roc_auc(score_all(models, held_out), ["model"]).collect()  # one row per model
-        results += [(r["model"], fold, r["roc_auc"]) for r in aucs]
-    return results
+        return [(r["model"], fold, r["roc_auc"]) for r in aucs]
+
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(inheritable_thread_target(spark)(run), range(folds))
+    return [row for part in parts for row in part]
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

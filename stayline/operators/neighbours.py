@@ -5,8 +5,8 @@ cut into blocks of bounded size along the distance to it. Neighbours inside the
 upper bound per point; the triangle inequality then tells which other blocks can hold anything
 nearer, and only those are compared. No candidate is dropped, so the result equals brute force.
 
-Pairs are never materialised inside a block: the task keeps the k best per point. Across blocks an
-equi-join on the block carries the distance test, so only pairs within the bound leave the join.
+Pairs never become rows: a task compares a bounded set of points with one block as arrays and keeps
+the k best, or, across blocks, those within the bound.
 """
 
 from __future__ import annotations
@@ -16,16 +16,19 @@ import sys
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayline.functions.exprs import few
 from stayline.session import materialise
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 4096
+ASKING_ROWS = 8192
 MAX_BLOCKS = 50_000  # keeps the block index on the driver and in every task at a few MB
 PIVOTS = 256
 
@@ -51,11 +54,28 @@ def _nearest_in_block(cols: Sequence[str], k: int):
                 nids.append(ids[best].tolist())
                 d2s.append(row[best].tolist())
                 bounds.append(float(row[best[-1]]) if len(best) == k else float("inf"))
-        return pdf.assign(bound=bounds, nids=nids, d2s=d2s)
+        return pdf.assign(_bound=bounds, nids=nids, d2s=d2s)
 
     return search
 
 
+def _within_bound(cols: Sequence[str], k: int):
+    def compare(asking, block):
+        x, ids = block[list(cols)].to_numpy(), block["pid"].to_numpy()
+        q, bound, pids = asking[list(cols)].to_numpy(), asking["_bound"].to_numpy(), asking["pid"].to_numpy()
+        found = [pd.DataFrame({"pid": [], "nid": [], "d2": []}).astype({"pid": object, "nid": object})]
+        for start in range(0, len(q), 256):
+            d2 = _squared(q[start:start + 256], x)
+            limit = bound[start:start + 256]
+            if len(x) > k:  # more than the k best of a block (and their ties) cannot be needed
+                limit = np.minimum(limit, np.partition(d2, k - 1, axis=1)[:, k - 1])
+            r, c = np.nonzero(d2 <= limit[:, None])
+            found.append(pd.DataFrame({"pid": pids[start + r], "nid": ids[c], "d2": d2[r, c]}))
+        return pd.concat(found, ignore_index=True)
+
+    return compare
+
+
 def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows ``(pid, nid, d2, rank)``: the k nearest other points of every point.
 
@@ -67,7 +87,7 @@ def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BL
     blocks = max(1, min(MAX_BLOCKS, math.ceil(n / block_rows)))
     columns = ["pid", *cols]
     ddl = ", ".join(["pid string", *[f"{c} double" for c in cols]])
-    found = "bound double, nids array<string>, d2s array<double>"
+    found = "_bound double, nids array<string>, d2s array<double>"
     best = Window.partitionBy("pid").orderBy("d2", "nid")
 
     def listed(df: DataFrame) -> DataFrame:
@@ -75,8 +95,8 @@ def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BL
         return df.select("pid", F.inline(pairs))
 
     if blocks == 1:
-        own = points.select(*columns).withColumn("block", F.lit(0)).groupBy("block").applyInPandas(
-            _nearest_in_block(cols, k), f"{ddl}, block int, {found}"
+        own = points.select(*columns).withColumn("_block", F.lit(0)).groupBy("_block").applyInPandas(
+            _nearest_in_block(cols, k), f"{ddl}, _block int, {found}"
         )
         return listed(own).withColumn("rank", F.row_number().over(best))
 
@@ -87,31 +107,31 @@ def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BL
     def assign(batches):
         for pdf in batches:
             d = np.sqrt(_squared(pdf[cols].to_numpy(), pivots))
-            yield pdf.assign(cell=d.argmin(axis=1).astype("int32"), d=d.min(axis=1))
+            yield pdf.assign(_cell=d.argmin(axis=1).astype("int32"), _dist=d.min(axis=1))
 
-    assigned = points.select(*columns).mapInPandas(assign, f"{ddl}, cell int, d double")
+    assigned = points.select(*columns).mapInPandas(assign, f"{ddl}, _cell int, _dist double")
     # Range partitioning on (cell, d) balances by sampling: a crowded cell spans several blocks.
     blocked = materialise(
-        assigned.repartitionByRange(blocks, "cell", "d").withColumn("block", F.spark_partition_id()), "blocks"
+        assigned.repartitionByRange(blocks, "_cell", "_dist").withColumn("_block", F.spark_partition_id()), "blocks"
     )
     searched = materialise(
-        blocked.groupBy("block").applyInPandas(
-            _nearest_in_block(cols, k), f"{ddl}, cell int, d double, block int, {found}"
+        blocked.groupBy("_block").applyInPandas(
+            _nearest_in_block(cols, k), f"{ddl}, _cell int, _dist double, _block int, {found}"
         ),
         "block-neighbours",
     )
     # A contiguous cut of (cell, d) has at most one segment per block and cell border.
-    segments = blocked.groupBy("cell", "block").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).collect()
+    segments = blocked.groupBy("_cell", "_block").agg(F.min("_dist").alias("lo"), F.max("_dist").alias("hi")).collect()
     by_cell: dict[int, np.ndarray] = {}
-    for cell in {s.cell for s in segments}:
-        by_cell[cell] = np.array([[s.block, s.lo, s.hi] for s in segments if s.cell == cell])
+    for cell in {s["_cell"] for s in segments}:
+        by_cell[cell] = np.array([[s["_block"], s.lo, s.hi] for s in segments if s["_cell"] == cell])
     pivot_gap = np.sqrt(_squared(pivots, pivots))
 
     def visits(batches):
         for pdf in batches:
             d = np.sqrt(_squared(pdf[cols].to_numpy(), pivots))
-            reach = np.sqrt(pdf["bound"].to_numpy())[:, None] * (1 + 1e-9) + 1e-9
-            home = pdf["cell"].to_numpy()
+            reach = np.sqrt(pdf["_bound"].to_numpy())[:, None] * (1 + 1e-9) + 1e-9
+            home = pdf["_cell"].to_numpy()
             at_home = d[np.arange(len(d)), home][:, None]
             rows, targets = [], []
             for cell, seg in by_cell.items():
@@ -123,15 +143,21 @@ def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BL
                 targets.append(seg[s, 0].astype("int32"))
             rows, targets = np.concatenate(rows), np.concatenate(targets)
             pairs = np.unique(np.stack([rows, targets], axis=1), axis=0)
-            pairs = pairs[pairs[:, 1] != pdf["block"].to_numpy()[pairs[:, 0]]]
-            out = pdf[[*columns, "bound"]].iloc[pairs[:, 0]]
-            yield out.assign(block=pairs[:, 1].astype("int32"))
-
-    asked = searched.select(*columns, "bound", "cell", "block").mapInPandas(visits, f"{ddl}, bound double, block int")
-    q, o = asked.alias("q"), blocked.select(*columns, "block").alias("o")
-    d2 = " + ".join(f"(q.{c} - o.{c}) * (q.{c} - o.{c})" for c in cols)
-    across = q.join(o, F.expr(f"q.block = o.block and {d2} <= q.bound")).selectExpr(
-        "q.pid as pid", "o.pid as nid", f"{d2} as d2"
+            pairs = pairs[pairs[:, 1] != pdf["_block"].to_numpy()[pairs[:, 0]]]
+            out = pdf[[*columns, "_bound"]].iloc[pairs[:, 0]]
+            yield out.assign(_block=pairs[:, 1].astype("int32"))
+
+    asked = materialise(
+        searched.select(*columns, "_bound", "_cell", "_block").mapInPandas(visits, f"{ddl}, _bound double, _block int"),
+        "visits",
+    )
+    # A block asked by many points is compared in several tasks, each with a bounded share of them.
+    chunks = asked.groupBy("_block").agg(F.expr(f"int(ceil(count(1) / {ASKING_ROWS})) as chunks"))  # <= MAX_BLOCKS rows
+    asking = asked.join(few(chunks, MAX_BLOCKS), "_block").withColumn("_chunk", F.expr("int(pmod(xxhash64(pid), chunks))"))
+    shares = chunks.selectExpr("_block as _of_block", "explode(sequence(0, chunks - 1)) as _chunk")
+    asked_of = blocked.select(*columns, "_block").join(shares, F.col("_block") == F.col("_of_block"))
+    across = asking.groupBy("_block", "_chunk").cogroup(asked_of.groupBy("_of_block", "_chunk")).applyInPandas(
+        _within_bound(cols, k), "pid string, nid string, d2 double"
     )
     merged = listed(searched).unionByName(across).withColumn("rank", F.row_number().over(best))
     return merged.where(F.col("rank") <= k)

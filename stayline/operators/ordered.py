@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.functions.exprs import hash_key
+from stayline.functions.exprs import few, hash_key
 
 # Up to this many rows the built-in exact operators hold all state in one task without strain.
 SINGLE_TASK_ROWS = 2_000_000
@@ -79,7 +79,7 @@ def _bracketed_quantiles(df, cols, probs, by):
     ]
     # One row per group, column and quantile: as few as the groups themselves.
     brackets = sketch.select(*keys, "n", F.explode(F.array(*bracket)).alias("b")).select(*keys, "n", "b.*")
-    aimed = long.join(F.broadcast(brackets), keys)
+    aimed = long.join(few(brackets), keys)
     slot = [*keys, "prob"]
     below = aimed.groupBy(*slot).agg(
         F.first("n").alias("n"), F.count_if(F.col("value") < F.col("lo")).alias("below")
@@ -89,7 +89,7 @@ def _bracketed_quantiles(df, cols, probs, by):
         .groupBy(*slot, "value").agg(F.count(F.lit(1)).alias("c"))
     )
     order = Window.partitionBy(*slot).orderBy("value")
-    ranked = inside.withColumn("upto", F.sum("c").over(order)).join(F.broadcast(below), slot)
+    ranked = inside.withColumn("upto", F.sum("c").over(order)).join(few(below), slot)
     position = (F.col("n") - 1) * F.col("prob")
     reached = F.col("below") + F.col("upto")
     found = ranked.groupBy(*slot).agg(
@@ -130,7 +130,7 @@ def rank_cuts(
         .select(by, "bucket", "slot", (F.col("rank") - F.col("upto") + F.col("n")).alias("nth"))
     )
     # ``located`` has one row per class and slot.
-    near = rows.join(F.broadcast(located), [by, "bucket"])
+    near = rows.join(few(located), [by, "bucket"])
     place = F.row_number().over(Window.partitionBy(by, "slot").orderBy("h", "k"))
     return near.withColumn("place", place).where("place = nth").select(by, "slot", F.struct("h", "k").alias("cut"))
 

@@ -11,7 +11,7 @@ from stayline.columns import (
     BINARY, BINARY_CODES, CATEGORICAL, CLASSES, CORRELATED, NUMERIC, TENURE_EDGES, TENURE_LABELS,
 )
 from stayline.functions.exprs import (
-    band_index, band_label, half_even, hash_key, lookup, one_row, ratio, recode,
+    band_index, band_label, few, half_even, hash_key, lookup, one_row, ratio, recode,
 )
 from stayline.operators.ordered import exact_quantiles
 
@@ -64,7 +64,7 @@ def describe(df: DataFrame, cols: Sequence[str] = NUMERIC, digits: int | None =
     quartiles = exact_quantiles(df, cols, QUARTILES).groupBy("feature").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{int(p * 100)}") for p in QUARTILES
     ])
-    joined = moments.join(F.broadcast(quartiles), "feature")  # one row per listed column
+    joined = moments.join(few(quartiles), "feature")  # one row per listed column
     return joined.select("feature", "n", *[
         half_even(F.col(c), digits).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")
     ])
@@ -76,7 +76,8 @@ def mean_by(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 
 # --- rates -------------------------------------------------------------------------------------
 
-RATE = F.avg(F.col("label") * F.lit(100.0))
+def _rate() -> Column:
+    return F.expr("avg(label * 100.0D)")
 
 
 def churn_rates(df: DataFrame, cols: Sequence[str] = CATEGORICAL, digits: int | None = 1) -> DataFrame:
@@ -87,12 +88,12 @@ def churn_rates(df: DataFrame, cols: Sequence[str] = CATEGORICAL, digits: int |
     long = df.selectExpr("label", *[f"string({c}) as {c}" for c in cols]).unpivot(
         ["label"], list(cols), "feature", "level"
     )
-    rates = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"), RATE.alias("rate"))
+    rates = long.groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"), _rate().alias("rate"))
     return rates.select("feature", "level", "n", half_even(F.col("rate"), digits).alias("rate"))
 
 
 def churn_rate_by(df: DataFrame, column: str, sort: bool = False) -> DataFrame:
-    rates = df.groupBy(column).agg(RATE.alias("rate"))
+    rates = df.groupBy(column).agg(_rate().alias("rate"))
     return rates.orderBy("rate", column) if sort else rates
 
 
@@ -116,7 +117,7 @@ def contract_profile(df: DataFrame, column: str = "contract") -> DataFrame:
         F.avg("label").alias("churn_rate"),
         F.count("label").alias("n"),
         F.avg("monthly_charges").alias("avg_monthly"),
-        RATE.alias("churn_pct"),
+        _rate().alias("churn_pct"),
     )
 
 
@@ -128,7 +129,7 @@ def tenure_bands(df: DataFrame, edges: Sequence[float] = tuple(TENURE_EDGES),
         band_label(F.col("tenure"), edges, labels).alias("band"), "label",
     )
     return banded.where(F.col("band_ord").isNotNull()).groupBy("band_ord", "band").agg(
-        F.count(F.lit(1)).alias("n"), RATE.alias("rate")
+        F.count(F.lit(1)).alias("n"), _rate().alias("rate")
     )
 
 
@@ -140,6 +141,11 @@ def numeric_frame(df: DataFrame) -> DataFrame:
     return df.select(*coded)
 
 
+def _corr(a: str, b: str) -> str:
+    """SQL of a pairwise complete correlation; a constant side gives null, where ``corr`` would fail."""
+    return f"try_divide(regr_sxy({a}, {b}), sqrt(regr_sxx({a}, {b}) * regr_syy({a}, {b})))"
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str] = tuple(CORRELATED), digits: int | None = 2) -> DataFrame:
     """Pearson matrix as rows (x, y, corr), pairwise complete, in one pass.
 
@@ -150,7 +156,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] = tuple(CORRELATED), digits:
     paired = df.selectExpr(*[f"double({c}) as {c}" for c in cols]).selectExpr(
         *cols, f"stack({len(cols)}, {partners}) as (y, yv)"
     )
-    wide = paired.groupBy("y").agg(*[F.expr(f"corr({c}, yv) as {c}") for c in cols])
+    wide = paired.groupBy("y").agg(*[F.expr(f"{_corr(c, 'yv')} as {c}") for c in cols])
     long = wide.unpivot(["y"], list(cols), "x", "corr")
     # A column agrees with itself exactly, unless it is constant.
     exact = F.when((F.col("x") == F.col("y")) & F.col("corr").isNotNull(), F.lit(1.0)).otherwise(F.col("corr"))
@@ -161,7 +167,7 @@ def corr_with_target(df: DataFrame, target: str = "label", cols: Sequence[str] =
                      digits: int | None = 2) -> DataFrame:
     """Correlation of every column with the target, largest first."""
     wide = df.agg(*[
-        (F.when(F.stddev_pop(c) > 0, F.lit(1.0)) if c == target else F.corr(c, target)).alias(c) for c in cols
+        F.expr(f"{f'if(stddev_pop({c}) > 0, 1.0D, null)' if c == target else _corr(c, target)} as {c}") for c in cols
     ])
     long = wide.unpivot([], list(cols), "feature", "corr")
     return long.select("feature", half_even(F.col("corr"), digits).alias("corr")).orderBy(F.desc("corr"), "feature")
@@ -201,7 +207,7 @@ def histogram(df: DataFrame, column: str, by: str = "churn", bins: int = 30, den
     index = F.least(F.floor(F.coalesce(F.try_divide(F.col("x") - group["lo"], width), F.lit(0.0))), F.lit(bins - 1))
     counts = data.select(by, index.cast("int").alias("bin")).groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = stats.select(by, "lo", "hi", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    full = grid.join(F.broadcast(counts), [by, "bin"], "left")  # at most groups x bins rows
+    full = grid.join(few(counts, 100_000), [by, "bin"], "left")  # at most groups x bins rows
     step = (F.col("hi") - F.col("lo")) / bins
     n = F.coalesce(F.col("n"), F.lit(0))
     height = F.try_divide(n.cast("double"), F.col("total") * step) if density else n.cast("double")
