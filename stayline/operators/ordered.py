@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from stayline.functions.exprs import few, hash_key
 
 # Up to this many rows the built-in exact operators hold all state in one task without strain.
-SINGLE_TASK_ROWS = 2_000_000
-SKETCH_ACCURACY = 100_000
+SINGLE_TASK_ROWS = 500_000
+SKETCH_ACCURACY = 20_000
 HASH_PREFIX = 4  # hex digits, 65,536 buckets
 
 
@@ -32,7 +32,7 @@ def exact_quantiles(
 
     The built-in ``percentile`` keeps every distinct value of a group in one task, so it is used
     only after the row count was checked. Beyond that the ranks are found in two light steps: a
-    mergeable sketch brackets each quantile within a few 1e-5 of the rows, then only the rows inside
+    mergeable sketch brackets each quantile within a few 1e-4 of the rows, then only the rows inside
     the brackets are counted by value and ordered. The answer is the same.
     """
     by = list(by)

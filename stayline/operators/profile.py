@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,36 +142,58 @@ def numeric_frame(df: DataFrame) -> DataFrame:
     return df.select(*coded)
 
 
-def _corr(a: str, b: str) -> str:
-    """SQL of a pairwise complete correlation; a constant side gives null, where ``corr`` would fail."""
-    return f"try_divide(regr_sxy({a}, {b}), sqrt(regr_sxx({a}, {b}) * regr_syy({a}, {b})))"
+def _correlations(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson correlation of the listed pairs as rows (x, y, corr), pairwise complete.
 
-
-def corr_matrix(df: DataFrame, cols: Sequence[str] = tuple(CORRELATED), digits: int | None = 2) -> DataFrame:
-    """Pearson matrix as rows (x, y, corr), pairwise complete, in one pass.
-
-    Each row is paired with its own columns one by one; a task keeps one partial state per column.
-    One aggregate per pair would outgrow generated code.
+    Two passes of plain sums, which stay in compiled code however many pairs there are: the means,
+    then sums of centred values and products per pattern of nulls. A pair adds up the patterns in
+    which both sides are present. Centring keeps the sums accurate; a constant side gives null.
     """
-    partners = ", ".join(f"'{c}', {c}" for c in cols)
-    paired = df.selectExpr(*[f"double({c}) as {c}" for c in cols]).selectExpr(
-        *cols, f"stack({len(cols)}, {partners}) as (y, yv)"
+    v = {c: f"c{i}" for i, c in enumerate(cols)}
+    numbers = df.selectExpr(*[f"double({c}) as {n}" for c, n in v.items()])
+    means = one_row(numbers.agg(*[F.expr(f"avg({n}) as {n}") for n in v.values()]))
+    absent = " + ".join(f"if({n} is null, {1 << i}L, 0L)" for i, n in enumerate(v.values()))
+    centred = numbers.withColumn("m", means).selectExpr(
+        f"{absent} as absent", *[f"coalesce({n} - m.{n}, 0D) as {n}" for n in v.values()]
+    )
+    products = sorted({(v[a], v[b]) for a, b in pairs} | {(n, n) for n in v.values()})
+    sums = centred.groupBy("absent").agg(
+        F.expr("count(1) as n"), *[F.expr(f"sum({n}) as s_{n}") for n in v.values()],
+        *[F.expr(f"sum({a} * {b}) as p_{a}_{b}") for a, b in products],
+    )
+    place = {n: 1 << i for i, n in enumerate(v.values())}
+    entries = ", ".join(
+        f"'{x}', '{y}', {place[v[x]] | place[v[y]]}L, s_{v[x]}, s_{v[y]}, p_{v[x]}_{v[x]}, p_{v[y]}_{v[y]}, p_{v[x]}_{v[y]}"
+        for x, y in pairs
+    )
+    patterns = sums.selectExpr(
+        "absent", "n", f"stack({len(pairs)}, {entries}) as (x, y, needed, sx, sy, sxx, syy, sxy)"
+    ).where("absent & needed = 0")
+    total = patterns.groupBy("x", "y").agg(*[F.expr(f"sum({c}) as {c}") for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    spread = total.selectExpr(
+        "x", "y", "sxx", "syy", "sxx - sx * sx / n as vx", "syy - sy * sy / n as vy", "sxy - sx * sy / n as cov"
     )
-    wide = paired.groupBy("y").agg(*[F.expr(f"{_corr(c, 'yv')} as {c}") for c in cols])
-    long = wide.unpivot(["y"], list(cols), "x", "corr")
-    # A column agrees with itself exactly, unless it is constant.
-    exact = F.when((F.col("x") == F.col("y")) & F.col("corr").isNotNull(), F.lit(1.0)).otherwise(F.col("corr"))
-    return long.select("x", "y", half_even(exact, digits).alias("corr"))
+    # What remains of a constant column after centring is rounding noise.
+    value = "if(x = y, 1D, cov / sqrt(vx * vy))"
+    return spread.selectExpr("x", "y", f"if(vx > 1e-12D * sxx and vy > 1e-12D * syy, {value}, null) as corr")
+
+
+def corr_matrix(df: DataFrame, cols: Sequence[str] = tuple(CORRELATED), digits: int | None = 2) -> DataFrame:
+    """Pearson matrix as rows (x, y, corr)."""
+    half = _correlations(df, cols, list(combinations_with_replacement(cols, 2)))
+    cell = "named_struct('x', {0}, 'y', {1}, 'corr', corr)"
+    one, other = cell.format("x", "y"), cell.format("y", "x")
+    mirrored = half.selectExpr(f"inline(if(x = y, array({one}), array({one}, {other})))")
+    return mirrored.select("x", "y", half_even(F.col("corr"), digits).alias("corr"))
 
 
 def corr_with_target(df: DataFrame, target: str = "label", cols: Sequence[str] = tuple(CORRELATED),
                      digits: int | None = 2) -> DataFrame:
     """Correlation of every column with the target, largest first."""
-    wide = df.agg(*[
-        F.expr(f"{f'if(stddev_pop({c}) > 0, 1.0D, null)' if c == target else _corr(c, target)} as {c}") for c in cols
-    ])
-    long = wide.unpivot([], list(cols), "feature", "corr")
-    return long.select("feature", half_even(F.col("corr"), digits).alias("corr")).orderBy(F.desc("corr"), "feature")
+    rows = _correlations(df, cols, [(c, target) for c in cols])
+    return rows.select(F.col("x").alias("feature"), half_even(F.col("corr"), digits).alias("corr")).orderBy(
+        F.desc("corr"), "feature"
+    )
 
 
 def association_rank(df: DataFrame, categorical: Sequence[str] = CATEGORICAL,
