@@ -1,9 +1,9 @@
 """Exact k nearest neighbours among the rows of one table.
 
-Published idea (Voronoi partitioning for kNN joins): points are grouped by their nearest pivot and
-cut into blocks of bounded size along the distance to it. Neighbours inside the own block give an
-upper bound per point; the triangle inequality then tells which other blocks can hold anything
-nearer, and only those are compared. No candidate is dropped, so the result equals brute force.
+Points are range partitioned into blocks of bounded size, along an ordering that keeps the coarse
+columns (indicators) constant within a block. Neighbours inside the own block give an upper bound
+per point; the bounding boxes of the other blocks tell which of them can hold anything nearer, and
+only those are compared. No candidate is dropped, so the result equals brute force.
 
 Pairs never become rows: a task compares a bounded set of points with one block as arrays and keeps
 the k best, or, across blocks, those within the bound.
@@ -29,59 +29,101 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
 ASKING_ROWS = 8192
-MAX_BLOCKS = 50_000  # keeps the block index on the driver and in every task at a few MB
-PIVOTS = 256
+MAX_BLOCKS = 20_000  # keeps the boxes of all blocks at some ten MB in the driver and in every task
+COARSE_VALUES = 16
 
 
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances, summed feature by feature in the order the JVM expression uses."""
-    out = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        out += (a[:, i, None] - b[None, :, i]) ** 2
-    return out
+def _near_pairs(q: np.ndarray, x: np.ndarray, k: int, limit: np.ndarray, own: int | None = None):
+    """Positions and squared distances of pairs that can be among the k best of a row of ``q``.
+
+    The expanded product form finds them fast but rounds; with a margin for that rounding it only
+    preselects, and the distances returned are sums of squared differences. Ties are kept. With
+    ``own``, row i of ``q`` is row ``own + i`` of ``x`` and not its own neighbour.
+    """
+    qq, xx = (q * q).sum(axis=1), (x * x).sum(axis=1)
+    rough = qq[:, None] + xx - 2.0 * (q @ x.T)
+    margin = 1e-10 * (1.0 + qq.max() + xx.max())
+    if own is not None:
+        rough[np.arange(len(q)), np.arange(own, own + len(q))] = np.inf
+    if len(x) > k:
+        limit = np.minimum(limit, np.partition(rough, k - 1, axis=1)[:, k - 1] + margin)
+    r, c = np.nonzero(rough <= (limit + margin)[:, None])
+    kept = np.isfinite(rough[r, c])
+    r, c = r[kept], c[kept]
+    d2 = np.zeros(len(r))
+    for i in range(q.shape[1]):
+        d2 += (q[r, i] - x[c, i]) ** 2
+    return r, c, d2
 
 
 def _nearest_in_block(cols: Sequence[str], k: int):
     def search(pdf):
         pdf = pdf.sort_values("pid", ignore_index=True)
         x, ids = pdf[list(cols)].to_numpy(), pdf["pid"].to_numpy()
-        nids, d2s, bounds = [], [], []
+        size = min(k, len(pdf) - 1)
+        nids, d2s = [], []
         for start in range(0, len(pdf), 256):
-            d2 = _squared(x[start:start + 256], x)
-            d2[np.arange(len(d2)), np.arange(start, start + len(d2))] = np.inf
-            order = np.argsort(d2, axis=1, kind="stable")[:, :min(k, len(pdf) - 1)]
-            for row, best in zip(d2, order):
-                nids.append(ids[best].tolist())
-                d2s.append(row[best].tolist())
-                bounds.append(float(row[best[-1]]) if len(best) == k else float("inf"))
-        return pdf.assign(_bound=bounds, nids=nids, d2s=d2s)
+            q = x[start:start + 256]
+            r, c, d2 = _near_pairs(q, x, k, np.full(len(q), np.inf), start)
+            order = np.lexsort((c, d2, r))
+            r, c, d2 = r[order], c[order], d2[order]
+            best = (np.searchsorted(r, np.arange(len(q)))[:, None] + np.arange(size)).ravel()
+            nids += list(ids[c[best]].reshape(len(q), size))
+            d2s += list(d2[best].reshape(len(q), size))
+        bound = [d[-1] if size == k else np.inf for d in d2s]
+        return pdf.assign(_bound=np.array(bound, dtype=float), nids=nids, d2s=d2s)
 
     return search
 
 
+def _blocks_within_bound(cols: Sequence[str], boxes: np.ndarray):
+    ids, low, high = boxes[:, 0].astype("int32"), boxes[:, 1:len(cols) + 1], boxes[:, len(cols) + 1:]
+    step = max(1, 2_000_000 // len(boxes))
+
+    def visits(batches):
+        for pdf in batches:
+            x, own, bound = pdf[list(cols)].to_numpy(), pdf["_block"].to_numpy(), pdf["_bound"].to_numpy()
+            for start in range(0, len(x), step):
+                q = x[start:start + step]
+                gap2 = np.zeros((len(q), len(boxes)))
+                for i in range(len(cols)):
+                    v = q[:, i, None]
+                    gap2 += np.maximum(np.maximum(low[:, i] - v, v - high[:, i]), 0.0) ** 2
+                # Rounding must not hide a block that just touches the bound.
+                near = gap2 <= bound[start:start + step, None] * (1 + 1e-9) + 1e-18
+                r, b = np.nonzero(near & (ids != own[start:start + step, None]))
+                yield pdf[["pid", *cols, "_bound"]].iloc[start + r].assign(_block=ids[b])
+
+    return visits
+
+
 def _within_bound(cols: Sequence[str], k: int):
     def compare(asking, block):
         x, ids = block[list(cols)].to_numpy(), block["pid"].to_numpy()
         q, bound, pids = asking[list(cols)].to_numpy(), asking["_bound"].to_numpy(), asking["pid"].to_numpy()
         found = [pd.DataFrame({"pid": [], "nid": [], "d2": []}).astype({"pid": object, "nid": object})]
         for start in range(0, len(q), 256):
-            d2 = _squared(q[start:start + 256], x)
             limit = bound[start:start + 256]
-            if len(x) > k:  # more than the k best of a block (and their ties) cannot be needed
-                limit = np.minimum(limit, np.partition(d2, k - 1, axis=1)[:, k - 1])
-            r, c = np.nonzero(d2 <= limit[:, None])
-            found.append(pd.DataFrame({"pid": pids[start + r], "nid": ids[c], "d2": d2[r, c]}))
+            r, c, d2 = _near_pairs(q[start:start + 256], x, k, limit)
+            r, c, d2 = (v[d2 <= limit[r]] for v in (r, c, d2))
+            found.append(pd.DataFrame({"pid": pids[start + r], "nid": ids[c], "d2": d2}))
         return pd.concat(found, ignore_index=True)
 
     return compare
 
 
+def _coarse_first(points: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Columns with few values first, and the more varied first among their kind."""
+    stats = points.agg(*[F.expr(f"approx_count_distinct({c}) as n_{c}") for c in cols],
+                       *[F.expr(f"var_pop({c}) as v_{c}") for c in cols]).first()
+    return sorted(cols, key=lambda c: (stats[f"n_{c}"] > COARSE_VALUES, -stats[f"v_{c}"]))
+
+
 def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows ``(pid, nid, d2, rank)``: the k nearest other points of every point.
 
     ``points`` holds ``pid`` (unique text) and the double columns ``cols``.
     """
-    spark = points.sparkSession
     cols = list(cols)
     n = points.count()
     blocks = max(1, min(MAX_BLOCKS, math.ceil(n / block_rows)))
@@ -100,55 +142,21 @@ def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BL
         )
         return listed(own).withColumn("rank", F.row_number().over(best))
 
-    # ``pid`` is a digest, so the first ones are a uniform sample of fixed size.
-    sample = points.select(*columns).orderBy("pid").limit(PIVOTS).collect()
-    pivots = np.array([[r[c] for c in cols] for r in sample])
-
-    def assign(batches):
-        for pdf in batches:
-            d = np.sqrt(_squared(pdf[cols].to_numpy(), pivots))
-            yield pdf.assign(_cell=d.argmin(axis=1).astype("int32"), _dist=d.min(axis=1))
-
-    assigned = points.select(*columns).mapInPandas(assign, f"{ddl}, _cell int, _dist double")
-    # Range partitioning on (cell, d) balances by sampling: a crowded cell spans several blocks.
+    order = _coarse_first(points, cols)
+    # Range partitioning balances by sampling: a crowded spot is spread over several blocks.
     blocked = materialise(
-        assigned.repartitionByRange(blocks, "_cell", "_dist").withColumn("_block", F.spark_partition_id()), "blocks"
+        points.select(*columns).repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id()), "blocks"
     )
     searched = materialise(
-        blocked.groupBy("_block").applyInPandas(
-            _nearest_in_block(cols, k), f"{ddl}, _cell int, _dist double, _block int, {found}"
-        ),
+        blocked.groupBy("_block").applyInPandas(_nearest_in_block(cols, k), f"{ddl}, _block int, {found}"),
         "block-neighbours",
     )
-    # A contiguous cut of (cell, d) has at most one segment per block and cell border.
-    segments = blocked.groupBy("_cell", "_block").agg(F.min("_dist").alias("lo"), F.max("_dist").alias("hi")).collect()
-    by_cell: dict[int, np.ndarray] = {}
-    for cell in {s["_cell"] for s in segments}:
-        by_cell[cell] = np.array([[s["_block"], s.lo, s.hi] for s in segments if s["_cell"] == cell])
-    pivot_gap = np.sqrt(_squared(pivots, pivots))
-
-    def visits(batches):
-        for pdf in batches:
-            d = np.sqrt(_squared(pdf[cols].to_numpy(), pivots))
-            reach = np.sqrt(pdf["_bound"].to_numpy())[:, None] * (1 + 1e-9) + 1e-9
-            home = pdf["_cell"].to_numpy()
-            at_home = d[np.arange(len(d)), home][:, None]
-            rows, targets = [], []
-            for cell, seg in by_cell.items():
-                gap = pivot_gap[home, cell][:, None]
-                plane = (d[:, [cell]] ** 2 - at_home**2) / np.where(gap > 0, 2 * gap, np.inf)
-                near = (d[:, [cell]] >= seg[:, 1] - reach) & (d[:, [cell]] <= seg[:, 2] + reach) & (plane <= reach)
-                r, s = np.nonzero(near)
-                rows.append(r)
-                targets.append(seg[s, 0].astype("int32"))
-            rows, targets = np.concatenate(rows), np.concatenate(targets)
-            pairs = np.unique(np.stack([rows, targets], axis=1), axis=0)
-            pairs = pairs[pairs[:, 1] != pdf["_block"].to_numpy()[pairs[:, 0]]]
-            out = pdf[[*columns, "_bound"]].iloc[pairs[:, 0]]
-            yield out.assign(_block=pairs[:, 1].astype("int32"))
-
+    extent = [F.expr(f"{f}({c}) as {f}_{c}") for f in ("min", "max") for c in cols]
+    boxes = np.array(blocked.groupBy("_block").agg(*extent).collect(), dtype=float)  # at most MAX_BLOCKS rows
     asked = materialise(
-        searched.select(*columns, "_bound", "_cell", "_block").mapInPandas(visits, f"{ddl}, _bound double, _block int"),
+        searched.select(*columns, "_bound", "_block").mapInPandas(
+            _blocks_within_bound(cols, boxes), f"{ddl}, _bound double, _block int"
+        ),
         "visits",
     )
     # A block asked by many points is compared in several tasks, each with a bounded share of them.
