@@ -20,7 +20,7 @@ from stayline.operators.split import sample_n
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_NODES = 4_000_000
+MAX_NODES = 1_000_000  # 200 trees of depth 10 have at most 409,400
 
 
 def forest_nodes(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
@@ -23,6 +24,7 @@ from stayline.session import materialise
 LOGISTIC, FOREST, BOOSTED, BOOSTED_NARROW = (
     "Logistic Regression", "Random Forest", "Gradient Boosting", "Gradient Boosting (31 leaves)",
 )
+ROWS_PER_TASK = 20_000
 MODEL_ORDER = [LOGISTIC, FOREST, BOOSTED, BOOSTED_NARROW]
 
 
@@ -55,6 +57,17 @@ def estimators(
     }
 
 
+def fit_table(df: DataFrame, names: Sequence[str], name: str = "fit-rows") -> tuple[DataFrame, int]:
+    """Label and feature vector as a table cut for training, and its row count.
+
+    Learners pass over it many times, so tasks too small to be worth starting are merged; large
+    tables keep the partitions they have.
+    """
+    n = df.count()
+    rows = assemble(df, names).select("label", "features").coalesce(max(1, math.ceil(n / ROWS_PER_TASK)))
+    return materialise(rows, name), n
+
+
 def fit_all(train: DataFrame, learners: dict[str, Estimator]) -> tuple[dict[str, Model], dict[str, float]]:
     """Fit every learner on the assembled rows; returns the models and their wall time."""
     models, seconds = {}, {}
@@ -100,7 +113,7 @@ def cross_validate(
     def run(fold: int) -> list[tuple[str, int, float]]:
         part = folded.where(F.col("fold") != fold)
         fit_on = part if leaky else smote(part, names, seed=seed)
-        fit_rows = materialise(assemble(fit_on, names).select("label", "features"), f"fold-{fold}")
+        fit_rows, _ = fit_table(materialise(fit_on, f"fold-{fold}"), names)
         held_out = assemble(folded.where(F.col("fold") == fold), names).select(KEY, "label", "features")
         models, _ = fit_all(fit_rows, learners)
         aucs = roc_auc(score_all(models, held_out), ["model"]).collect()  # one row per model

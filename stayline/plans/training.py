@@ -72,8 +72,8 @@ class Pipeline:
 
     @cached_property
     def fitted(self) -> tuple[dict[str, Model], dict[str, float]]:
-        rows = materialise(assemble(self.balanced, self.spec.names).select("label", "features"), "fit-rows")
-        return models.fit_all(rows, models.estimators(rows.count(), **self.settings))
+        rows, n = models.fit_table(self.balanced, self.spec.names)
+        return models.fit_all(rows, models.estimators(n, **self.settings))
 
     @cached_property
     def scored(self) -> DataFrame:
