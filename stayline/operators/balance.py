@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.columns import KEY, SEED
-from stayline.functions.exprs import hash_int, hash_unit
+from stayline.functions.exprs import few, hash_int, hash_unit
 from stayline.operators.neighbours import BLOCK_ROWS, nearest
 from stayline.operators.ordered import cuts_by_class, rank_cuts, shuffle_position
 from stayline.session import materialise
 
+HOT_POINTS = 1000
+
 
 def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
@@ -90,10 +92,16 @@ def smote(
     draws = draws.withColumn("digest", digest).withColumn("pick", hash_int(F.col("digest"), 1) % k).withColumn(
         "u", hash_unit(F.col("digest"), 9)
     )
-    chosen = draws.join(places, "pid").where((F.col("pick") >= F.col("since")) & (F.col("pick") < F.col("upto")))
+    # Points with a mass of copies, fewer than HOT_POINTS of them. Their nearest neighbours are their
+    # own copies, so their draws repeat the base row and skip the joins they would weigh down.
+    hot = few(points.where(F.col("copies") > max(k, n_min / HOT_POINTS)).select("pid"), HOT_POINTS)
+    chosen = draws.join(hot, "pid", "left_anti").join(places, "pid").where(
+        (F.col("pick") >= F.col("since")) & (F.col("pick") < F.col("upto"))
+    )
     other = points.selectExpr("pid as nid", *[f"{c} as n{c}" for c in f])
+    head = [f"concat_ws('|', 'synthetic', base_key, string(draw)) as {key}", f"cls as {label}", "base_key"]
     made = chosen.join(other, "nid").selectExpr(
-        f"concat_ws('|', 'synthetic', base_key, string(draw)) as {key}", f"cls as {label}", "base_key",
-        *[f"{c} + u * (n{c} - {c}) as `{n}`" for c, n in zip(f, names)],
+        *head, *[f"{c} + u * (n{c} - {c}) as `{n}`" for c, n in zip(f, names)]
     )
-    return own.unionByName(made)
+    repeated = draws.join(hot, "pid", "left_semi").selectExpr(*head, *[f"{c} as `{n}`" for c, n in zip(f, names)])
+    return own.unionByName(made).unionByName(repeated)

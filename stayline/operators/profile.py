@@ -297,19 +297,20 @@ def report(df: DataFrame) -> DataFrame:
     def part(frame: DataFrame, section: str, item: Column, value: Column) -> DataFrame:
         return frame.select(F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value"))
 
-    item = F.concat_ws("=", "feature", "level")
+    balance = class_balance(df).selectExpr(
+        "churn", "stack(2, 'target', double(n), 'target share', pct) as (section, value)"
+    )
+    listed = ", ".join(f"'mean {c}', mean_{c}" for c in NUMERIC)
+    means = mean_by(df, "churn", NUMERIC).selectExpr("churn", f"stack({len(NUMERIC)}, {listed}) as (section, value)")
     parts = [
         part(shape(df), "overview", F.lit("rows"), F.col("n_rows")),
         part(shape(df), "overview", F.lit("columns"), F.col("n_columns")),
         part(duplicate_rows(df), "overview", F.lit("duplicate rows"), F.col("n_duplicates")),
-        part(class_balance(df), "target", F.col("churn"), F.col("n")),
-        part(class_balance(df), "target share", F.col("churn"), F.col("pct")),
-        part(churn_rates(df, CATEGORICAL, None), "rates", item, F.col("rate")),
+        balance.selectExpr("section", "churn as item", "value"),
+        means.selectExpr("section", "churn as item", "value"),
+        part(churn_rates(df, CATEGORICAL, None), "rates", F.concat_ws("=", "feature", "level"), F.col("rate")),
         part(corr_with_target(numeric_frame(df), digits=None), "correlation", F.col("feature"), F.col("corr")),
     ]
-    means = mean_by(df, "churn", NUMERIC)
-    for c in NUMERIC:
-        parts.append(part(means, f"mean {c}", F.col("churn"), F.col(f"mean_{c}")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
