@@ -13,7 +13,7 @@ from stayline.columns import (
     COST_SHARE, HIGH_RISK, KEY, MEDIUM_RISK, MEDIUM_WEIGHT, MONTHS, RETENTION,
 )
 from stayline.functions.exprs import one_row
-from stayline.operators.risk import tier, tier_counts
+from stayline.operators.risk import scored_summary, tier, tier_counts
 
 
 def kpis(df: DataFrame) -> DataFrame:
@@ -27,9 +27,7 @@ def kpis(df: DataFrame) -> DataFrame:
 
 def scored_kpis(customers: DataFrame, scored: DataFrame) -> DataFrame:
     """Key figures with the risk tiers and the predicted churn rate of the scored rows."""
-    tiers = one_row(tier_counts(scored))
-    predicted = scored.agg((F.avg("pred") * 100.0).alias("v")).scalar()
-    return kpis(customers).withColumn("t", tiers).select("*", "t.*", predicted.alias("predicted_rate")).drop("t")
+    return kpis(customers).withColumn("t", one_row(scored_summary(scored))).select("*", "t.*").drop("t")
 
 
 def monthly_risk(df: DataFrame) -> DataFrame:

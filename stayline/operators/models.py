@@ -87,12 +87,14 @@ def score(model: Model, df: DataFrame, keep: Sequence[str] = (KEY, "label")) ->
 
 
 def score_all(models: dict[str, Model], df: DataFrame, keep: Sequence[str] = (KEY, "label")) -> DataFrame:
-    """Scored rows of all models, stacked by model."""
-    parts = [score(m, df, keep).withColumn("model", F.lit(name)) for name, m in models.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Scored rows of all models, stacked by model. The rows are read once."""
+    out = df
+    for i, model in enumerate(models.values()):
+        out = model.transform(out).withColumns({
+            f"s{i}": vector_to_array("probability")[1], f"p{i}": F.col("prediction").cast("int"),
+        }).drop("rawPrediction", "probability", "prediction")
+    rows = ", ".join(f"'{name}', s{i}, p{i}" for i, name in enumerate(models))
+    return out.selectExpr(*keep, f"stack({len(models)}, {rows}) as (model, score, pred)")
 
 
 def cross_validate(

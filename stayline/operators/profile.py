@@ -46,8 +46,9 @@ def class_balance(df: DataFrame, column: str = "churn") -> DataFrame:
     """Count and share per class, and the ratio of the largest class to each."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     total = one_row(counts.agg(F.sum("n").alias("all"), F.max("n").alias("top")))
-    return counts.select(
-        column, "n", (F.lit(100.0) * F.col("n") / total["all"]).alias("pct"), ratio(total["top"], F.col("n")).alias("imbalance")
+    return counts.withColumn("t", total).select(
+        column, "n", (F.lit(100.0) * F.col("n") / F.col("t.all")).alias("pct"),
+        ratio(F.col("t.top"), F.col("n")).alias("imbalance"),
     )
 
 
@@ -225,10 +226,10 @@ def histogram(df: DataFrame, column: str, by: str = "churn", bins: int = 30, den
     """Equal-width bins over each group's own range, last bin closed, empty bins kept."""
     data = df.select(F.col(by), F.col(column).cast("double").alias("x")).where("x is not null")
     stats = data.groupBy(by).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("total"))
-    group = lookup(stats, by)[F.col(by)]
-    width = (group["hi"] - group["lo"]) / bins
-    index = F.least(F.floor(F.coalesce(F.try_divide(F.col("x") - group["lo"], width), F.lit(0.0))), F.lit(bins - 1))
-    counts = data.select(by, index.cast("int").alias("bin")).groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    placed = data.withColumn("g", lookup(stats, by)[F.col(by)]).selectExpr(
+        by, f"coalesce(floor(try_divide(x - g.lo, (g.hi - g.lo) / {bins})), 0) as bin"
+    )
+    counts = placed.selectExpr(by, f"int(least(bin, {bins - 1})) as bin").groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
     grid = stats.select(by, "lo", "hi", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = grid.join(few(counts, 100_000), [by, "bin"], "left")  # at most groups x bins rows
     step = (F.col("hi") - F.col("lo")) / bins
@@ -244,12 +245,13 @@ def box_stats(df: DataFrame, column: str, by: str = "churn") -> DataFrame:
     quartiles = exact_quantiles(data, ["x"], QUARTILES, [by]).groupBy(by).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{int(p * 100)}") for p in QUARTILES
     ])
-    group = lookup(quartiles, by)[F.col(by)]
-    reach = F.lit(1.5) * (group["q75"] - group["q25"])
-    inside = (F.col("x") >= group["q25"] - reach) & (F.col("x") <= group["q75"] + reach)
-    return data.withColumn("inside", inside).withColumn("q", group).groupBy(by).agg(
+    ranged = data.withColumn("q", lookup(quartiles, by)[F.col(by)]).selectExpr(
+        by, "x", "q.q25", "q.q50", "q.q75",
+        "x between q.q25 - 1.5D * (q.q75 - q.q25) and q.q75 + 1.5D * (q.q75 - q.q25) as inside",
+    )
+    return ranged.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.first(F.col(f"q.{q}")).alias(q) for q in ("q25", "q50", "q75")],
+        *[F.first(q).alias(q) for q in ("q25", "q50", "q75")],
         F.min(F.when(F.col("inside"), F.col("x"))).alias("whisker_low"),
         F.max(F.when(F.col("inside"), F.col("x"))).alias("whisker_high"),
         F.count_if(~F.col("inside")).alias("n_outliers"),

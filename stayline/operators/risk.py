@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.columns import BAND_EDGES, HIGH_RISK, KEY, MEDIUM_RISK, PRIORITY_LABELS, RISK_LABELS, SEED
@@ -20,7 +20,16 @@ def tier(score: str = "score") -> str:
 
 def tier_counts(df: DataFrame, score: str = "score") -> DataFrame:
     """One row: customers per key-figure tier."""
-    return df.agg(*[F.expr(f"count_if({tier(score)} = '{t}') as n_{t}") for t in ("high", "medium", "low")])
+    return df.agg(*_tier_aggregates(score))
+
+
+def _tier_aggregates(score: str = "score") -> list[Column]:
+    return [F.expr(f"count_if({tier(score)} = '{t}') as n_{t}") for t in ("high", "medium", "low")]
+
+
+def scored_summary(df: DataFrame, score: str = "score", pred: str = "pred") -> DataFrame:
+    """One row: customers per key-figure tier and the predicted churn rate."""
+    return df.agg(*_tier_aggregates(score), F.expr(f"avg({pred}) * 100 as predicted_rate"))
 
 
 def risk_tiers(df: DataFrame, score: str = "score") -> DataFrame:
@@ -60,12 +69,10 @@ def tenure_score_bins(df: DataFrame, column: str = "tenure", score: str = "score
         f"int(greatest(1, least({bins}, coalesce(ceil(try_divide(x - r.lo, (r.hi - r.lo) / {bins})), 1)))) as bin",
     )
     grouped = placed.groupBy("bin").agg(
-        F.expr("count(1) as n"), F.expr("avg(s) as mean_score"), F.expr("first(r) as r")
-    )
-    left = f"if(bin = 1, r.lo - 0.001D * (r.hi - r.lo), r.lo + (bin - 1) * ((r.hi - r.lo) / {bins}))"
-    return grouped.selectExpr(
-        "bin", "n", "mean_score", f"({left} + (r.lo + bin * ((r.hi - r.lo) / {bins}))) / 2 as mid"
+        F.expr("count(1) as n"), F.expr("avg(s) as mean_score"), F.expr("first(r.lo) as lo"), F.expr("first(r.hi) as hi")
     )
+    left = f"if(bin = 1, lo - 0.001D * (hi - lo), lo + (bin - 1) * ((hi - lo) / {bins}))"
+    return grouped.selectExpr("bin", "n", "mean_score", f"({left} + (lo + bin * ((hi - lo) / {bins}))) / 2 as mid")
 
 
 def tenure_trend(df: DataFrame, column: str = "tenure", score: str = "score", degree: int = 3,

@@ -25,10 +25,11 @@ def stratified_folds(df: DataFrame, label: str = "label", folds: int = 5, seed:
     cuts = rank_cuts(df, label, key, seed, lambda n: [
         F.ceil(n * F.lit(f) / F.lit(folds)) for f in range(1, folds)
     ])
-    listed = cuts_by_class(cuts, label)[F.col(label)]
-    here = shuffle_position(key, seed)
-    passed = [F.coalesce(here > F.get(listed, F.lit(i)), F.lit(False)).cast("int") for i in range(folds - 1)]
-    return df.withColumn("fold", sum(passed[1:], passed[0]))
+    placed = df.withColumn("_cuts", cuts_by_class(cuts, label)[F.col(label)]).withColumn(
+        "_here", shuffle_position(key, seed)
+    )
+    passed = " + ".join(f"coalesce(int(_here > get(_cuts, {i})), 0)" for i in range(folds - 1))
+    return placed.withColumn("fold", F.expr(passed)).drop("_cuts", "_here")
 
 
 def sample_n(df: DataFrame, n: int, seed: int = SEED, key: str = KEY) -> DataFrame:

@@ -24,9 +24,7 @@ def stand_in_scores(customers: DataFrame, model: str = "tenure and segment",
 
 
 def all_stand_ins(customers: DataFrame) -> DataFrame:
-    """Scored rows of every stand-in, stacked by model."""
-    parts = [stand_in_scores(customers, m).selectExpr("*", f"'{m}' as model") for m in STAND_INS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Scored rows of every stand-in, stacked by model in one pass."""
+    rows = ", ".join(f"'{m}', double(least(100, greatest(0, {points}))) / 100" for m, points in STAND_INS.items())
+    stacked = customers.selectExpr(KEY, "label", f"stack({len(STAND_INS)}, {rows}) as (model, score)")
+    return stacked.selectExpr("*", "int(score >= 0.5D) as pred")
