@@ -178,7 +178,7 @@ def metadata_rows(spark, sf):
     path = new_path(spark, "metadata")
     made = artifacts.metadata(pipe.metrics, pipe.ranking, len(pipe.spec.names), pipe.test, "2026-03-15")
     artifacts.write_metadata(made, path)
-    back = artifacts.read_metadata(spark, path, made.schema)
+    back = artifacts.read_metadata(spark, path)
     return back.select("best_model", "model_file", "metrics.*", "n_features", "test_set_size", "training_date")
 
 

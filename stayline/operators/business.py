@@ -83,7 +83,7 @@ def savings_projection(roi: DataFrame, months: int = MONTHS) -> DataFrame:
     )
 
 
-# Reasons shown to an agent, each with the condition that raises it.
+# Fixed texts shown to an agent, each with the condition that raises it.
 REASONS = {
     "month-to-month contract": "contract = 'Month-to-month'",
     "pays by electronic check": "payment_method = 'Electronic check'",

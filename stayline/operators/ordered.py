@@ -131,8 +131,11 @@ def rank_cuts(
     )
     # ``located`` has one row per class and slot.
     near = rows.join(few(located), [by, "bucket"])
-    place = F.row_number().over(Window.partitionBy(by, "slot").orderBy("h", "k"))
-    return near.withColumn("place", place).where("place = nth").select(by, "slot", F.struct("h", "k").alias("cut"))
+    # Equal keys share a place, so a key that is not unique cannot crowd the ordering.
+    folded = near.groupBy(by, "slot", "nth", "h", "k").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(by, "slot").orderBy("h", "k"))
+    reached = folded.withColumn("upto", upto).where("upto >= nth and upto - n < nth")
+    return reached.select(by, "slot", F.struct("h", "k").alias("cut"))
 
 
 def cuts_by_class(cuts: DataFrame, by: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.columns import METRICS
-from stayline.functions.exprs import half_even, slug
+from stayline.functions.exprs import few, lookup, slug
 from stayline.operators.features import FeatureSpec
 
 
@@ -47,16 +47,34 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, FeatureSp
     return PipelineModel.load(f"{path}/model"), FeatureSpec(levels), spark.read.parquet(f"{path}/scaler")
 
 
-def metadata(metrics: DataFrame, best: DataFrame, n_features: int, test_rows: DataFrame, trained_on: str) -> DataFrame:
-    """One nested row: winner, its file name, metrics of all models at 4 decimals, sizes, date."""
-    values = F.struct(*[half_even(F.col(m), 4).alias(m) for m in METRICS])
-    listed = metrics.agg(F.map_from_entries(F.collect_list(F.struct("model", values))).alias("all_models"))  # one entry per model
+_FIVE = ", ".join(f"{m}: double" for m in METRICS)
+METADATA_SCHEMA = (
+    f"best_model string, model_file string, metrics struct<{_FIVE}, cv_auc_mean: double, cv_auc_std: double>, "
+    f"all_models map<string, struct<{_FIVE}>>, n_features int, test_set_size bigint, training_date string"
+)
+
+
+def metadata(metrics: DataFrame, best: DataFrame, n_features: int, test_rows: DataFrame, trained_on: str,
+             cv: DataFrame | None = None) -> DataFrame:
+    """One nested row: winner, its file name, metrics of all models at 4 decimals, sizes, date.
+
+    ``cv`` holds ``model, cv_mean, cv_std``; without it the winner's fold scores are null.
+    """
     winner = best.where("is_best = 1").select("model").scalar()
-    return listed.select(
-        winner.alias("best_model"), slug(winner, "_best_model").alias("model_file"),
-        F.element_at("all_models", winner).alias("metrics"), "all_models",
-        F.lit(n_features).alias("n_features"), test_rows.agg(F.count(F.lit(1))).scalar().alias("test_set_size"),
-        F.lit(trained_on).alias("training_date"),
+    values = ", ".join(f"'{m}', rint({m} * 1e4D) / 1e4D" for m in METRICS)
+    listed = few(metrics).agg(F.expr(f"map_from_entries(collect_list((model, named_struct({values})))) as all_models"))
+    listed = listed.withColumn("best_model", winner)
+    if cv is None:
+        folds = F.expr("named_struct('cv_mean', cast(null as double), 'cv_std', cast(null as double))")
+    else:
+        folds = lookup(cv.select("model", "cv_mean", "cv_std"), "model")[F.col("best_model")]
+    own = ", ".join(f"'{m}', all_models[best_model].{m}" for m in METRICS)
+    return listed.withColumn("cv", folds).select(
+        "best_model", slug(F.col("best_model"), "_best_model").alias("model_file"),
+        F.expr(f"named_struct({own}, 'cv_auc_mean', rint(cv.cv_mean * 1e4D) / 1e4D, "
+               "'cv_auc_std', rint(cv.cv_std * 1e4D) / 1e4D) as metrics"),
+        "all_models", F.lit(n_features).alias("n_features"),
+        test_rows.agg(F.count(F.lit(1))).scalar().alias("test_set_size"), F.lit(trained_on).alias("training_date"),
     )
 
 
@@ -64,6 +82,6 @@ def write_metadata(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.json(path)
 
 
-def read_metadata(spark: SparkSession, path: str, schema) -> DataFrame:
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Metadata written by ``write_metadata``, or a pretty-printed JSON document."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.schema(METADATA_SCHEMA).option("multiLine", True).json(path)

@@ -1,4 +1,5 @@
 import itertools
+import json
 import math
 
 import numpy as np
@@ -144,13 +145,24 @@ def test_saved_model_scores_the_same(spark, pipe):
 
 
 def test_metadata_round_trip(spark, pipe):
-    made = artifacts.metadata(pipe.metrics, pipe.ranking, 45, pipe.test, "2026-03-15")
+    cv = spark.createDataFrame([(m, 0.87654, 0.01234) for m in models.MODEL_ORDER], "model string, cv_mean double, cv_std double")
+    made = artifacts.metadata(pipe.metrics, pipe.ranking, 45, pipe.test, "2026-03-15", cv)
     path = new_path(spark, "meta")
     artifacts.write_metadata(made, path)
-    row = artifacts.read_metadata(spark, path, made.schema).first()
+    row = artifacts.read_metadata(spark, path).first()
+    assert row == made.first()
     assert row.best_model == pipe.best_name and row.test_set_size == pipe.test.count()
     assert set(row.all_models) == set(models.MODEL_ORDER)
     assert row.model_file == pipe.best_name.lower().replace(" ", "_") + "_best_model"
+    assert (row.metrics.cv_auc_mean, row.metrics.cv_auc_std) == (0.8765, 0.0123)
+
+
+def test_metadata_from_a_pretty_printed_document(spark, tmp_path):
+    five = {"accuracy": 0.7, "precision": 0.5, "recall": 0.6, "f1": 0.55, "roc_auc": 0.8}
+    doc = {"best_model": "Random Forest", "metrics": five, "all_models": {"Random Forest": five}, "n_features": 45}
+    (tmp_path / "metadata.json").write_text(json.dumps(doc, indent=2))
+    row = artifacts.read_metadata(spark, str(tmp_path / "metadata.json")).first()
+    assert row.all_models["Random Forest"].roc_auc == 0.8 and row.metrics.f1 == 0.55 and row.metrics.cv_auc_std is None
 
 
 @pytest.mark.parametrize("leaky", [False, True])

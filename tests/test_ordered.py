@@ -58,6 +58,13 @@ def test_split_and_folds_match_ranks(spark):
         assert part["fold"].tolist() == [i * 5 // n for i in range(n)]
 
 
+def test_repeated_keys_stay_together(spark):
+    df = spark.range(900).selectExpr("if(id < 300, 'same', string(id)) as customer_id", "0 as label")
+    got = split.stratified_split(df).groupBy("is_test").count().collect()
+    n = {r.is_test: r["count"] for r in got}
+    assert n.get(True, 0) + n[False] == 900 and n.get(True, 0) >= 180
+
+
 def test_fewer_rows_than_folds(spark):
     df = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1)], "customer_id string, label int")
     got = split.stratified_folds(df).toPandas()
