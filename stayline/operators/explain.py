@@ -73,21 +73,23 @@ def _leaf_shares(follows: np.ndarray, z: np.ndarray) -> np.ndarray:
     """Shapley share of each path feature for each pattern of followed conditions.
 
     For feature j the other features k multiply out (z_k + o_k t); the coefficient of t^s sums all
-    coalitions of size s, weighted s! (m - 1 - s)! / m!.
+    coalitions of size s, weighted s! (m - 1 - s)! / m!. The product over all features is formed once
+    and divided by the factor of j: from the top where o_j = 1, by z_j where o_j = 0.
     """
     m = len(z)
-    weight = np.array([factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)])
-    out = np.empty(follows.shape)
-    for j in range(m):
-        poly = np.zeros((len(follows), m))
-        poly[:, 0] = 1.0
-        for k in range(m):
-            if k != j:
-                shifted = np.zeros_like(poly)
-                shifted[:, 1:] = poly[:, :-1]
-                poly = poly * z[k] + shifted * follows[:, [k]]
-        out[:, j] = (follows[:, j] - z[j]) * (poly @ weight)
-    return out
+    product = np.zeros((len(follows), m + 1))
+    product[:, 0] = 1.0
+    for k in range(m):
+        shifted = product[:, :-1] * follows[:, [k]]
+        product *= z[k]
+        product[:, 1:] += shifted
+    inside = follows > 0
+    total, quotient = np.zeros(follows.shape), np.zeros(follows.shape)
+    for s in range(m - 1, -1, -1):
+        quotient = product[:, [s + 1]] - z * quotient
+        weight = factorial(s) * factorial(m - 1 - s) / factorial(m)
+        total += weight * np.where(inside, quotient, product[:, [s]] / z)
+    return (follows - z) * total
 
 
 def _forest_attribution(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
@@ -108,10 +110,12 @@ def _long(df: DataFrame, names: Sequence[str], key: str) -> DataFrame:
     return df.select(key, F.inline(zipped))
 
 
-def shap_tree(df: DataFrame, leaves: list[tuple], names: Sequence[str], key: str = KEY) -> DataFrame:
+def shap_tree(df: DataFrame, leaves: list[tuple], names: Sequence[str], key: str = KEY,
+              partitions: int | None = None) -> DataFrame:
     """Rows (key, feature, feature_value, shap) of the positive class for every row of ``df``.
 
-    ``df`` holds the assembled vector. The leaf table is broadcast once; rows stay where they are.
+    ``df`` holds the assembled vector. The leaf table is broadcast once; rows stay where they are,
+    unless ``partitions`` spreads a table too small to occupy the cores by itself.
     """
     shared = df.sparkSession.sparkContext.broadcast(leaves)
 
@@ -123,6 +127,7 @@ def shap_tree(df: DataFrame, leaves: list[tuple], names: Sequence[str], key: str
                 yield pd.DataFrame({key: pdf[key], "x": list(x), "phi": list(phi)})
 
     rows = df.select(key, vector_to_array("features").alias("x"))
+    rows = rows.repartition(partitions, key) if partitions else rows
     return _long(rows.mapInPandas(attribute, f"{key} string, x array<double>, phi array<double>"), names, key)
 
 

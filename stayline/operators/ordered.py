@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions.exprs import few, hash_key
+from stayline.session import materialise
 
 # Up to this many rows the built-in exact operators hold all state in one task without strain.
 SINGLE_TASK_ROWS = 500_000
@@ -170,6 +171,7 @@ def running_sum(
         window = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(window).alias(f"cum_{c}") for c in cols])
 
+    df = materialise(df, "ordered")  # read three times below
     steps = [i / pieces for i in range(1, pieces)]
     edges = df.agg(F.percentile_approx(order, steps, 10 * pieces)).first()[0]  # < pieces numbers
     splits = [float("-inf"), *sorted(set(edges)), float("inf")]

@@ -107,7 +107,9 @@ class Pipeline:
     @cached_property
     def shap_forest(self) -> DataFrame:
         test = assemble(self.test, self.spec.names).select(KEY, "features")
-        return materialise(explain.shap_tree(test, self.leaves, self.spec.names), "shap")
+        cores = self.spark.sparkContext.defaultParallelism
+        spread = cores if test.count() < 10_000 * cores else None
+        return materialise(explain.shap_tree(test, self.leaves, self.spec.names, partitions=spread), "shap")
 
     @cached_property
     def background(self) -> list[float]:
