@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -25,6 +26,17 @@ from stayline.sources.snapshot import snapshot
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
+
+def _llm() -> list:
+    """The query modules of the training-data subpackage, if it is there."""
+    if importlib.util.find_spec("stayline.llm") is None:
+        return []
+    modules = [importlib.import_module("stayline.llm.queries")]
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        modules.append(importlib.import_module("corpus_pipeline"))
+    return modules
+
+
 # Forest and boosting sizes for the registered queries; the library defaults are 200 trees and rounds.
 SMALL = {"trees": 20, "depth": 5, "rounds": 5, "boost_depth": 3, "narrow_depth": 2}
 
@@ -219,6 +231,20 @@ def clean_labels(spark, sf):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _own_queries()
+    for module in _llm():
+        found |= module.queries()
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = oracle_queries.oracle_sql()
+    for module in _llm():
+        found |= module.oracle_sql()
+    return found
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     roi = lambda s, d: business.campaign_roi(_labelled(s, d), _scored(s, d))
     return {
         # A sources, sinks, cleaning
@@ -322,7 +348,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # I labels
         "clean_label": clean_labels,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
