@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    fingerprints, mixing, packing, quality, stream_dedup, token_counts, token_store,
+    fingerprints, jaccard_forest, mixing, packing, quality, stream_dedup, token_counts, token_store,
 )
 from stayline.llm.common import documents
 from stayline.session import new_path
@@ -25,6 +25,10 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, path, with_ids=False)
 
 
+def op2_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_forest.join_groups(documents(spark, sf_dir)).drop("_mark")
+
+
 def op3_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
@@ -70,8 +74,8 @@ def op9_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_token_planes, op3_merkle_fingerprints, op4_stream_dedup, op5_compression_quality, op7_best_fit_packing,
-        op8_entropy_mixing, op9_prefix_token_counts,
+        op1_token_planes, op2_jaccard_forest, op3_merkle_fingerprints, op4_stream_dedup, op5_compression_quality,
+        op7_best_fit_packing, op8_entropy_mixing, op9_prefix_token_counts,
     )}
 
 
