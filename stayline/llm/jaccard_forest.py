@@ -76,8 +76,8 @@ def word_hashes(text: str) -> np.ndarray:
         return _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct shingle hashes; a text of fewer words is one shingle, a text without words has none."""
+def shingles(text: str, words: int = WORDS) -> np.ndarray:
+    """Shingle hashes in order; a text of fewer words is one shingle, a text without words has none."""
     hashed = word_hashes(text)
     if not len(hashed):
         return hashed
@@ -86,7 +86,12 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
         total = np.full(len(hashed) - n + 1, np.uint64(n))
         for i in range(n):
             total = _mix(total * _PRIME + hashed[i : len(hashed) - n + 1 + i])
-    return np.unique(total)
+    return total
+
+
+def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct shingle hashes."""
+    return np.unique(shingles(text, words))
 
 
 _factors = np.random.default_rng(_SEED).integers(0, 1 << 63, (TREES * DEPTH, 2), dtype=np.uint64)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    fingerprints, jaccard_forest, mixing, packing, quality, stream_dedup, token_counts, token_store,
+    fingerprints, jaccard_forest, license_scan, mixing, packing, quality, stream_dedup, token_counts, token_store,
 )
 from stayline.llm.common import documents
 from stayline.session import new_path
@@ -55,6 +55,10 @@ def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -75,7 +79,7 @@ def op9_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_planes, op2_jaccard_forest, op3_merkle_fingerprints, op4_stream_dedup, op5_compression_quality,
-        op7_best_fit_packing, op8_entropy_mixing, op9_prefix_token_counts,
+        op6_license_scan, op7_best_fit_packing, op8_entropy_mixing, op9_prefix_token_counts,
     )}
 
 
