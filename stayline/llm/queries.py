@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    fingerprints, jaccard_forest, license_scan, mixing, packing, quality, stream_dedup, token_counts, token_store,
+    fingerprints, jaccard_forest, license_scan, mixing, packing, quality, stream_dedup, suffix_dedup, token_counts, token_store,
 )
 from stayline.llm.common import documents
 from stayline.session import new_path
@@ -76,10 +76,15 @@ def op9_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), with_kept=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_planes, op2_jaccard_forest, op3_merkle_fingerprints, op4_stream_dedup, op5_compression_quality,
         op6_license_scan, op7_best_fit_packing, op8_entropy_mixing, op9_prefix_token_counts,
+        op10_suffix_dedup,
     )}
 
 
