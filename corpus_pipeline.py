@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stayline.llm import jaccard_forest, mixing, packing, quality, stream_dedup
 from stayline.llm.common import documents
@@ -21,8 +20,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the compression classifier does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, usable=~held_out())
-    scored = quality.score(docs, model, name="_score")
-    return scored.where(F.col("_score") >= quality.THRESHOLD).drop("_score")
+    return quality.accepted(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.repeat(mixing.mix(docs))
+    return mixing.mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,15 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``doc``: whatever its columns are called, added ones cannot clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
+def boxed_text(column: str = "text") -> Column:
+    return F.coalesce(F.col("doc")[column].cast("string"), F.lit(""))
+
+
 def shuffle_width(df: DataFrame) -> int:
     """Partitions for an explicit repartition: the session's setting."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import join_on, shuffle_width, small_batches, text_of
+from stayline.llm.common import boxed, boxed_text, join_on, shuffle_width, small_batches, text_of
 from stayline.llm.components import components
 from stayline.session import materialise
 
@@ -296,10 +296,9 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text: str = "text", recal
     Texts without words are in no group and all stay. Repeated rows with that id count as one.
     """
     decided = materialise(join_groups(docs, id_col, text, recall).where("kept"), "kept")
-    decided = decided.select(F.col(f"`{id_col}`").alias("_id"), "_mark")
-    marked = docs.withColumn("_own", F.xxhash64(text_of(text)))
-    on = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark"))
-    kept = marked.join(decided.distinct(), on, "left_semi")
-    if not decided.groupBy("_id", "_mark").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "_own"])
-    return kept.drop("_own")
+    decided = decided.select(F.col(f"`{id_col}`").alias("id"), F.col("_mark").alias("mark"))
+    marked = boxed(docs).withColumn("id", F.col("doc")[id_col]).withColumn("mark", F.xxhash64(boxed_text(text)))
+    kept = join_on(marked, decided.distinct(), ["id", "mark"])
+    if not decided.groupBy("id", "mark").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["id", "mark"])
+    return kept.select("doc.*")

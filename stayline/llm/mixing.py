@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import join_on, text_of, with_rank
+from stayline.llm.common import boxed, boxed_text, join_on, with_rank
 from stayline.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,8 +28,8 @@ MAX_ROUNDS = 60
 BUCKET = 512
 
 
-def word_count(text: str = "text") -> Column:
-    return F.regexp_count(text_of(text), F.lit(WORD)).cast("bigint")
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
 def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
@@ -71,9 +71,9 @@ def multipliers(classes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFra
     ``fixed`` holds the rate of sources whose target leaves no choice (nothing, or everything ``cap`` times).
     """
     moments = classes.groupBy("source").agg(
-        (F.sum(F.col("size") * F.col("size") * F.col("n")) / F.sum(F.col("size") * F.col("n"))).alias("scale")
+        F.try_divide(F.sum(F.col("size") * F.col("size") * F.col("n")), F.sum(F.col("size") * F.col("n"))).alias("scale")
     )
-    ratio = F.col("target") / F.col("source_size")
+    ratio = F.try_divide(F.col("target"), F.col("source_size"))
     fixed = F.when(F.col("source_size") == 0, 1.0).when(ratio >= cap - 1e-9, float(cap)).when(ratio <= 1e-9, 0.0)
     state = materialise(
         join_on(goals, moments, ["source"]).select("source", "source_size", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"),
@@ -94,8 +94,8 @@ def multipliers(classes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFra
         low = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(gap >= 0, F.col("tilt")).otherwise(F.col("high"))
         moved = both.withColumn("low", low).withColumn("high", high).withColumn("gap", gap)
-        step = F.col("tilt") - F.col("gap") / F.col("slope")
-        inside = (step > F.col("low")) & (step < F.col("high")) & (F.col("slope") > 0)
+        step = F.col("tilt") - F.try_divide("gap", "slope")
+        inside = F.coalesce((step > F.col("low")) & (step < F.col("high")), F.lit(False))
         # Outside the bracket: towards the open end by doubling, else halve the bracket.
         wide = F.when(F.col("high") >= 1e6, F.greatest(F.col("low") * 2, F.lit(1.0))).when(
             F.col("low") <= -1e6, F.least(F.col("high") * 2, F.lit(-1.0))
@@ -106,7 +106,7 @@ def multipliers(classes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFra
                 "source", "source_size", "target", "scale", "fixed",
                 F.when(F.col("gap").isNull() | done, F.col("tilt")).when(inside, step).otherwise(wide).alias("tilt"),
                 "low", "high",
-                F.when(F.col("gap").isNull(), 0.0).when(done, 0.0).otherwise(F.abs("gap") / F.col("target")).alias("miss"),
+                F.when(F.col("gap").isNull(), 0.0).when(done, 0.0).otherwise(F.try_divide(F.abs("gap"), F.col("target"))).alias("miss"),
             ), "tilt")
         if not state.agg(F.max(F.when(F.col("fixed").isNull(), F.col("miss")))).first()[0]:
             break
@@ -168,20 +168,14 @@ def _cuts(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return join_on(classes, cut, ["source", "size"], "left")
 
 
-def mix(
+def decide(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: int = CAP,
 ) -> DataFrame:
-    """``docs`` with ``mix_size, mix_source_size, mix_target, mix_rate, mix_copies`` added.
-
-    The size is the number of words; a null text has none. Null sources form one source, weighed last.
-    Rows with the same id and size are decided alike. A source without words gets no words; its rows
-    keep one copy each. An empty table gives an empty one. Columns of ``docs`` are kept as they are.
-    """
-    sized = docs.withColumn("mix_size", word_count(text))
-    rows = materialise(sized.select(
-        F.col(f"`{source}`").alias("source"), F.col("mix_size").alias("size"), F.col(f"`{id_col}`").alias("id"),
-        F.xxhash64(f"`{id_col}`").alias("h")), "sizes")
+    """Rows (doc, size, source_size, target, rate, copies): ``doc`` holds the columns of ``docs``."""
+    sized = boxed(docs).withColumn("source", F.col("doc")[source]).withColumn("size", word_count(boxed_text(text)))
+    key = F.col("doc")[id_col]
+    rows = materialise(sized.select("source", "size", key.alias("id"), F.xxhash64(key).alias("h")), "sizes")
     classes = materialise(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "classes")
     sums = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     tilts = multipliers(classes, targets(sums, weights, share, cap), cap)
@@ -190,20 +184,25 @@ def mix(
         F.coalesce("fixed", _rate(F.col("tilt"), F.col("size") / F.col("scale"), cap)).alias("rate"))
     rated = rated.withColumn("whole", F.floor("rate")).withColumn("part", F.col("rate") - F.col("whole"))
     decided = materialise(_cuts(rows, _extras(rated)), "decided")
-    names = {c: F.col(c).alias(f"_m_{c}") for c in ("source", "size", "source_size", "target", "rate", "whole", "cut")}
-    decided = decided.select(*names.values())
-    on = F.col(f"`{source}`").eqNullSafe(F.col("_m_source")) & (F.col("mix_size") == F.col("_m_size"))
-    own = F.struct(F.xxhash64(f"`{id_col}`").alias("h"), F.col(f"`{id_col}`").alias("id"))
-    extra = F.when(F.col("_m_cut").isNotNull() & (own <= F.col("_m_cut")), 1).otherwise(0)
-    return sized.join(decided, on).select(
-        *[F.col(f"`{c}`") for c in sized.columns],
-        F.col("_m_source_size").alias("mix_source_size"), F.col("_m_target").alias("mix_target"),
-        F.col("_m_rate").alias("mix_rate"), (F.col("_m_whole") + extra).cast("bigint").alias("mix_copies"),
-    )
+    decided = decided.select("source", "size", "source_size", "target", "rate", "whole", "cut")
+    own = F.struct(F.xxhash64(key).alias("h"), key.alias("id"))
+    extra = F.when(F.col("cut").isNotNull() & (own <= F.col("cut")), 1).otherwise(0)
+    return join_on(sized, decided, ["source", "size"]).select(
+        "doc", "size", "source_size", "target", "rate", (F.col("whole") + extra).cast("bigint").alias("copies"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """``docs`` with ``mix_size, mix_source_size, mix_target, mix_rate, mix_copies`` added.
+
+    The size is the number of words; a null text has none. Null sources form one source, weighed last.
+    Rows with the same id and size are decided alike. A source without words gets no words; its rows
+    keep one copy each. An empty table gives an empty one. Columns of ``docs`` are kept as they are.
+    """
+    added = ("size", "source_size", "target", "rate", "copies")
+    return decide(docs, id_col, text, source, **settings).select("doc.*", *[F.col(c).alias(f"mix_{c}") for c in added])
 
 
-def repeat(mixed: DataFrame) -> DataFrame:
-    """Rows as often as their copies say, without the added columns."""
-    kept = [c for c in mixed.columns if not c.startswith("mix_")]
-    times = F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("_copy")
-    return mixed.where("mix_copies > 0").select(*[F.col(f"`{c}`") for c in kept], times).drop("_copy")
+def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """Rows of ``docs`` as often as the mix takes them, with their own columns."""
+    taken = decide(docs, id_col, text, source, **settings).where("copies > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

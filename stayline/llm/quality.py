@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import text_of
+from stayline.llm.common import boxed, boxed_text, text_of
 
 #: Labelled documents per class that are used at most, chosen by a hash of their id; half of them
 #: build the dictionaries, half calibrate.
@@ -135,8 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         part = marked.where(F.col("_label") == q).orderBy(order, "_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 2 * sample ids by construction.
-    rows = docs.join(F.broadcast(chosen), F.col(f"`{id_col}`") == F.col("_id"))
-    short = rows.select("_id", "_label", text_of(text).alias("_t")).where(F.length("_t") <= SAMPLE_CHARS)
+    texts = docs.select(F.col(f"`{id_col}`").alias("_own"), text_of(text).alias("_t")).where(F.length("_t") <= SAMPLE_CHARS)
+    short = texts.join(F.broadcast(chosen), F.col("_own") == F.col("_id"))
     once = short.groupBy("_id", "_label").agg(F.min("_t").alias("t"))
     found = once.orderBy(F.xxhash64("_id"), "_id").collect()
     samples = {q: [r["t"] for r in found if r["_label"] == q] for q in (0, 1)}
@@ -158,5 +158,10 @@ def scorer(model: Model):
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with ``name`` added, 0 to 1; a null text scores as an empty one."""
+    """``docs`` with ``name`` added (or replaced), 0 to 1; a null text scores as an empty one."""
     return docs.withColumn(name, scorer(model)(text_of(text)))
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that reach the threshold, with all their columns."""
+    return boxed(docs).where(scorer(model)(boxed_text(text)) >= threshold).select("doc.*")

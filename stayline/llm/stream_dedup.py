@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import join_on, text_of
+from stayline.llm.common import boxed, boxed_text, join_on, text_of
 from stayline.session import materialise, new_path
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -124,16 +124,14 @@ def survivors(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     arrivals, held, exact = classes(docs, id_col, text, state, digest, **feeding)
-    marked = docs.withColumn("_digest", digest(text_of(text))).withColumn("_text", text_of(text))
-    keep = held.select(F.col("digest").alias("_d"), F.col("keep.id").alias("_keep"))
-    kept = marked.join(keep, F.col("_digest") == F.col("_d")).where(F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")))
-    kept = kept.drop("_d", "_keep")
+    own = F.col("doc")[id_col]
+    marked = boxed(docs).withColumn("text", boxed_text(text)).withColumn("digest", digest(F.col("text")))
+    keep = held.select("digest", F.col("keep.id").alias("keep_id"))
+    kept = join_on(marked, keep, ["digest"]).where(own.eqNullSafe(F.col("keep_id")))
     if exact is not None:
-        more = exact.select(F.col("digest").alias("_d"), F.col("text").alias("_t"), F.col("keep_id").alias("_keep"))
-        on = (F.col("_digest") == F.col("_d")) & (F.col("_text") == F.col("_t"))
-        again = marked.join(more, on).where(F.col(f"`{id_col}`").eqNullSafe(F.col("_keep"))).drop("_d", "_t", "_keep")
-        kept = kept.unionByName(again)
+        again = join_on(marked, exact.select("digest", "text", "keep_id"), ["digest", "text"])
+        kept = kept.unionByName(again.where(own.eqNullSafe(F.col("keep_id"))))
     repeated = arrivals.groupBy("digest", "id").count().where("count > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([id_col, "_text"])
-    return kept.drop("_digest", "_text")
+        kept = kept.dropDuplicates(["keep_id", "text"])
+    return kept.select("doc.*")

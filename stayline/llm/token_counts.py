@@ -13,7 +13,6 @@ from __future__ import annotations
 import contextlib
 import json
 import os
-import re
 from array import array
 from collections.abc import Iterator
 
@@ -31,8 +30,9 @@ VOCABULARY = "byte_bpe_50k.json"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The contractions of that pattern that have two letters.
 CONTRACTIONS = ("'re", "'ve", "'ll")
-_BESIDE_SPACE = re.compile(r"\s ")
-_RUN = re.compile(r"\s\s")
+#: White space as that pattern means it, in runs of two or more.
+_RUN = regex.compile(r"\s\s+")
+_BESIDE_SPACE = regex.compile(r"\s ")
 
 
 def byte_letters() -> dict[str, int]:
@@ -127,7 +127,7 @@ class PrefixCounter:
         if not _RUN.search(text):
             return out
         # White space at the end of a prefix is one pre-token, also the space that goes to the next word.
-        for m in re.finditer(r"\s\s+", text):
+        for m in _RUN.finditer(text):
             a, b = m.span()
             out[a:b] = (out[a - 1] if a else 0) + np.array(self.word(text[a:b]))
         return out
