@@ -23,11 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm.common import small_batches, text_of
+from stayline.llm.tokens import PATTERN, byte_letters
 from stayline.session import materialise
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Fixed value: the pre-token pattern of byte-level vocabularies.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The contractions of that pattern that have two letters.
 CONTRACTIONS = ("'re", "'ve", "'ll")
 #: White space as that pattern means it, in runs of two or more.
@@ -35,13 +34,6 @@ _RUN = regex.compile(r"\s\s+")
 _BESIDE_SPACE = regex.compile(r"\s ")
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that byte-level vocabularies write for each byte: itself if printable, else from 256 on."""
-    printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class PrefixCounter:
     """Counts of all prefixes under a byte-level vocabulary file."""
 

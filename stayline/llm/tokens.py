@@ -3,48 +3,92 @@
 from __future__ import annotations
 
 import contextlib
+import json
 import os
 import re
 import struct
 from collections.abc import Sequence
 
 import numpy as np
+import regex
 
 #: A space after white space and before white space or the end: there a chunk is not independent of the next.
 _UNSAFE = re.compile(r"\s (?!\S)")
 
 
+#: Fixed value: the pre-token pattern of byte-level vocabularies.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Below this character the pattern library and the tokenizer library agree on what a letter is.
+_COMMON = "\u0250"
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else from 256 on."""
+    printable = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class ChunkEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids.
 
     Words of a corpus repeat, so each space-separated chunk is encoded once and its ids are kept. No
     pre-token of the supported files crosses the boundary in front of a single space, so the ids of a
     text are those of its chunks; texts where white space makes that untrue, and texts that hold a
-    special string, go to the library whole. The cache holds at most ``limit`` chunks; when it is full
-    it starts anew, which changes no result.
+    special string, go to the library whole. A new chunk is cut into pre-tokens, and the library's
+    model encodes those not seen yet. The caches hold at most ``limit`` entries; a full one starts
+    anew, which changes no result.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 1_000_000):
+    def __init__(self, path: str, spaced: bool, limit: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        added = self._tokenizer.get_added_tokens_decoder()
-        self._special = [t.content for t in added.values()]
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._spaced = spaced  # whether a space belongs to the chunk after it
         self._limit = limit
         self._known: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {}
+        spec = json.loads(self._tokenizer.to_str())["pre_tokenizer"]
+        pattern = PATTERN if spec["type"] == "ByteLevel" else spec["pretokenizers"][0]["pattern"]["Regex"]
+        self._split = regex.compile(pattern).findall
+        self._letters = {byte: letter for letter, byte in byte_letters().items()}
+        normalizer = self._tokenizer.normalizer
+        self._normal = normalizer.normalize_str if normalizer else None
+        self._tokenize = self._tokenizer.model.tokenize
 
     def whole(self, text: str) -> bytes:
         """The library's own ids of the whole text."""
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _pretoken(self, word: str) -> bytes:
+        """Ids of a pre-token in the letters of the vocabulary."""
+        ids = [t.id for t in self._tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, text: str) -> bytes:
+        if self._normal is not None:
+            text = text.lower() if text.isascii() else self._normal(text)
+        if not text.isascii() and max(text) >= _COMMON:
+            return b"".join(self._pretoken(w) for w, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(text))
+        out = []
+        for word in self._split(text):
+            ids = self._parts.get(word)
+            if ids is None:
+                ids = self._pretoken(word.encode().decode("latin-1").translate(self._letters))
+                if len(self._parts) >= self._limit:
+                    self._parts.clear()
+                self._parts[word] = ids
+            out.append(ids)
+        return b"".join(out)
+
     def _learn(self, chunks: list[str]) -> None:
         if len(self._known) + len(chunks) > self._limit:
             self._known.clear()
         lead = " " if self._spaced else ""
-        found = self._tokenizer.encode_batch_fast([lead + c for c in chunks], add_special_tokens=False)
-        self._known.update((c, struct.pack(f"<{len(e)}I", *e.ids)) for c, e in zip(chunks, found, strict=True))
+        for chunk in chunks:
+            self._known[chunk] = self._chunk(lead + chunk)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -58,7 +102,7 @@ class ChunkEncoder:
             chunks = text.split(" ")
             ids = list(map(get, chunks))
             if self._spaced:  # the first chunk has no space before it
-                ids[0] = self.whole(chunks[0])
+                ids[0] = self._chunk(chunks[0])
             gaps, at = [], -1
             with contextlib.suppress(ValueError):
                 while True:
