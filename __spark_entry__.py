@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 import oracle_queries
 from stayline.columns import BINARY, CATEGORICAL, KEY, NUMERIC, public
-from stayline.functions.exprs import clean_label, half_even, recode, slug
+from stayline.functions.exprs import clean_label, half_even, one_row, recode, slug
 from stayline.operators import (
     balance, business, cleaning, evaluate, explain, features, models, profile, risk, split,
 )
 from stayline.plans.stand_in import STAND_INS, all_stand_ins, stand_in_scores
 from stayline.plans.training import Pipeline, pipeline
-from stayline.session import new_path, once
+from stayline.session import new_path
 from stayline.sources import artifacts, customers
 from stayline.sources.snapshot import snapshot
 
@@ -37,8 +37,8 @@ def _llm() -> list:
     return modules
 
 
-# Forest and boosting sizes for the registered queries; the library defaults are 200 trees and rounds.
-SMALL = {"trees": 20, "depth": 5, "rounds": 5, "boost_depth": 3, "narrow_depth": 2}
+# Arguments of the learners in the registered queries: none, so the library's sizes (200 trees and rounds).
+MODEL_SETTINGS: dict = {}
 
 
 def fixed(df: DataFrame, digits: int = 6, **other: int) -> DataFrame:
@@ -48,7 +48,7 @@ def fixed(df: DataFrame, digits: int = 6, **other: int) -> DataFrame:
 
 
 def _pipe(spark: SparkSession, sf: str) -> Pipeline:
-    return pipeline(spark, sf, **SMALL)
+    return pipeline(spark, sf, **MODEL_SETTINGS)
 
 
 def _clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,25 +137,14 @@ def training_times(spark, sf):
     return spark.createDataFrame(list(seconds.items()), "model string, seconds double")
 
 
-def _cv_scores(spark, sf):
-    def run():
-        pipe = _pipe(spark, sf)
-        learners = models.estimators(pipe.balanced.count(), **SMALL)
-        picked = {m: learners[m] for m in (models.LOGISTIC, models.FOREST)}
-        return models.cross_validate(pipe.train, pipe.spec.names, picked)
-
-    rows = once(spark, ("cv", sf), run)
-    return spark.createDataFrame(rows, "model string, fold int, auc double")
-
-
 def cv_scores(spark, sf):
-    scores = _cv_scores(spark, sf)
+    scores = _pipe(spark, sf).cv_scores
     overall = models.cv_overall(scores).scalar()
     return models.cv_summary(scores).withColumn("overall_mean", overall)
 
 
 def cv_box(spark, sf):
-    return profile.box_stats(_cv_scores(spark, sf), "auc", "model")
+    return profile.box_stats(_pipe(spark, sf).cv_scores, "auc", "model")
 
 
 def model_scores(spark, sf):
@@ -181,14 +170,17 @@ def splits_roundtrip(spark, sf):
     pipe = _pipe(spark, sf)
     path = new_path(spark, "splits")
     artifacts.write_splits(pipe.train, pipe.test, path)
-    parts = [spark.read.parquet(f"{path}/{p}").withColumn("part", F.lit(p)) for p in ("train", "test")]
-    return parts[0].unionByName(parts[1]).groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"))
+    parts = [spark.read.parquet(f"{path}/{p}").withColumn("is_test", F.lit(int(p == "test"))) for p in ("train", "test")]
+    return fixed(parts[0].unionByName(parts[1]).select(KEY, "label", "is_test", *features.SCALED))
 
 
 def metadata_rows(spark, sf):
     pipe = _pipe(spark, sf)
     path = new_path(spark, "metadata")
-    made = artifacts.metadata(pipe.metrics, pipe.ranking, len(pipe.spec.names), pipe.test, "2026-03-15")
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    trained_on = str(orders.agg(F.to_date(F.max("o_orderdate"))).first()[0])
+    cv = models.cv_summary(pipe.cv_scores)
+    made = artifacts.metadata(pipe.metrics, pipe.ranking, len(pipe.spec.names), pipe.test, trained_on, cv)
     artifacts.write_metadata(made, path)
     back = artifacts.read_metadata(spark, path)
     return back.select("best_model", "model_file", "metrics.*", "n_features", "test_set_size", "training_date")
@@ -200,20 +192,65 @@ def model_roc_curve(spark, sf):
 
 # --- explanations ------------------------------------------------------------------------------
 
+def _shap_of(spark, sf, name):
+    pipe = _pipe(spark, sf)
+    return explain.long_form(pipe.explained(name)[0], pipe.spec.names)
+
+
 def shap_additivity(spark, sf):
-    """Base value plus attributions against the forest's score, per customer."""
+    """Base value plus attributions against the selected model's score, per customer."""
+    pipe = _pipe(spark, sf)
+    rows, base = pipe.explanation
+    total = F.expr("aggregate(phi, 0D, (a, x) -> a + x)") + F.lit(base)
+    score = total if pipe.best_name == models.FOREST else 1 / (1 + F.exp(-total))
+    return pipe.best_scored.select("model", KEY, "score").join(rows.select(KEY, score.alias("explained")), KEY)
+
+
+def model_invariants(spark, sf):
+    """What must hold of the models, their choice and the explanation, whatever they learned."""
     pipe = _pipe(spark, sf)
-    total = pipe.shap_forest.groupBy(KEY).agg(F.sum("shap").alias("total"))
-    scored = pipe.scored.where(F.col("model") == models.FOREST).select(KEY, "score")
-    base = explain.forest_base(pipe.leaves)
-    return total.join(scored, KEY).select(KEY, "score", (F.col("total") + F.lit(base)).alias("explained"))
+    per_model = pipe.scored.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("p"),
+        F.count_if(~F.col("score").between(0, 1) | ((F.col("score") > 0.5).cast("int") != F.col("pred"))).alias("odd"),
+        F.count_distinct(KEY).alias("keys"))
+    sums = per_model.agg(
+        F.count(F.lit(1)).alias("n_models"), F.min("n").alias("least_rows"), F.max("n").alias("most_rows"),
+        F.min("keys").alias("least_keys"), F.min("p").alias("least_churners"), F.max("p").alias("most_churners"),
+        F.sum("odd").alias("odd_scores"))
+    counts = evaluate.confusion(pipe.scored, ["model"]).agg(
+        F.min(F.col("tp") + F.col("fn")).alias("least_actual"), F.max(F.col("tp") + F.col("fn")).alias("most_actual"))
+    best = pipe.ranking.agg(F.sum("is_best").alias("n_best"))
+    off = shap_additivity(spark, sf).agg(
+        F.count(F.lit(1)).alias("explained_rows"),
+        F.count_if(F.abs(F.col("explained") - F.col("score")) > 1e-9).alias("unexplained"))
+    ranked = pipe.importance.agg(F.count(F.lit(1)).alias("n_features"))
+    share = explain.cum_importance(pipe.importance, len(pipe.spec.names)).agg(F.max("cum_pct").alias("whole_share"))
+    cv = models.cv_summary(pipe.cv_scores).agg(
+        F.count("cv_mean").alias("cv_models"), F.count_if(~F.col("cv_mean").between(0, 1)).alias("odd_cv"))
+    meta = metadata_rows(spark, sf).select("test_set_size", F.col("n_features").alias("meta_features"),
+                                           F.col("cv_auc_mean").isNotNull().cast("int").alias("meta_cv"))
+    row = sums
+    for name, part in zip("abcdefg", (counts, best, off, ranked, share, cv, meta)):
+        row = row.withColumn(name, one_row(part)).select("*", f"{name}.*").drop(name)
+    return fixed(row)
+
+
+def model_tenure_points(spark, sf):
+    """Tenure and the selected model's score, per customer."""
+    return _pipe(spark, sf).best_scored.join(snapshot(spark, sf).select(KEY, "tenure"), KEY).select(KEY, "tenure", "score")
+
+
+def model_action_list(spark, sf):
+    best = _pipe(spark, sf).best_scored.select(KEY, "score")
+    wanted = (KEY, "contract", "payment_method", "internet_service", "online_security", "tech_support", "tenure")
+    return business.action_list(best.join(snapshot(spark, sf).select(*wanted), KEY))
 
 
 def shap_waterfall(spark, sf):
     """One churner, chosen by key."""
     pipe = _pipe(spark, sf)
     who = pipe.test.where("label = 1").agg(F.min(KEY)).first()[0]
-    return explain.waterfall(pipe.shap_forest, who, explain.forest_base(pipe.leaves))
+    return explain.waterfall(pipe.shap, who, pipe.explanation[1])
 
 
 def importance_roundtrip(spark, sf):
@@ -223,9 +260,10 @@ def importance_roundtrip(spark, sf):
 
 
 def clean_labels(spark, sf):
-    rates = profile.churn_rates(_labelled(spark, sf), digits=None)
+    wide = snapshot(spark, sf).selectExpr(*[f"string({c}) as {c}" for c in CATEGORICAL])
+    levels = wide.unpivot([], CATEGORICAL, "feature", "level").distinct()
     named = F.concat_ws("_", recode(F.col("feature"), {c: public(c) for c in CATEGORICAL}), "level")
-    return rates.select(named.alias("feature")).select(
+    return levels.select(named.alias("feature")).select(
         "feature", clean_label(F.col("feature")).alias("display"), slug(F.col("feature")).alias("slug")
     )
 
@@ -263,8 +301,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "final_report": lambda s, d: _pipe(s, d).report(),
         # B profiling
         "profile_shape": lambda s, d: profile.shape(snapshot(s, d)),
-        "duplicate_rows": lambda s, d: profile.duplicate_rows(
-            snapshot(s, d).drop(KEY, "monthly_charges", "total_charges_raw")),
+        "duplicate_rows": lambda s, d: profile.duplicate_rows(snapshot(s, d)),
         "missing_values": lambda s, d: profile.missing_values(_numeric(s, d)),
         "column_types": lambda s, d: profile.column_types(snapshot(s, d)),
         "class_balance": lambda s, d: fixed(profile.class_balance(snapshot(s, d))),
@@ -281,8 +318,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "corr_target": lambda s, d: fixed(profile.corr_with_target(profile.numeric_frame(_clean(s, d)), digits=None)),
         "tenure_bands": lambda s, d: fixed(profile.tenure_bands(_labelled(s, d))),
         "association_rank": lambda s, d: fixed(profile.association_rank(_clean(s, d))),
-        "hist_density": lambda s, d: fixed(profile.histogram(snapshot(s, d), "monthly_charges"), height=12),
-        "box_stats": lambda s, d: fixed(profile.box_stats(snapshot(s, d), "monthly_charges")),
+        "hist_density": lambda s, d: fixed(profile.histogram(_clean(s, d), NUMERIC), height=12),
+        "box_stats": lambda s, d: fixed(profile.box_stats(_clean(s, d), NUMERIC)),
         "kde_tenure": lambda s, d: fixed(profile.kde(snapshot(s, d), "tenure"), density=9),
         "scatter_tenure_charges": lambda s, d: fixed(profile.scatter(snapshot(s, d), "tenure", "monthly_charges")),
         "contract_profile": lambda s, d: fixed(profile.contract_profile(_labelled(s, d))),
@@ -326,6 +363,16 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tenure_trend": lambda s, d: fixed(risk.tenure_trend(stand_in_scores(_labelled(s, d), keep=("tenure",)))),
         "value_vs_score": lambda s, d: fixed(risk.value_vs_score(
             stand_in_scores(_clean(s, d), keep=(KEY, "total_charges")))),
+        # F, G on the selected model
+        "model_invariants": model_invariants,
+        "model_risk_tiers": lambda s, d: risk.risk_tiers(_pipe(s, d).best_scored),
+        "model_risk_bands": lambda s, d: risk.risk_bands(_pipe(s, d).best_scored),
+        "model_proba_hist": lambda s, d: risk.proba_hist(_pipe(s, d).best_scored),
+        "model_priority_tiers": lambda s, d: risk.priority_tiers(_pipe(s, d).best_scored),
+        "model_tenure_points": model_tenure_points,
+        "model_kpis": lambda s, d: business.scored_kpis(_labelled(s, d), _pipe(s, d).best_scored),
+        "model_campaign_roi": lambda s, d: business.campaign_roi(_labelled(s, d), _pipe(s, d).best_scored),
+        "model_action_list": model_action_list,
         # G business
         "kpis": lambda s, d: fixed(business.scored_kpis(_labelled(s, d), _scored(s, d)), revenue_at_risk=3),
         "monthly_risk": lambda s, d: fixed(business.monthly_risk(_labelled(s, d)), 3),
@@ -334,17 +381,21 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_savings": lambda s, d: fixed(business.segment_savings(roi(s, d))),
         "savings_projection": lambda s, d: fixed(business.savings_projection(roi(s, d)), 3),
         "action_list": lambda s, d: business.action_list(stand_in_scores(
-            snapshot(s, d).selectExpr("*", "0 as label"),
+            _labelled(s, d),
             keep=(KEY, "contract", "payment_method", "internet_service", "online_security", "tech_support", "tenure"))),
         # H explanations
-        "shap_tree": lambda s, d: _pipe(s, d).shap_forest,
-        "shap_linear": lambda s, d: _pipe(s, d).shap_linear(),
+        "shap_best": lambda s, d: _pipe(s, d).shap.withColumn("model", F.lit(_pipe(s, d).best_name)),
+        "shap_forest": lambda s, d: _shap_of(s, d, models.FOREST),
+        "shap_boosted": lambda s, d: _shap_of(s, d, models.BOOSTED),
+        "shap_linear": lambda s, d: _shap_of(s, d, models.LOGISTIC),
         "shap_additivity": shap_additivity,
         "shap_importance": lambda s, d: _pipe(s, d).importance,
-        "shap_beeswarm": lambda s, d: explain.of_top_features(_pipe(s, d).shap_forest, _pipe(s, d).importance, 20),
-        "shap_dependence": lambda s, d: explain.of_top_features(_pipe(s, d).shap_forest, _pipe(s, d).importance, 3),
+        "shap_beeswarm": lambda s, d: explain.of_top_features(_pipe(s, d).shap, _pipe(s, d).importance, 20),
+        "shap_dependence": lambda s, d: explain.of_top_features(_pipe(s, d).shap, _pipe(s, d).importance, 3),
         "shap_waterfall": shap_waterfall,
         "cum_importance": lambda s, d: explain.cum_importance(_pipe(s, d).importance),
+        "features_to_reach": lambda s, d: explain.features_to_reach(
+            explain.cum_importance(_pipe(s, d).importance, len(_pipe(s, d).spec.names))),
         # I labels
         "clean_label": clean_labels,
     }

@@ -286,14 +286,23 @@ def _types() -> str:
     )
 
 
+def _stacked() -> str:
+    """Numeric columns of ``clean`` below each other."""
+    return " union all ".join(f"select '{c}' as feature, churn, {c}::double as x from clean" for c in NUMERIC)
+
+
 def oracle_sql() -> dict[str, str]:
     rate = "avg(label * 100.0::double)"
     q: dict[str, str] = {
         # sources and cleaning
         "scan_snapshot": f"with {SNAP} select * replace ({r('monthly_charges')} as monthly_charges) from snap",
         "csv_roundtrip": f"with {SNAP} select * replace ({r('monthly_charges')} as monthly_charges) from snap",
-        "splits_roundtrip": f"""with {FEAT} select case when is_test then 'test' else 'train' end as part, label, count(*) as n
-            from split group by all""",
+        "splits_roundtrip": f"with {SCALEDF} select customer_id, label, is_test::int as is_test, {_linear_frame()} from scaled",
+        "model_invariants": f"""with {FEAT}, t as (select count(*) as n, sum(label) as p from split where is_test)
+            select 4 as n_models, n as least_rows, n as most_rows, n as least_keys, p as least_churners, p as most_churners,
+              0 as odd_scores, p as least_actual, p as most_actual, 1 as n_best, n as explained_rows, 0 as unexplained,
+              45 as n_features, 100.0::double as whole_share, 4 as cv_models, 0 as odd_cv, n as test_set_size,
+              45 as meta_features, 1 as meta_cv from t""",
         "clean_numeric": f"with {NUM} select customer_id, total_charges from num",
         "missing_total_charges": f"with {NUM} select count(*) - count(total_charges) as n_missing from num",
         "fill_median": f"with {CLEAN} select customer_id, {r('total_charges')} as total_charges from clean",
@@ -304,8 +313,8 @@ def oracle_sql() -> dict[str, str]:
         "report_rows": _report(),
         # profiling
         "profile_shape": f"with {SNAP} select count(*) as n_rows, 21 as n_columns from snap",
-        "duplicate_rows": f"""with {SNAP}, narrow as (select * exclude (customer_id, monthly_charges, total_charges_raw) from snap)
-            select (select count(*) from narrow) - (select count(*) from (select distinct * from narrow)) as n_duplicates""",
+        "duplicate_rows": f"""with {SNAP} select (select count(*) from snap) -
+            (select count(*) from (select distinct * from snap)) as n_duplicates""",
         "missing_values": f"with {NUM} select * from (" + " union all ".join(
             f"select '{c}' as column_name, count(*) - count({c}) as n_missing from num"
             for c in [*[c for c in PUBLIC_NAME if c != 'total_charges_raw'], 'total_charges']
@@ -344,22 +353,22 @@ def oracle_sql() -> dict[str, str]:
         "association_rank": f"with {RATES}, numf as (select tenure::double as tenure, monthly_charges, total_charges, label from clean) "
             f"select feature, {r('max(rate) - min(rate)')} as strength, 'rate spread' as kind from rates group by feature "
             + " ".join(f"union all select '{c}', {r(f'100 * abs(corr({c}, label))')}, 'correlation' from numf" for c in NUMERIC),
-        "hist_density": f"""with {CLEAN}, s as (select churn, min(monthly_charges) as lo, max(monthly_charges) as hi,
-              count(*) as total from clean group by churn),
-            b as (select churn, least(floor((monthly_charges - lo) / ((hi - lo) / 30)), 29)::int as bin, count(*) as n
-              from clean join s using (churn) group by all),
-            g as (select churn, lo, (hi - lo) / 30 as w, total, i::int as bin from s, range(30) as t(i))
-            select g.churn, g.bin, {r("lo + g.bin * w")} as left_edge, coalesce(n, 0) as n,
+        "hist_density": f"""with {CLEAN}, v as ({_stacked()}), s as (select feature, churn, min(x) as lo, max(x) as hi,
+              count(*) as total from v group by all),
+            b as (select feature, churn, least(floor((x - lo) / ((hi - lo) / 30)), 29)::int as bin, count(*) as n
+              from v join s using (feature, churn) group by all),
+            g as (select feature, churn, lo, (hi - lo) / 30 as w, total, i::int as bin from s, range(30) as t(i))
+            select g.feature, g.churn, g.bin, {r("lo + g.bin * w")} as left_edge, coalesce(n, 0) as n,
               {r("coalesce(n, 0)::double / (total * w)", 12)} as height
-            from g left join b on b.churn = g.churn and b.bin = g.bin""",
-        "box_stats": f"""with {CLEAN}, s as (select churn, quantile_cont(monthly_charges, 0.25) as q25,
-              quantile_cont(monthly_charges, 0.5) as q50, quantile_cont(monthly_charges, 0.75) as q75 from clean group by churn),
-            i as (select churn, monthly_charges as x, q25, q50, q75,
-              monthly_charges between q25 - 1.5 * (q75 - q25) and q75 + 1.5 * (q75 - q25) as inside from clean join s using (churn))
-            select churn, count(*) as n, {r("any_value(q25)")} as q25, {r("any_value(q50)")} as q50,
+            from g left join b on b.feature = g.feature and b.churn = g.churn and b.bin = g.bin""",
+        "box_stats": f"""with {CLEAN}, v as ({_stacked()}), s as (select feature, churn, quantile_cont(x, 0.25) as q25,
+              quantile_cont(x, 0.5) as q50, quantile_cont(x, 0.75) as q75 from v group by all),
+            i as (select feature, churn, x, q25, q50, q75,
+              x between q25 - 1.5 * (q75 - q25) and q75 + 1.5 * (q75 - q25) as inside from v join s using (feature, churn))
+            select feature, churn, count(*) as n, {r("any_value(q25)")} as q25, {r("any_value(q50)")} as q50,
               {r("any_value(q75)")} as q75, {r("min(x) filter (where inside)")} as whisker_low,
               {r("max(x) filter (where inside)")} as whisker_high, count(*) filter (where not inside) as n_outliers
-            from i group by churn""",
+            from i group by feature, churn""",
         "kde_tenure": f"""with {CLEAN}, s as (select churn, count(*) as n, min(tenure)::double as lo, max(tenure)::double as hi,
               stddev_samp(tenure) * pow(count(*), -0.2) as h from clean group by churn),
             v as (select churn, tenure::double as x, count(*) as c from clean group by churn, tenure),
@@ -421,9 +430,7 @@ def oracle_sql() -> dict[str, str]:
         "risk_bands": f"""with {SCORED}, b as (select {_band(RISK)} as band from scored)
             select t.band_ord::int as band_ord, t.band, count(b.band) as n from (values {", ".join(f"({i + 1}, '{v}')" for i, v in enumerate(RISK))}) t(band_ord, band)
             left join b on b.band = t.band group by t.band_ord, t.band""",
-        "priority_tiers": f"""with {SCORED}, s as (select customer_id, score from scored
-              order by md5(customer_id || '|42'), customer_id limit 200)
-            select customer_id, score, {_band(PRIORITY)} as priority from s""",
+        "priority_tiers": f"with {SCORED} select customer_id, score, {_band(PRIORITY)} as priority from scored",
         "proba_hist": f"""with {SCORED}, b as (select label, least(floor(score * 40)::int + 1, 40) as bin from scored)
             select label, bin, {r("(bin - 0.5) / 40")} as centre, count(*) as n from b group by label, bin""",
         "tenure_score_bins": f"""with {SCORED}, g as (select min(tenure)::double as lo, max(tenure)::double as hi from scored),
@@ -457,7 +464,7 @@ def oracle_sql() -> dict[str, str]:
             select month, {r("savings", 3)} as savings, {r("cost", 3)} as cost,
               {r("sum(savings - cost) over (order by month)", 3)} as cumulative_net from m""",
         "action_list": f"""with {SCORED} select customer_id, score, case when score >= 0.7 then 'high' else 'medium' end as tier,
-            case when score >= 0.7 then 'Immediate (Week 1-2)' else 'Short-term (Month 1)' end as horizon,
+            case when score >= 0.7 then 2 else 4 end as horizon_weeks,
             {_reasons()} as reasons from scored where score >= 0.4""",
         # labels
         "clean_label": _clean_label(),

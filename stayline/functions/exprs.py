@@ -97,27 +97,6 @@ def clean_label(name: Column) -> Column:
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
-def lookup(small: DataFrame, key: str, limit: int = 1000) -> Column:
-    """Per-group statistics as a map column: ``lookup(stats, "churn")[F.col("churn")]["mean"]``.
-
-    The map travels as a scalar subquery, so no join and no shuffle of the large side is planned. It
-    is only meant for groups that are few by nature (classes, models); more than ``limit`` of them
-    fail instead of flooding the executors. Join on the key for anything larger.
-    """
-    values = [F.col(f"`{c}`") for c in small.columns if c != key]
-    rows = small.where(F.col(key).isNotNull()).limit(limit + 1)
-    packed = F.map_from_entries(F.collect_list(F.struct(F.col(key), F.struct(*values))))
-    guard = F.raise_error(F.lit(f"more than {limit} groups in {key}"))
-    return rows.agg(F.when(F.count(F.lit(1)) <= limit, packed).otherwise(guard)).scalar()
-
-
-def few(small: DataFrame, limit: int = 10_000) -> DataFrame:
-    """A table that is small by nature, checked: more than ``limit`` rows fail. Safe to broadcast."""
-    counted = small.limit(limit + 1).withColumn("_rows", F.expr("count(1) over ()"))
-    checked = F.expr(f"if(_rows <= {limit}, true, raise_error('more than {limit} rows to broadcast'))")
-    return F.broadcast(counted.where(checked).drop("_rows"))
-
-
 def one_row(stats: DataFrame) -> Column:
     """The single row of ``stats`` as a struct column (scalar subquery, no cross join)."""
     return stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns])).scalar()

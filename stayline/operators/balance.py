@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.columns import KEY, SEED
-from stayline.functions.exprs import few, hash_int, hash_unit
+from stayline.functions.exprs import hash_int, hash_unit
 from stayline.operators.neighbours import BLOCK_ROWS, nearest
 from stayline.operators.ordered import cuts_by_class, rank_cuts, shuffle_position
 from stayline.session import materialise
@@ -92,9 +92,9 @@ def smote(
     draws = draws.withColumn("digest", digest).withColumn("pick", hash_int(F.col("digest"), 1) % k).withColumn(
         "u", hash_unit(F.col("digest"), 9)
     )
-    # Points with a mass of copies, fewer than HOT_POINTS of them. Their nearest neighbours are their
+    # Points with a mass of copieser than HOT_POINTS of them. Their nearest neighbours are their
     # own copies, so their draws repeat the base row and skip the joins they would weigh down.
-    hot = few(points.where(F.col("copies") > max(k, n_min / HOT_POINTS)).select("pid"), HOT_POINTS)
+    hot = points.where(F.col("copies") > max(k, n_min / HOT_POINTS)).select("pid")
     chosen = draws.join(hot, "pid", "left_anti").join(places, "pid").where(
         (F.col("pick") >= F.col("since")) & (F.col("pick") < F.col("upto"))
     )

@@ -94,10 +94,10 @@ REASONS = {
 
 
 def action_list(df: DataFrame, score: str = "score", key: str = KEY) -> DataFrame:
-    """Customers to contact: tier, horizon and reasons. High risk first by horizon, medium second."""
+    """Customers to contact: tier, weeks to act within and reasons."""
     reasons = ", ".join(f"if({condition}, '{text}', null)" for text, condition in REASONS.items())
     return df.where(F.col(score) >= MEDIUM_RISK).selectExpr(
         key, score, f"{tier(score)} as tier",
-        f"if({score} >= {HIGH_RISK}D, 'Immediate (Week 1-2)', 'Short-term (Month 1)') as horizon",
+        f"if({score} >= {HIGH_RISK}D, 2, 4) as horizon_weeks",
         f"concat_ws('; ', {reasons}) as reasons",
     )

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.columns import METRICS, SELECTION_WEIGHTS
-from stayline.functions.exprs import few, half_even, one_row, ratio, ratio_or_zero
-from stayline.operators.ordered import SINGLE_TASK_ROWS, running_sum
+from stayline.functions.exprs import half_even, one_row, ratio, ratio_or_zero
+from stayline.operators.ordered import running_sum
 
 
 def confusion(df: DataFrame, by: Sequence[str] = (), label: str = "label", pred: str = "pred") -> DataFrame:
@@ -52,25 +52,21 @@ def _by_score(df: DataFrame, by: Sequence[str], label: str, score: str) -> DataF
     )
 
 
-def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
-            single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve by rank sum, tied scores counted half; null with a single class."""
-    ranked = running_sum(_by_score(df, by, label, score), "score", ["neg"], by, single_task_rows=single_task_rows)
+    ranked = running_sum(_by_score(df, by, label, score), "score", ["neg"], by)
     won = ranked.withColumn("won", F.expr("double(pos) * (cum_neg - neg / 2.0D)"))
     sums = won.groupBy(*by).agg(F.sum("won").alias("won"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return sums.select(*by, F.expr("try_divide(won, double(p) * n) as roc_auc"))
 
 
-def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
-              single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score") -> DataFrame:
     """ROC points, one per distinct score plus the origin at threshold infinity."""
     by = list(by)
-    ranked = running_sum(
-        _by_score(df, by, label, score), "score", ["pos", "neg"], by, descending=True, single_task_rows=single_task_rows
-    )
+    ranked = running_sum(_by_score(df, by, label, score), "score", ["pos", "neg"], by, descending=True)
     totals = df.groupBy(*by).agg(F.expr(f"count_if({label} = 1) as p"), F.expr(f"count_if({label} = 0) as n"))
     if by:
-        joined = ranked.join(few(totals), by)  # one row per model
+        joined = ranked.join(totals, by)
     else:
         joined = ranked.withColumn("t", one_row(totals)).select("*", "t.*")
     points = joined.select(
@@ -83,7 +79,7 @@ def roc_curve(df: DataFrame, by: Sequence[str] = (), label: str = "label", score
 
 def model_metrics(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """All five metrics per model as one wide row."""
-    return class_metrics(df, by).join(few(roc_auc(df, by)), list(by))  # one row per model
+    return class_metrics(df, by).join(roc_auc(df, by), list(by))
 
 
 def metric_table(df: DataFrame, by: str = "model") -> DataFrame:
@@ -106,9 +102,5 @@ def select_best(metrics: DataFrame, order: Sequence[str], by: str = "model") ->
     return scored.select(by, "composite", rank.alias("rank"), (rank == 1).cast("int").alias("is_best"))
 
 
-def predicted_rate(df: DataFrame, by: Sequence[str] = (), pred: str = "pred") -> DataFrame:
-    return df.groupBy(*by).agg((F.avg(pred) * 100.0).alias("predicted_rate"))
-
-
 def rounded(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     return df.withColumns({c: half_even(F.col(c), digits) for c in cols})

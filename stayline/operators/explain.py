@@ -13,38 +13,48 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.columns import KEY, SEED
-from stayline.functions.exprs import few
-from stayline.operators.split import sample_n
+from stayline.columns import KEY
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_NODES = 1_000_000  # 200 trees of depth 10 have at most 409,400
 
-
-def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
-    """Node table of a saved forest: one row per node."""
+def _nodes(spark: SparkSession, path: str) -> DataFrame:
     n = F.col("nodeData")
     return spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), n["id"].alias("id"), n["leftChild"].alias("left"),
         n["rightChild"].alias("right"), n["split"]["featureIndex"].alias("feature"),
         F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-        n["impurityStats"][1].alias("positive"), F.expr("aggregate(nodeData.impurityStats, 0D, (a, x) -> a + x)").alias("cover"),
+        n["impurityStats"].alias("stats"), n["prediction"].alias("prediction"),
     )
 
 
-def forest_leaves(nodes: DataFrame) -> list[tuple]:
-    """Paths of all leaves: (features, lower bounds, upper bounds, cover ratios, value / trees).
+def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """Node table of a saved forest, one row per node; ``value`` is its share of the mean over all trees."""
+    nodes = _nodes(spark, path).withColumn("positive", F.col("stats")[1]).withColumn(
+        "cover", F.expr("aggregate(stats, 0D, (a, x) -> a + x)"))
+    trees = nodes.agg(F.count_distinct("tree")).scalar()
+    return nodes.withColumn("value", F.col("positive") / F.col("cover") / trees).drop("stats", "prediction")
+
+
+def boosted_nodes(spark: SparkSession, path: str, tree_weights: Sequence[float]) -> DataFrame:
+    """Node table of a saved boosted model; ``value`` is its part of the log-odds.
 
-    A feature met more than once on a path is folded into one interval and one ratio. The node count
-    is bounded by trees x 2^(depth + 1) and checked before anything reaches the driver.
+    The probability is 1 / (1 + exp(-2 margin)), and the margin the weighted sum of the trees.
+    """
+    weight = F.get(F.array(*[F.lit(float(w)) for w in tree_weights]), F.col("tree"))
+    nodes = _nodes(spark, path).withColumn("cover", F.col("stats")[0])
+    return nodes.withColumn("value", 2 * weight * F.col("prediction")).drop("stats", "prediction")
+
+
+def tree_leaves(nodes: DataFrame) -> list[tuple]:
+    """Paths of all leaves: (features, lower bounds, upper bounds, cover ratios, value).
+
+    A feature met more than once on a path is folded into one interval and one ratio. What is gathered
+    is the model itself, which the driver and every executor hold to score with; it does not grow with rows.
     """
-    rows = nodes.limit(MAX_NODES + 1).collect()
-    if len(rows) > MAX_NODES:
-        raise ValueError(f"forest has more than {MAX_NODES} nodes")
     trees: dict[int, dict[int, object]] = {}
-    for r in rows:
+    for r in nodes.collect():
         trees.setdefault(r.tree, {})[r.id] = r
     leaves = []
     for tree in trees.values():
@@ -55,7 +65,7 @@ def forest_leaves(nodes: DataFrame) -> list[tuple]:
             if node.left < 0:
                 feats = sorted(path)
                 lo, hi, z = (np.array([path[f][i] for f in feats]) for i in range(3))
-                leaves.append((np.array(feats, dtype=int), lo, hi, z, node.positive / node.cover / len(trees)))
+                leaves.append((np.array(feats, dtype=int), lo, hi, z, node.value))
                 continue
             lo, hi, z = path.get(node.feature, (-np.inf, np.inf, 1.0))
             for child, bounds in ((node.left, (lo, min(hi, node.threshold))), (node.right, (max(lo, node.threshold), hi))):
@@ -64,8 +74,8 @@ def forest_leaves(nodes: DataFrame) -> list[tuple]:
     return leaves
 
 
-def forest_base(leaves: list[tuple]) -> float:
-    """Expected score with no feature known."""
+def tree_base(leaves: list[tuple]) -> float:
+    """Expected value with no feature known."""
     return float(sum(value * np.prod(z) for _, _, _, z, value in leaves))
 
 
@@ -92,7 +102,7 @@ def _leaf_shares(follows: np.ndarray, z: np.ndarray) -> np.ndarray:
     return (follows - z) * total
 
 
-def _forest_attribution(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
+def _tree_attribution(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
     out = np.zeros(x.shape)
     for feats, lo, hi, z, value in leaves:
         if not len(feats) or value == 0.0:
@@ -104,15 +114,15 @@ def _forest_attribution(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
     return out
 
 
-def _long(df: DataFrame, names: Sequence[str], key: str) -> DataFrame:
+def long_form(df: DataFrame, names: Sequence[str], key: str = KEY) -> DataFrame:
+    """Rows (key, feature, feature_value, shap) of a table with the arrays ``x`` and ``phi``."""
     listed = F.array(*[F.lit(n) for n in names])
     zipped = F.arrays_zip(listed.alias("feature"), F.col("x").alias("feature_value"), F.col("phi").alias("shap"))
     return df.select(key, F.inline(zipped))
 
 
-def shap_tree(df: DataFrame, leaves: list[tuple], names: Sequence[str], key: str = KEY,
-              partitions: int | None = None) -> DataFrame:
-    """Rows (key, feature, feature_value, shap) of the positive class for every row of ``df``.
+def shap_tree(df: DataFrame, leaves: list[tuple], key: str = KEY, partitions: int | None = None) -> DataFrame:
+    """Rows (key, x, phi): feature values and attributions of every row of ``df``, in feature order.
 
     ``df`` holds the assembled vector. The leaf table is broadcast once; rows stay where they are,
     unless ``partitions`` spreads a table too small to occupy the cores by itself.
@@ -123,27 +133,25 @@ def shap_tree(df: DataFrame, leaves: list[tuple], names: Sequence[str], key: str
         for pdf in batches:
             if len(pdf):
                 x = np.stack(pdf["x"].to_numpy())
-                phi = _forest_attribution(x, shared.value)
+                phi = _tree_attribution(x, shared.value)
                 yield pd.DataFrame({key: pdf[key], "x": list(x), "phi": list(phi)})
 
     rows = df.select(key, vector_to_array("features").alias("x"))
     rows = rows.repartition(partitions, key) if partitions else rows
-    return _long(rows.mapInPandas(attribute, f"{key} string, x array<double>, phi array<double>"), names, key)
+    return rows.mapInPandas(attribute, f"{key} string, x array<double>, phi array<double>")
 
 
-def linear_base(background: DataFrame, names: Sequence[str], n: int = 300, seed: int = SEED) -> list[float]:
-    """Feature means of a seeded background sample of n rows."""
-    chosen = sample_n(background, n, seed)
-    return list(chosen.agg(*[F.expr(f"avg(`{c}`)") for c in names]).first())
+def linear_base(background: DataFrame, names: Sequence[str]) -> list[float]:
+    """Feature means over all background rows: one aggregation."""
+    return list(background.agg(*[F.expr(f"avg(`{c}`)") for c in names]).first())
 
 
 def shap_linear(df: DataFrame, names: Sequence[str], coefs: Sequence[float], means: Sequence[float],
                 key: str = KEY) -> DataFrame:
-    """Attribution on the log-odds: coefficient x distance from the background mean. Columns only."""
-    rows = ", ".join(
-        f"'{n}', double(`{n}`), ({float(c)!r}D) * (`{n}` - ({float(m)!r}D))" for n, c, m in zip(names, coefs, means)
-    )
-    return df.selectExpr(key, f"stack({len(names)}, {rows}) as (feature, feature_value, shap)")
+    """Rows (key, x, phi) on the log-odds: coefficient x distance from the background mean. Columns only."""
+    values = ", ".join(f"double(`{n}`)" for n in names)
+    parts = ", ".join(f"({float(c)!r}D) * (`{n}` - ({float(m)!r}D))" for n, c, m in zip(names, coefs, means))
+    return df.selectExpr(key, f"array({values}) as x", f"array({parts}) as phi")
 
 
 def importance(shap: DataFrame) -> DataFrame:
@@ -159,7 +167,7 @@ def top_features(ranked: DataFrame, n: int) -> DataFrame:
 
 def of_top_features(shap: DataFrame, ranked: DataFrame, n: int) -> DataFrame:
     """Attributions of the n strongest features: 20 for the summary cloud, 3 for dependence."""
-    return shap.join(few(top_features(ranked, n).select("feature")), "feature", "left_semi")
+    return shap.join(top_features(ranked, n).select("feature"), "feature", "left_semi")
 
 
 def waterfall(shap: DataFrame, key_value: str, base: float, n: int = 15, key: str = KEY) -> DataFrame:

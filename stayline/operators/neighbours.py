@@ -1,7 +1,7 @@
 """Exact k nearest neighbours among the rows of one table.
 
-Points are range partitioned into blocks of bounded size, along an ordering that keeps the coarse
-columns (indicators) constant within a block. Neighbours inside the own block give an upper bound
+Points are divided into blocks by halving, each block at the median of its widest column, so blocks
+are narrow in every column that varies. Neighbours inside the own block give an upper bound
 per point; the bounding boxes of the other blocks tell which of them can hold anything nearer, and
 only those are compared. No candidate is dropped, so the result equals brute force.
 
@@ -21,16 +21,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.functions.exprs import few
 from stayline.session import materialise
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
+#: Of the last search: the share of (point, other block) pairs that had to be compared.
+kept_share: dict[str, float] = {}
 ASKING_ROWS = 8192
-MAX_BLOCKS = 20_000  # keeps the boxes of all blocks at some ten MB in the driver and in every task
-COARSE_VALUES = 16
 
 
 def _near_pairs(q: np.ndarray, x: np.ndarray, k: int, limit: np.ndarray, own: int | None = None):
@@ -92,7 +91,7 @@ def _blocks_within_bound(cols: Sequence[str], boxes: np.ndarray):
                 # Rounding must not hide a block that just touches the bound.
                 near = gap2 <= bound[start:start + step, None] * (1 + 1e-9) + 1e-18
                 r, b = np.nonzero(near & (ids != own[start:start + step, None]))
-                yield pdf[["pid", *cols, "_bound"]].iloc[start + r].assign(_block=ids[b])
+                yield pdf[["pid", "_bound"]].iloc[start + r].assign(_block=ids[b])
 
     return visits
 
@@ -112,21 +111,38 @@ def _within_bound(cols: Sequence[str], k: int):
     return compare
 
 
-def _coarse_first(points: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Columns with few values first, and the more varied first among their kind."""
-    stats = points.agg(*[F.expr(f"approx_count_distinct({c}) as n_{c}") for c in cols],
-                       *[F.expr(f"var_pop({c}) as v_{c}") for c in cols]).first()
-    return sorted(cols, key=lambda c: (stats[f"n_{c}"] > COARSE_VALUES, -stats[f"v_{c}"]))
+def _halved(points: DataFrame, cols: Sequence[str], blocks: int) -> DataFrame:
+    """Add ``_block``: as many halvings as give at least ``blocks`` blocks.
+
+    Each halving takes two small aggregations by block: the extents, then the median of the widest
+    column. Rows stay where they are until the blocks are used.
+    """
+    out = points.withColumn("_block", F.lit(0))
+    listed = F.array(*[F.col(c) for c in cols])
+    for _ in range(max(0, math.ceil(math.log2(blocks)))):
+        spans = F.array(*[F.max(c) - F.min(c) for c in cols])
+        widest = out.groupBy("_block").agg(spans.alias("spans")).select(
+            "_block", F.array_position("spans", F.array_max("spans")).cast("int").alias("_axis"))
+        placed = out.join(widest, "_block").withColumn("_v", F.element_at(listed, F.col("_axis")))
+        cuts = placed.groupBy("_block").agg(
+            F.percentile_approx("_v", 0.5).alias("_cut"), F.max("_v").alias("_top"))
+        # A median equal to the largest value still divides: that value goes to the upper half.
+        above = (F.col("_v") > F.col("_cut")) | ((F.col("_cut") == F.col("_top")) & (F.col("_v") == F.col("_cut")))
+        out = placed.join(cuts, "_block").withColumn("_block", F.col("_block") * 2 + above.cast("int")).drop(
+            "_axis", "_v", "_cut", "_top")
+        out = materialise(out, "halved")
+    return out
 
 
 def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows ``(pid, nid, d2, rank)``: the k nearest other points of every point.
 
-    ``points`` holds ``pid`` (unique text) and the double columns ``cols``.
+    One plan at every size: at least as many blocks as shuffle partitions, of at most about
+    ``block_rows`` points. ``points`` holds ``pid`` (unique text) and the double columns ``cols``.
     """
     cols = list(cols)
-    n = points.count()
-    blocks = max(1, min(MAX_BLOCKS, math.ceil(n / block_rows)))
+    width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(width, math.ceil(points.count() / block_rows))
     columns = ["pid", *cols]
     ddl = ", ".join(["pid string", *[f"{c} double" for c in cols]])
     found = "_bound double, nids array<string>, d2s array<double>"
@@ -136,32 +152,24 @@ def nearest(points: DataFrame, cols: Sequence[str], k: int, block_rows: int = BL
         pairs = F.arrays_zip(F.col("nids").alias("nid"), F.col("d2s").alias("d2"))
         return df.select("pid", F.inline(pairs))
 
-    if blocks == 1:
-        own = points.select(*columns).withColumn("_block", F.lit(0)).groupBy("_block").applyInPandas(
-            _nearest_in_block(cols, k), f"{ddl}, _block int, {found}"
-        )
-        return listed(own).withColumn("rank", F.row_number().over(best))
-
-    order = _coarse_first(points, cols)
-    # Range partitioning balances by sampling: a crowded spot is spread over several blocks.
-    blocked = materialise(
-        points.select(*columns).repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id()), "blocks"
-    )
+    blocked = _halved(points.select(*columns), cols, blocks)
     searched = materialise(
         blocked.groupBy("_block").applyInPandas(_nearest_in_block(cols, k), f"{ddl}, _block int, {found}"),
         "block-neighbours",
     )
     extent = [F.expr(f"{f}({c}) as {f}_{c}") for f in ("min", "max") for c in cols]
-    boxes = np.array(blocked.groupBy("_block").agg(*extent).collect(), dtype=float)  # at most MAX_BLOCKS rows
+    boxes = np.array(blocked.groupBy("_block").agg(*extent).collect(), dtype=float)  # one row per block
     asked = materialise(
         searched.select(*columns, "_bound", "_block").mapInPandas(
-            _blocks_within_bound(cols, boxes), f"{ddl}, _bound double, _block int"
+            _blocks_within_bound(cols, boxes), "pid string, _bound double, _block int"
         ),
         "visits",
     )
+    kept_share["share"] = asked.count() / max(1, blocked.count() * (len(boxes) - 1))
     # A block asked by many points is compared in several tasks, each with a bounded share of them.
-    chunks = asked.groupBy("_block").agg(F.expr(f"int(ceil(count(1) / {ASKING_ROWS})) as chunks"))  # <= MAX_BLOCKS rows
-    asking = asked.join(few(chunks, MAX_BLOCKS), "_block").withColumn("_chunk", F.expr("int(pmod(xxhash64(pid), chunks))"))
+    chunks = asked.groupBy("_block").agg(F.expr(f"int(ceil(count(1) / {ASKING_ROWS})) as chunks"))
+    asking = asked.join(chunks, "_block").withColumn("_chunk", F.expr("int(pmod(xxhash64(pid), chunks))")).join(
+        points.select(*columns), "pid")
     shares = chunks.selectExpr("_block as _of_block", "explode(sequence(0, chunks - 1)) as _chunk")
     asked_of = blocked.select(*columns, "_block").join(shares, F.col("_block") == F.col("_of_block"))
     across = asking.groupBy("_block", "_chunk").cogroup(asked_of.groupBy("_of_block", "_chunk")).applyInPandas(

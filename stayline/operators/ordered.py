@@ -9,78 +9,59 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.functions.exprs import few, hash_key
+from stayline.functions.exprs import hash_key
 from stayline.session import materialise
 
-# Up to this many rows the built-in exact operators hold all state in one task without strain.
-SINGLE_TASK_ROWS = 500_000
 SKETCH_ACCURACY = 20_000
 HASH_PREFIX = 4  # hex digits, 65,536 buckets
 
 
 def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), name: str = "feature"
 ) -> DataFrame:
-    """Linearly interpolated quantiles as rows ``(*by, feature, prob, value)``; nulls are skipped.
+    """Linearly interpolated quantiles as rows ``(*by, <name>, prob, value)``; nulls are skipped.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one task, so it is used
-    only after the row count was checked. Beyond that the ranks are found in two light steps: a
-    mergeable sketch brackets each quantile within a few 1e-4 of the rows, then only the rows inside
-    the brackets are counted by value and ordered. The answer is the same.
+    The built-in ``percentile`` keeps every distinct value of a group in one task. Here the ranks are
+    found in two light steps at every size: a mergeable sketch brackets each quantile within a few
+    1e-4 of the rows, then only the rows inside the brackets are counted by value and ordered.
     """
     by = list(by)
-    if df.count() <= single_task_rows:
-        return _builtin_quantiles(df, cols, probs, by)
-    return _bracketed_quantiles(df, cols, probs, by)
-
-
-def _builtin_quantiles(df, cols, probs, by):
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*by).agg(*[F.percentile(c, wanted).alias(c) for c in cols])
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("q")) for c in cols])
-    return (
-        wide.select(*by, F.explode(pairs).alias("e"))
-        .select(*by, "e.feature", F.explode(F.arrays_zip(wanted.alias("prob"), F.col("e.q").alias("value"))).alias("z"))
-        .select(*by, "feature", F.col("z.prob").alias("prob"), F.col("z.value").alias("value"))
-    )
-
-
-def _bracketed_quantiles(df, cols, probs, by):
-    keys = [*by, "feature"]
+    keys = [*by, name]
     long = (
         df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-        .unpivot(by, list(cols), "feature", "value")
+        .unpivot(by, list(cols), name, "value")
         .where(F.col("value").isNotNull())
     )
-    margin = 5.0 / SKETCH_ACCURACY
-    lows = [max(p - margin, 0.0) for p in probs]
-    highs = [min(p + margin, 1.0) for p in probs]
+    # A bracket must reach a few rows to either side, so small groups take a wider one, the smallest all rows.
+    margins = [5.0 / SKETCH_ACCURACY, 0.01, 0.1]
+    places = [min(max(p + side * m, 0.0), 1.0) for m in margins for side in (-1, 1) for p in probs]
     sketch = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("value").alias("least"),
         F.max("value").alias("most"),
-        F.percentile_approx("value", lows + highs, SKETCH_ACCURACY).alias("edges"),
+        F.percentile_approx("value", places, SKETCH_ACCURACY).alias("edges"),
     )
     k = len(probs)
+
+    def edge(i: int, upper: int) -> Column:
+        end = F.col("most") if upper else F.col("least")
+        out = end
+        for j in reversed(range(len(margins))):
+            p, m = probs[i], margins[j]
+            near = end if (p + m >= 1 if upper else p - m <= 0) else F.col("edges")[(2 * j + upper) * k + i]
+            out = F.when(F.col("n") * F.lit(m) >= 3, near).otherwise(out)
+        return out
+
     bracket = [
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            (F.col("least") if p <= margin else F.col("edges")[i]).alias("lo"),
-            (F.col("most") if p >= 1 - margin else F.col("edges")[k + i]).alias("hi"),
-        )
+        F.struct(F.lit(float(p)).alias("prob"), edge(i, 0).alias("lo"), edge(i, 1).alias("hi"))
         for i, p in enumerate(probs)
     ]
-    # One row per group, column and quantile: as few as the groups themselves.
+    # One row per group, column and quantile; joins pick their form by the size they find.
     brackets = sketch.select(*keys, "n", F.explode(F.array(*bracket)).alias("b")).select(*keys, "n", "b.*")
-    aimed = long.join(few(brackets), keys)
+    aimed = long.join(brackets, keys)
     slot = [*keys, "prob"]
     below = aimed.groupBy(*slot).agg(
         F.first("n").alias("n"), F.count_if(F.col("value") < F.col("lo")).alias("below")
@@ -90,7 +71,7 @@ def _bracketed_quantiles(df, cols, probs, by):
         .groupBy(*slot, "value").agg(F.count(F.lit(1)).alias("c"))
     )
     order = Window.partitionBy(*slot).orderBy("value")
-    ranked = inside.withColumn("upto", F.sum("c").over(order)).join(few(below), slot)
+    ranked = inside.withColumn("upto", F.sum("c").over(order)).join(below, slot)
     position = (F.col("n") - 1) * F.col("prob")
     reached = F.col("below") + F.col("upto")
     found = ranked.groupBy(*slot).agg(
@@ -131,7 +112,7 @@ def rank_cuts(
         .select(by, "bucket", "slot", (F.col("rank") - F.col("upto") + F.col("n")).alias("nth"))
     )
     # ``located`` has one row per class and slot.
-    near = rows.join(few(located), [by, "bucket"])
+    near = rows.join(located, [by, "bucket"])
     # Equal keys share a place, so a key that is not unique cannot crowd the ordering.
     folded = near.groupBy(by, "slot", "nth", "h", "k").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy(by, "slot").orderBy("h", "k"))
@@ -151,31 +132,20 @@ def shuffle_position(key: str, seed: int) -> Column:
 
 
 def running_sum(
-    df: DataFrame,
-    order: str,
-    cols: Sequence[str],
-    by: Sequence[str] = (),
-    descending: bool = False,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    pieces: int = 1000,
+    df: DataFrame, order: str, cols: Sequence[str], by: Sequence[str] = (), descending: bool = False,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<col>``: sums of ``cols`` over all rows up to and including the current one.
 
-    ``df`` holds one row per (``by``, ``order``). A single ordered window is used only when the row
-    count was checked. Beyond that the ordering is cut at quantile edges: windows run inside the
-    pieces and the totals of earlier pieces are added.
+    ``df`` holds one row per (``by``, ``order``). The ordering is dealt to ``pieces`` ranges (as many as
+    shuffle partitions), written once; windows run inside a range and the totals of earlier ranges
+    are added. No task orders more than its range.
     """
     by = list(by)
+    spark = df.sparkSession
+    n = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = materialise(df.repartitionByRange(n, order).withColumn("_piece", F.spark_partition_id()), "ordered")
     direction = F.col(order).desc() if descending else F.col(order).asc()
-    if df.count() <= single_task_rows:
-        window = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(window).alias(f"cum_{c}") for c in cols])
-
-    df = materialise(df, "ordered")  # read three times below
-    steps = [i / pieces for i in range(1, pieces)]
-    edges = df.agg(F.percentile_approx(order, steps, 10 * pieces)).first()[0]  # < pieces numbers
-    splits = [float("-inf"), *sorted(set(edges)), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol=order, outputCol="_piece").transform(df)
     piece = F.col("_piece").desc() if descending else F.col("_piece").asc()
     totals = cut.groupBy(*by, "_piece").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     earlier = Window.partitionBy(*by).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)

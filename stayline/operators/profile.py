@@ -12,7 +12,7 @@ from stayline.columns import (
     BINARY, BINARY_CODES, CATEGORICAL, CLASSES, CORRELATED, NUMERIC, TENURE_EDGES, TENURE_LABELS,
 )
 from stayline.functions.exprs import (
-    band_index, band_label, few, half_even, hash_key, lookup, one_row, ratio, recode,
+    band_index, band_label, half_even, hash_key, one_row, ratio, recode,
 )
 from stayline.operators.ordered import exact_quantiles
 
@@ -66,7 +66,7 @@ def describe(df: DataFrame, cols: Sequence[str] = NUMERIC, digits: int | None =
     quartiles = exact_quantiles(df, cols, QUARTILES).groupBy("feature").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{int(p * 100)}") for p in QUARTILES
     ])
-    joined = moments.join(few(quartiles), "feature")  # one row per listed column
+    joined = moments.join(quartiles, "feature")
     return joined.select("feature", "n", *[
         half_even(F.col(c), digits).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")
     ])
@@ -222,34 +222,50 @@ def insights(df: DataFrame, cols: Sequence[str] = CATEGORICAL) -> DataFrame:
 
 # --- distributions -----------------------------------------------------------------------------
 
-def histogram(df: DataFrame, column: str, by: str = "churn", bins: int = 30, density: bool = True) -> DataFrame:
-    """Equal-width bins over each group's own range, last bin closed, empty bins kept."""
-    data = df.select(F.col(by), F.col(column).cast("double").alias("x")).where("x is not null")
-    stats = data.groupBy(by).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("total"))
-    placed = data.withColumn("g", lookup(stats, by)[F.col(by)]).selectExpr(
-        by, f"coalesce(floor(try_divide(x - g.lo, (g.hi - g.lo) / {bins})), 0) as bin"
+def _stacked(df: DataFrame, columns: str | Sequence[str], by: str) -> tuple[DataFrame, list[str]]:
+    """Values ``x`` of one column, or of several under ``feature``, with their grouping columns."""
+    if isinstance(columns, str):
+        return df.select(F.col(by), F.col(columns).cast("double").alias("x")).where("x is not null"), [by]
+    wide = df.select(F.col(by), *[F.col(c).cast("double").alias(c) for c in columns])
+    return wide.unpivot([by], list(columns), "feature", "x").where("x is not null"), ["feature", by]
+
+
+def histogram(df: DataFrame, columns: str | Sequence[str], by: str = "churn", bins: int = 30,
+              density: bool = True) -> DataFrame:
+    """Equal-width bins over each group's own range, last bin closed, empty bins kept.
+
+    A list of columns gives their histograms in one go, told apart by ``feature``.
+    """
+    data, keys = _stacked(df, columns, by)
+    stats = data.groupBy(*keys).agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("x").alias("total"))
+    placed = data.join(stats, keys).selectExpr(
+        *keys, f"coalesce(floor(try_divide(x - lo, (hi - lo) / {bins})), 0) as bin"
     )
-    counts = placed.selectExpr(by, f"int(least(bin, {bins - 1})) as bin").groupBy(by, "bin").agg(F.count(F.lit(1)).alias("n"))
-    grid = stats.select(by, "lo", "hi", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    full = grid.join(few(counts, 100_000), [by, "bin"], "left")  # at most groups x bins rows
+    counts = placed.selectExpr(*keys, f"int(least(bin, {bins - 1})) as bin").groupBy(*keys, "bin").agg(
+        F.count(F.lit(1)).alias("n"))
+    grid = stats.select(*keys, "lo", "hi", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    full = grid.join(counts, [*keys, "bin"], "left")
     step = (F.col("hi") - F.col("lo")) / bins
     n = F.coalesce(F.col("n"), F.lit(0))
     height = F.try_divide(n.cast("double"), F.col("total") * step) if density else n.cast("double")
-    return full.select(by, "bin", (F.col("lo") + F.col("bin") * step).alias("left_edge"),
+    return full.select(*keys, "bin", (F.col("lo") + F.col("bin") * step).alias("left_edge"),
                        n.cast("bigint").alias("n"), height.alias("height"))
 
 
-def box_stats(df: DataFrame, column: str, by: str = "churn") -> DataFrame:
-    """Quartiles, whiskers at the furthest value within 1.5 interquartile ranges, outlier count."""
-    data = df.select(F.col(by), F.col(column).cast("double").alias("x")).where("x is not null")
-    quartiles = exact_quantiles(data, ["x"], QUARTILES, [by]).groupBy(by).agg(*[
+def box_stats(df: DataFrame, columns: str | Sequence[str], by: str = "churn") -> DataFrame:
+    """Quartiles, whiskers at the furthest value within 1.5 interquartile ranges, outlier count.
+
+    A list of columns gives one row per ``feature`` and group.
+    """
+    data, keys = _stacked(df, columns, by)
+    quartiles = exact_quantiles(data, ["x"], QUARTILES, keys, "_column").groupBy(*keys).agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{int(p * 100)}") for p in QUARTILES
     ])
-    ranged = data.withColumn("q", lookup(quartiles, by)[F.col(by)]).selectExpr(
-        by, "x", "q.q25", "q.q50", "q.q75",
-        "x between q.q25 - 1.5D * (q.q75 - q.q25) and q.q75 + 1.5D * (q.q75 - q.q25) as inside",
+    ranged = data.join(quartiles, keys).selectExpr(
+        *keys, "x", "q25", "q50", "q75",
+        "x between q25 - 1.5D * (q75 - q25) and q75 + 1.5D * (q75 - q25) as inside",
     )
-    return ranged.groupBy(by).agg(
+    return ranged.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.first(q).alias(q) for q in ("q25", "q50", "q75")],
         F.min(F.when(F.col("inside"), F.col("x"))).alias("whisker_low"),
@@ -270,8 +286,8 @@ def kde(df: DataFrame, column: str, by: str = "churn", points: int = 1000) -> Da
         F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.stddev_samp("x").alias("std")
     ).where("n > 1 and std > 0")
     packed = stats.withColumn("h", F.col("std") * F.pow("n", F.lit(-0.2))).withColumn("span", F.col("hi") - F.col("lo"))
-    group = lookup(packed, by)[F.col(by)]
-    spread = folded.withColumn("g", group).where("g is not null").select(
+    packed = packed.select(by, F.struct("n", "lo", "span", "h").alias("g"))
+    spread = folded.join(packed, by).select(
         by, "x", "c", "g", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
     at = F.col("g.lo") - 0.5 * F.col("g.span") + F.col("point") * (2.0 * F.col("g.span") / (points - 1))

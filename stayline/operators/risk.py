@@ -8,9 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.columns import BAND_EDGES, HIGH_RISK, KEY, MEDIUM_RISK, PRIORITY_LABELS, RISK_LABELS, SEED
+from stayline.columns import BAND_EDGES, HIGH_RISK, KEY, MEDIUM_RISK, PRIORITY_LABELS, RISK_LABELS
 from stayline.functions.exprs import band_index, band_label, one_row
-from stayline.operators.split import sample_n
 
 
 def tier(score: str = "score") -> str:
@@ -47,10 +46,9 @@ def risk_bands(df: DataFrame, score: str = "score", edges: Sequence[float] = tup
     return counts.selectExpr(f"stack({len(labels)}, {rows}) as (band_ord, band, n)")
 
 
-def priority_tiers(df: DataFrame, n: int = 200, seed: int = SEED, score: str = "score", key: str = KEY) -> DataFrame:
-    """Priority label of a seeded sample of n customers."""
-    chosen = sample_n(df.select(key, score), n, seed, key)
-    return chosen.withColumn("priority", band_label(F.col(score), BAND_EDGES, PRIORITY_LABELS))
+def priority_tiers(df: DataFrame, score: str = "score", key: str = KEY) -> DataFrame:
+    """Priority label of every scored customer; ``split.sample_n`` draws some of them for a chart."""
+    return df.select(key, score).withColumn("priority", band_label(F.col(score), BAND_EDGES, PRIORITY_LABELS))
 
 
 def proba_hist(df: DataFrame, bins: int = 40, score: str = "score", label: str = "label") -> DataFrame:

@@ -20,6 +20,10 @@ from stayline.session import materialise, new_path, once
 from stayline.sources.snapshot import snapshot
 
 
+#: Labelled rows used to fit by default. It bounds oversampling and training; scoring takes all rows.
+FIT_ROWS = 1_000_000
+
+
 @dataclass
 class Pipeline:
     """Clean, encode, split, scale, balance, train, evaluate, select, explain.
@@ -31,6 +35,7 @@ class Pipeline:
     customers: DataFrame
     settings: dict = field(default_factory=dict)  # arguments of ``models.estimators``
     seed: int = SEED
+    fit_rows: int = FIT_ROWS  # labelled rows used to fit, drawn per class by seeded hash if there are more
 
     @property
     def spark(self) -> SparkSession:
@@ -54,9 +59,10 @@ class Pipeline:
     def scaler(self) -> DataFrame:
         return materialise(fit_scaler(self.prepared.where("not is_test")), "scaler")
 
-    @cached_property
+    @property
     def scaled(self) -> DataFrame:
-        return materialise(scale(self.prepared, self.scaler), "scaled")
+        """A projection of ``prepared`` with the one-row scaler; not stored."""
+        return scale(self.prepared, self.scaler)
 
     @property
     def train(self) -> DataFrame:
@@ -66,9 +72,17 @@ class Pipeline:
     def test(self) -> DataFrame:
         return self.scaled.where("is_test")
 
+    @cached_property
+    def fit_source(self) -> DataFrame:
+        n = self.prepared.where("not is_test").count()
+        if n <= self.fit_rows:
+            return self.train
+        drawn = stratified_split(self.train.drop("is_test"), "label", self.fit_rows / n, self.seed + 1)
+        return materialise(drawn.where("is_test").withColumn("is_test", F.lit(False)), "fit-source")
+
     @cached_property
     def balanced(self) -> DataFrame:
-        return materialise(smote(self.train, self.spec.names, seed=self.seed), "balanced")
+        return materialise(smote(self.fit_source, self.spec.names, seed=self.seed), "balanced")
 
     @cached_property
     def fitted(self) -> tuple[dict[str, Model], dict[str, float]]:
@@ -87,41 +101,65 @@ class Pipeline:
 
     @cached_property
     def ranking(self) -> DataFrame:
-        return select_best(self.metrics, models.MODEL_ORDER)
+        return materialise(select_best(self.metrics, models.MODEL_ORDER), "ranking")
 
     @cached_property
     def best_name(self) -> str:
         return self.ranking.where("is_best = 1").first()["model"]
 
+    @cached_property
+    def cv_scores(self) -> DataFrame:
+        """AUC of every learner in every fold."""
+        learners = models.estimators(self.balanced.count(), **self.settings)
+        rows = models.cross_validate(self.fit_source, self.spec.names, learners, seed=self.seed)
+        return self.spark.createDataFrame(rows, "model string, fold int, auc double")
+
     @property
     def best_scored(self) -> DataFrame:
         return self.scored.where(F.col("model") == self.best_name)
 
-    @cached_property
-    def leaves(self) -> list[tuple]:
-        """Leaf paths of the forest, read back from its saved node table."""
-        path = new_path(self.spark, "forest")
-        self.fitted[0][models.FOREST].write().save(path)
-        return explain.forest_leaves(explain.forest_nodes(self.spark, path))
+    def leaves_of(self, name: str) -> list[tuple]:
+        """Leaf paths of a tree model, read back from its saved node table."""
+        path = new_path(self.spark, "trees")
+        model = self.fitted[0][name]
+        model.write().save(path)
+        if name == models.FOREST:
+            return explain.tree_leaves(explain.forest_nodes(self.spark, path))
+        return explain.tree_leaves(explain.boosted_nodes(self.spark, path, model.treeWeights))
 
     @cached_property
-    def shap_forest(self) -> DataFrame:
+    def background(self) -> list[float]:
+        return explain.linear_base(self.train, self.spec.names)
+
+    def explained(self, name: str) -> tuple[DataFrame, float]:
+        """Attributions (key, x, phi) of one model over the test rows, and the value they start from.
+
+        A forest is explained on the probability, boosted trees and logistic regression on the log-odds.
+        """
+        if name == models.LOGISTIC:
+            model = self.fitted[0][name]
+            coefs = model.coefficients.toArray().tolist()
+            base = model.intercept + sum(c * m for c, m in zip(coefs, self.background))
+            return explain.shap_linear(self.test, self.spec.names, coefs, self.background), base
+        leaves = self.leaves_of(name)
         test = assemble(self.test, self.spec.names).select(KEY, "features")
         cores = self.spark.sparkContext.defaultParallelism
-        spread = cores if test.count() < 10_000 * cores else None
-        return materialise(explain.shap_tree(test, self.leaves, self.spec.names, partitions=spread), "shap")
+        return explain.shap_tree(test, leaves, partitions=cores), explain.tree_base(leaves)
 
     @cached_property
-    def background(self) -> list[float]:
-        return explain.linear_base(self.train, self.spec.names, seed=self.seed)
+    def explanation(self) -> tuple[DataFrame, float]:
+        """``explained`` for the selected model, stored as one row with two arrays per customer."""
+        rows, base = self.explained(self.best_name)
+        return materialise(rows, "shap"), base
 
-    def shap_linear(self) -> DataFrame:
-        coefs = self.fitted[0][models.LOGISTIC].coefficients.toArray().tolist()
-        return explain.shap_linear(self.test, self.spec.names, coefs, self.background)
+    @property
+    def shap(self) -> DataFrame:
+        """Rows (key, feature, feature_value, shap) of the selected model."""
+        return explain.long_form(self.explanation[0], self.spec.names)
 
     @cached_property
     def importance(self) -> DataFrame:
-        return explain.importance(self.shap_forest)
+        return explain.importance(self.shap)
 
     def report(self) -> DataFrame:
         """Final findings as rows (section, item, value)."""
@@ -138,7 +176,9 @@ class Pipeline:
         )
         composite = self.ranking.select(F.lit("composite").alias("section"), F.col("model").alias("item"),
                                         F.col("composite").alias("value"))
-        return sizes.unionByName(balance).unionByName(table).unionByName(composite)
+        cv = models.cv_summary(self.cv_scores).where(F.col("model") == self.best_name).selectExpr(
+            "'cross validation' as section", "stack(2, 'mean', cv_mean, 'deviation', cv_std) as (item, value)")
+        return sizes.unionByName(balance).unionByName(table).unionByName(composite).unionByName(cv)
 
 
 def pipeline(spark: SparkSession, sf_dir: str, **settings) -> Pipeline:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.columns import METRICS
-from stayline.functions.exprs import few, lookup, slug
+from stayline.functions.exprs import slug
 from stayline.operators.features import FeatureSpec
 
 
@@ -62,12 +62,14 @@ def metadata(metrics: DataFrame, best: DataFrame, n_features: int, test_rows: Da
     """
     winner = best.where("is_best = 1").select("model").scalar()
     values = ", ".join(f"'{m}', rint({m} * 1e4D) / 1e4D" for m in METRICS)
-    listed = few(metrics).agg(F.expr(f"map_from_entries(collect_list((model, named_struct({values})))) as all_models"))
+    listed = metrics.agg(F.expr(f"map_from_entries(collect_list((model, named_struct({values})))) as all_models"))
     listed = listed.withColumn("best_model", winner)
     if cv is None:
         folds = F.expr("named_struct('cv_mean', cast(null as double), 'cv_std', cast(null as double))")
     else:
-        folds = lookup(cv.select("model", "cv_mean", "cv_std"), "model")[F.col("best_model")]
+        own_folds = cv.groupBy().agg(
+            F.map_from_entries(F.collect_list(F.struct("model", F.struct("cv_mean", "cv_std")))).alias("m"))  # few models
+        folds = own_folds.scalar()[F.col("best_model")]
     own = ", ".join(f"'{m}', all_models[best_model].{m}" for m in METRICS)
     return listed.withColumn("cv", folds).select(
         "best_model", slug(F.col("best_model"), "_best_model").alias("model_file"),

@@ -71,8 +71,8 @@ def test_auc_counts_ties_half(spark, limit):
     rng = np.random.default_rng(11)
     labels, scores = rng.integers(0, 2, 400), np.round(rng.random(400), 2)
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(labels, scores)], "label int, score double")
-    assert evaluate.roc_auc(df, single_task_rows=limit).first()[0] == pytest.approx(auc_by_pairs(labels, scores), abs=1e-12)
-    curve = evaluate.roc_curve(df, single_task_rows=limit).orderBy(F.desc("threshold")).toPandas()
+    assert evaluate.roc_auc(df).first()[0] == pytest.approx(auc_by_pairs(labels, scores), abs=1e-12)
+    curve = evaluate.roc_curve(df).orderBy(F.desc("threshold")).toPandas()
     assert math.isinf(curve["threshold"][0]) and (curve["fpr"][0], curve["tpr"][0]) == (0, 0)
     assert (curve["fpr"].iloc[-1], curve["tpr"].iloc[-1]) == (1, 1)
     assert np.trapezoid(curve["tpr"], curve["fpr"]) == pytest.approx(auc_by_pairs(labels, scores), abs=1e-12)

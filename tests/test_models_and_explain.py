@@ -92,8 +92,8 @@ def test_forest_attribution_equals_the_definition(spark):
     path = new_path(spark, "forest")
     model.write().save(path)
     nodes = explain.forest_nodes(spark, path)
-    leaves = explain.forest_leaves(nodes)
-    got = explain.shap_tree(rows, leaves, names).toPandas().pivot(index=KEY, columns="feature", values="shap")
+    leaves = explain.tree_leaves(nodes)
+    got = explain.long_form(explain.shap_tree(rows, leaves), names).toPandas().pivot(index=KEY, columns="feature", values="shap")
     trees = {}
     for n in nodes.collect():
         trees.setdefault(n.tree, {})[n.id] = n
@@ -102,21 +102,30 @@ def test_forest_attribution_equals_the_definition(spark):
         assert np.allclose(got.loc[f"k{i}", names], want, atol=1e-12)
 
 
-def test_forest_attributions_add_up_to_the_score(pipe):
-    total = pipe.shap_forest.groupBy(KEY).agg(F.sum("shap").alias("t"))
-    scored = pipe.scored.where(F.col("model") == models.FOREST)
-    base = explain.forest_base(pipe.leaves)
-    worst = total.join(scored, KEY).agg(F.max(F.abs(F.col("t") + base - F.col("score")))).first()[0]
-    assert worst < 1e-9
+@pytest.mark.parametrize("name", models.MODEL_ORDER)
+def test_attributions_of_every_model_add_up(pipe, name):
+    rows, base = pipe.explained(name)
+    total = explain.long_form(rows, pipe.spec.names).groupBy(KEY).agg(F.sum("shap").alias("t"))
+    scored = pipe.scored.where(F.col("model") == name)
+    whole = F.col("t") + base
+    score = whole if name == models.FOREST else 1 / (1 + F.exp(-whole))
+    found = total.join(scored, KEY).agg(F.max(F.abs(score - F.col("score"))), F.count(F.lit(1))).first()
+    assert found[0] < 1e-9 and found[1] == pipe.test.count()
 
 
-def test_linear_attributions_add_up_to_the_log_odds(pipe):
-    model = pipe.fitted[0][models.LOGISTIC]
-    base = model.intercept + float(np.dot(model.coefficients.toArray(), pipe.background))
-    total = pipe.shap_linear().groupBy(KEY).agg(F.sum("shap").alias("t"))
-    scored = pipe.scored.where(F.col("model") == models.LOGISTIC)
-    odds = F.log(F.col("score") / (1 - F.col("score")))
-    assert total.join(scored, KEY).agg(F.max(F.abs(F.col("t") + base - odds))).first()[0] < 1e-6
+def test_the_selected_model_is_explained(pipe):
+    rows, base = pipe.explanation
+    again, other = pipe.explained(pipe.best_name)
+    assert base == pytest.approx(other)
+    assert rows.join(again.withColumnRenamed("phi", "phi2"), KEY).where("phi != phi2").count() == 0
+
+
+def test_the_fit_is_bounded_by_a_parameter(pipe):
+    from stayline.plans.training import Pipeline
+
+    small = Pipeline(pipe.customers, pipe.settings, fit_rows=400)
+    assert small.fit_source.count() == pytest.approx(400, abs=1)
+    assert small.fit_source.join(pipe.train, KEY, "left_anti").count() == 0
 
 
 def test_importance_views(pipe):
@@ -124,9 +133,9 @@ def test_importance_views(pipe):
     assert len(ranked) == 45
     assert [r.mean_abs_shap for r in ranked] == sorted((r.mean_abs_shap for r in ranked), reverse=True)
     n = pipe.test.count()
-    assert explain.of_top_features(pipe.shap_forest, pipe.importance, 3).count() == 3 * n
+    assert explain.of_top_features(pipe.shap, pipe.importance, 3).count() == 3 * n
     who = pipe.test.where("label = 1").agg(F.min(KEY)).first()[0]
-    rows = explain.waterfall(pipe.shap_forest, who, 0.3).collect()
+    rows = explain.waterfall(pipe.shap, who, 0.3).collect()
     sizes = [abs(r.shap) for r in rows]
     assert len(rows) == 15 and {r[KEY] for r in rows} == {who} and sizes == sorted(sizes, reverse=True)
 

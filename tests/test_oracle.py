@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry._own_queries(), entry.oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +39,7 @@ def test_matches_sql(name, spark, sf, duck):
     pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"cv_scores", "cv_box"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(name, spark, sf):
     df = QUERIES[name](spark, sf)
     assert df.count() > 0
