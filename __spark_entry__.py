@@ -297,7 +297,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "importance_roundtrip": importance_roundtrip,
         "model_roundtrip": model_roundtrip,
         "metadata_rows": metadata_rows,
-        "report_rows": lambda s, d: fixed(profile.report(_clean(s, d))),
+        "report_rows": lambda s, d: fixed(profile.report(_clean(s, d), _numeric(s, d))),
         "final_report": lambda s, d: _pipe(s, d).report(),
         # B profiling
         "profile_shape": lambda s, d: profile.shape(snapshot(s, d)),

@@ -262,6 +262,17 @@ select raw as feature, array_to_string(list_transform(regexp_extract_all(s, '[A-
 def _report() -> str:
     corr = " union all ".join(f"select 'correlation', '{c}', {_corr(c, 'label')} from numf" for c in CORRELATED)
     means = " union all ".join(f"select 'mean {c}', churn, avg({c}) from clean group by churn" for c in NUMERIC)
+    kinds = {"senior_citizen": "int", "tenure": "int", "monthly_charges": "double", "total_charges": "double", "label": "int"}
+    names = [*[c for c in PUBLIC_NAME if c != "total_charges_raw"], "total_charges", "label"]
+    types = " union all ".join(
+        f"select 'type', '{c} {kinds.get(c, 'string')}', count({c})::double from clean" for c in dict.fromkeys(names))
+    missing = " union all ".join(
+        f"select 'missing', '{c}', count(*) - count({c}) from num having count(*) > count({c})"
+        for c in dict.fromkeys(names) if c != "label")
+    stats = {"n": "count({})", "mean": "avg({})", "std": "stddev_samp({})", "min": "min({})", "max": "max({})",
+             "q25": "quantile_cont({}, 0.25)", "q50": "quantile_cont({}, 0.5)", "q75": "quantile_cont({}, 0.75)"}
+    described = " union all ".join(
+        f"select 'describe {c}', '{name}', ({sql.format(c)})::double from num" for c in NUMERIC for name, sql in stats.items())
     return f"""with {RATES}, numf as (select {", ".join(f"({_coded(c) if c in BINARY else c})::double as {c}" for c in CORRELATED)} from clean),
 rows_ (section, item, value) as (
 select 'overview', 'rows', count(*)::double from clean union all
@@ -270,6 +281,11 @@ select 'overview', 'duplicate rows', ((select count(*) from clean) - (select cou
 select 'target', churn, count(*)::double from clean group by churn union all
 select 'target share', churn, 100.0::double * count(*) / (select count(*) from clean) from clean group by churn union all
 select 'rates', feature || '=' || level, rate from rates union all
+select 'highest rate', feature || '=' || level, rate from (select *, row_number() over (partition by feature
+  order by rate desc, level desc) as rn from rates) where rn = 1 union all
+select 'lowest rate', feature || '=' || level, rate from (select *, row_number() over (partition by feature
+  order by rate, level) as rn from rates) where rn = 1 union all
+{types} union all {missing} union all {described} union all
 {corr} union all {means})
 select section, item, {r("value")} as value from rows_"""
 

@@ -25,10 +25,9 @@ def missing_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count_if(F.col(column).isNull()).alias("n_missing"))
 
 
-def median_of(df: DataFrame, column: str, single_task_rows: int | None = None) -> Column:
+def median_of(df: DataFrame, column: str) -> Column:
     """Exact median as a scalar subquery."""
-    extra = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
-    return exact_quantiles(df, [column], [0.5], **extra).select("value").scalar()
+    return exact_quantiles(df, [column], [0.5]).select("value").scalar()
 
 
 def fill_median(df: DataFrame, column: str, fit_on: str = "all", train_flag: str = "is_test") -> DataFrame:

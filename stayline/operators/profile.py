@@ -15,6 +15,7 @@ from stayline.functions.exprs import (
     band_index, band_label, half_even, hash_key, one_row, ratio, recode,
 )
 from stayline.operators.ordered import exact_quantiles
+from stayline.session import materialise
 
 
 # --- overview --------------------------------------------------------------------------------
@@ -309,29 +310,44 @@ def scatter(df: DataFrame, x: str, y: str, by: str = "churn", key: str = "custom
 
 # --- report ------------------------------------------------------------------------------------
 
-def report(df: DataFrame) -> DataFrame:
-    """Findings as rows (section, item, value); ``df`` is cleaned and labelled."""
+def report(df: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Findings as rows (section, item, value); ``df`` is cleaned and labelled.
 
-    def part(frame: DataFrame, section: str, item: Column, value: Column) -> DataFrame:
-        return frame.select(F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value"))
-
-    balance = class_balance(df).selectExpr(
-        "churn", "stack(2, 'target', double(n), 'target share', pct) as (section, value)"
+    ``before`` is the table ahead of filling, for missing values and the description of the numbers.
+    Two small tables, one row per class and one per level, are written once, and most sections read those.
+    """
+    classes = df.groupBy("churn").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(F.col(f"`{c}`")).alias(f"v_{c}") for c in df.columns],
+        *[F.sum(F.col(c).cast("double")).alias(f"s_{c}") for c in NUMERIC],
     )
-    listed = ", ".join(f"'mean {c}', mean_{c}" for c in NUMERIC)
-    means = mean_by(df, "churn", NUMERIC).selectExpr("churn", f"stack({len(NUMERIC)}, {listed}) as (section, value)")
+    classes = materialise(classes, "report-classes")
+    rates = materialise(churn_rates(df, CATEGORICAL, None), "report-rates")
+
+    def rows(frame: DataFrame, *entries: tuple[str, str, str]) -> DataFrame:
+        listed = ", ".join(f"{section}, {item}, double({value})" for section, item, value in entries)
+        return frame.selectExpr(f"stack({len(entries)}, {listed}) as (section, item, value)")
+
+    whole = classes.agg(F.sum("n").alias("n"), *[F.sum(f"v_{c}").alias(f"v_{c}") for c in df.columns])
+    shares = classes.withColumn("total", whole.select("n").scalar())
+    ends = rates.groupBy("feature").agg(
+        F.max(F.struct("rate", "level")).alias("hi"), F.min(F.struct("rate", "level")).alias("lo"))
     parts = [
-        part(shape(df), "overview", F.lit("rows"), F.col("n_rows")),
-        part(shape(df), "overview", F.lit("columns"), F.col("n_columns")),
-        part(duplicate_rows(df), "overview", F.lit("duplicate rows"), F.col("n_duplicates")),
-        balance.selectExpr("section", "churn as item", "value"),
-        means.selectExpr("section", "churn as item", "value"),
-        part(churn_rates(df, CATEGORICAL, None), "rates", F.concat_ws("=", "feature", "level"), F.col("rate")),
-        part(corr_with_target(numeric_frame(df), digits=None), "correlation", F.col("feature"), F.col("corr")),
+        rows(whole, ("'overview'", "'rows'", "n"), ("'overview'", "'columns'", str(len(df.columns))),
+             *[("'type'", f"'{c} {t}'", f"v_{c}") for c, t in df.dtypes]),
+        rows(duplicate_rows(df), ("'overview'", "'duplicate rows'", "n_duplicates")),
+        rows(shares, ("'target'", "churn", "n"), ("'target share'", "churn", "100.0D * n / total"),
+             *[(f"'mean {c}'", "churn", f"s_{c} / v_{c}") for c in NUMERIC]),
+        rows(rates, ("'rates'", "concat_ws('=', feature, level)", "rate")),
+        rows(ends, ("'highest rate'", "concat_ws('=', feature, hi.level)", "hi.rate"),
+             ("'lowest rate'", "concat_ws('=', feature, lo.level)", "lo.rate")),
+        rows(corr_with_target(numeric_frame(df), digits=None), ("'correlation'", "feature", "corr")),
     ]
+    if before is not None:
+        parts.append(rows(missing_values(before), ("'missing'", "column_name", "n_missing")))
+        stats = ("n", "mean", "std", "min", "q25", "q50", "q75", "max")
+        parts.append(rows(describe(before, digits=None), *[("concat('describe ', feature)", f"'{x}'", x) for x in stats]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
