@@ -29,7 +29,7 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 def _llm() -> list:
     """The query modules of the training-data subpackage, if it is there."""
-    if importlib.util.find_spec("stayline.llm") is None:
+    if importlib.util.find_spec("stayline.llm") is None or importlib.util.find_spec("stayline.llm.queries") is None:
         return []
     modules = [importlib.import_module("stayline.llm.queries")]
     if importlib.util.find_spec("corpus_pipeline") is not None:
