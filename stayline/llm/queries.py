@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    fingerprints, jaccard_forest, license_scan, mixing, packing, quality, stream_dedup, suffix_dedup, token_counts, token_store,
+    fingerprints, jaccard_forest, license_scan, mixing, oracle, packing, quality, stream_dedup, suffix_dedup, token_counts,
+    token_store,
 )
 from stayline.llm.common import documents
 from stayline.session import new_path
@@ -56,7 +57,7 @@ def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(documents(spark, sf_dir))
+    return license_scan.scan(documents(spark, sf_dir)).select("doc_id", "license", "containment")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,10 +90,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op4_stream_dedup": """
-            with d as (select doc_id, coalesce(text, '') as t from documents)
-            select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
-                   doc_id = max(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
-            from d""",
-    }
+    return oracle.oracle_sql()
