@@ -11,8 +11,8 @@ from stayline.session import materialise
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, root) for all nodes of ``links`` (a, b); ``root`` is the smallest node of the component.
 
-    Each round takes the smallest label among the neighbours and then that label's own label, so long
-    chains halve per round. Labels are written every round, which keeps the plan short and survives
+    Each round takes the smallest label among the neighbours, and of every label its own label, so long
+    chains halve per round. Labels are written once a round, which keeps the plan short and survives
     lost executors; the driver sees one number per round.
     """
     both = links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct()
@@ -21,15 +21,12 @@ def components(links: DataFrame) -> DataFrame:
         both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("root")),
         "labels")
     while True:
-        far = labels.select(F.col("node").alias("other"), "root")
-        seen = both.join(far, "other").select("node", "root").union(labels)
-        near = seen.groupBy("node").agg(F.min("root").alias("root"))
-        near = materialise(near, "labels")
-        jump = near.select(F.col("node").alias("root"), F.col("root").alias("root2"))
-        after = near.join(jump, "root", "left").select("node", F.coalesce("root2", "root").alias("root"))
-        after = materialise(after, "labels")
+        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("root2"))
+        short = labels.join(jump, "root", "left").select("node", F.coalesce("root2", "root").alias("root"))
+        far = short.select(F.col("node").alias("other"), "root")
+        seen = both.join(far, "other").select("node", "root").union(short)
+        after = materialise(seen.groupBy("node").agg(F.min("root").alias("root")), "labels")
         before = labels.select("node", F.col("root").alias("was"))
-        changed = after.join(before, "node").where("root != was").isEmpty()
+        if after.join(before, "node").where("root != was").isEmpty():
+            return after
         labels = after
-        if changed:
-            return labels
