@@ -30,7 +30,7 @@ TREES = 32
 DEPTH = 8
 RECALL = 0.9999
 #: Classes per block of the verification; a task holds two blocks.
-BLOCK = 256
+BLOCK = 128
 _SEED = 20_240_607
 _PRIME = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses modulo 2**64
 
