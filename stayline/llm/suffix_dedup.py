@@ -11,8 +11,10 @@ a domain. Then
    their common extension, found by binary search over prefix polynomial hashes, and the byte after it.
    Neighbours with a common extension of ``length`` repeat, once their bytes have been compared.
 
-Groups of more than ``GROUP`` domains are dealt to several tasks. Each sorts its share and hands on one
-digest per distinct window; windows that occur in several shares are found by counting those.
+Groups of more than ``GROUP`` domains are dealt to several tasks, and each sorts its share. What may still
+repeat across shares goes by blocks of ``BLOCK`` windows next to each other: the bytes that all windows
+of a block have in common are counted by digest, and only blocks whose core occurs in several shares
+are looked at window by window.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ LENGTH = 200
 GRAM = 64
 #: Domains of one gram that are sorted together.
 GROUP = 512
+#: Windows of a domain that are handed on together when its group is dealt to several tasks.
+BLOCK = 8
 #: Texts are read in pieces of so many window starts.
 PIECE = 1 << 20
 #: Suffixes sorted at once in a task.
@@ -293,6 +297,26 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     dealt = cut.mapInArrow(pieces, schema).repartition(shuffle_width(docs), "g", "salt")
     dealt = dealt.sortWithinPartitions("g", "salt")
 
+    def blocks(g: int, data: bytes, label: np.ndarray, often: np.ndarray, lo: int, done: bool, told: set) -> list[tuple]:
+        """Blocks with windows not told yet: (start, None, core, bytes, windows, windows still open), as bits."""
+        (_, _, _, at), = domains(data, length, gram)
+        out = []
+        for b in sorted({(at - k) // BLOCK for k in range(len(label))}):
+            low = max(0, at - BLOCK * b - BLOCK + 1)
+            here = open_ = 0
+            for k in range(low, min(len(label), at - BLOCK * b + 1)):
+                if int(label[k]) not in told:
+                    told.add(int(label[k]))
+                    here |= 1 << (k - low)
+                    open_ |= 0 if done or often[k] else 1 << (k - low)
+            if here:
+                core = at - BLOCK * b
+                key = _digest(g.to_bytes(8, "little", signed=True) + b.to_bytes(4, "little")
+                              + data[core : core + length - BLOCK + 1])
+                part = data[low : min(len(label), core + 1) - 1 + length]
+                out.append((lo + low, None, key, part, here, open_))
+        return out
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # (batch, row, g, salt, split, done, lo, hi, data)
         size = 0
@@ -305,27 +329,22 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             often = np.bincount(label)[label] > 1
             names, rest, at = [], [], 0
             told: set[int] = set()
-            for (batch, row, _, _, split, done, lo, _, data), n in zip(held, counts, strict=True):
+            for (batch, row, g, _, split, done, lo, _, data), n in zip(held, counts, strict=True):
                 flags = often[at : at + n]
                 out = []
                 if not done:
-                    out += [(a, b, None, None) for a, b in _spans(flags, lo, length)]
-                if split:  # one digest per distinct window of the share; open windows say where they are
-                    for k in range(n):
-                        number = int(label[at + k])
-                        if number not in told:
-                            told.add(number)
-                            shut = done or bool(flags[k])
-                            out.append((lo + k, None if shut else lo + k + length, _digest(data[k : k + length]), shut))
+                    out += [(a, b, None, None, 0, 0) for a, b in _spans(flags, lo, length)]
+                if split:
+                    out += blocks(g, data, label[at : at + n], flags, lo, done, told)
                 names += [(batch, row)] * len(out)
                 rest += out
                 at += n
             ids = [pa.concat_arrays([b.column(c).slice(r, 1) for b, r in names]) if names else held[0][0].column(c).slice(0, 0)
                    for c in (0, 1)]
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [*ids, *[pa.array([r[k] for r in rest], t) for k, t in enumerate(types)]],
-                ["id", "mark", "start", "stop", "window", "shut"])
+                ["id", "mark", "start", "stop", "core", "data", "here", "open"])
 
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(2, 9)]
@@ -338,15 +357,36 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         if held:
             yield flush()
 
-    schema = f"id {kind}, mark bigint, start bigint, stop bigint, window binary, shut boolean"
+    schema = f"id {kind}, mark bigint, start bigint, stop bigint, core binary, data binary, here int, open int"
     with small_batches(spark, 4096):
         sorted_ = materialise(dealt.mapInArrow(search, schema), "sorted-windows")
-    inside = sorted_.where("window is null").select("id", "mark", "start", "stop")
+    inside = sorted_.where("core is null").select("id", "mark", "start", "stop")
 
-    # 4. Distinct windows of several shares of one gram.
-    shared = sorted_.where("window is not null")
-    often = shared.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    across = shared.where("not shut").join(often, "window").select("id", "mark", "start", "stop")
+    # 4. Blocks whose core is in several shares, then their windows.
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, found = [], []
+            columns = [batch.column(k).to_pylist() for k in range(2, 6)]
+            for i, (start, data, here, open_) in enumerate(zip(*columns, strict=True)):
+                for k in range(BLOCK):
+                    if here >> k & 1:
+                        owner.append(i)
+                        found.append((start + k, _digest(data[k : k + length]), bool(open_ >> k & 1)))
+            at = pa.array(owner, "int64")
+            types = (pa.int64(), pa.binary(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at)]
+                + [pa.array([f[k] for f in found], t) for k, t in enumerate(types)],
+                ["id", "mark", "start", "window", "open"])
+
+    shared = sorted_.where("core is not null")
+    met = shared.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    again = shared.join(met, "core").select("id", "mark", "start", "data", "here", "open")
+    schema = f"id {kind}, mark bigint, start bigint, window binary, open boolean"
+    again = materialise(again.mapInArrow(each, schema), "shared-windows")
+    often = again.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
+    across = again.where("open").join(often, "window").select(
+        "id", "mark", "start", (F.col("start") + length).alias("stop"))
     return settled.unionByName(whole).unionByName(inside).unionByName(across)
 
 
