@@ -20,6 +20,12 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Rows (id, mark, text); ``mark``, a hash of the text, tells rows with one id and different texts apart."""
+    value = text_of(text)
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(value).alias("mark"), value.alias("text"))
+
+
 def boxed(docs: DataFrame) -> DataFrame:
     """``docs`` as one struct column ``doc``: whatever its columns are called, added ones cannot clash."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))

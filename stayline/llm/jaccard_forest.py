@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import boxed, boxed_text, join_on, shuffle_width, small_batches, text_of
+from stayline.llm.common import boxed, boxed_text, join_on, keyed, shuffle_width, small_batches
 from stayline.llm.components import components
 from stayline.session import materialise
 
@@ -63,7 +63,7 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words: runs of letters, digits, underscores, and other non-ASCII characters, in lower case."""
+    """64-bit hashes of the words: runs of letters, digits, underscores and non-ASCII characters, in lower case."""
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
     if not len(data):
         return np.empty(0, np.uint64)
@@ -135,10 +135,11 @@ def _describe(docs: DataFrame, id_col: str, text: str, depth: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(digests, "binary"), pa.array(keys, pa.list_(pa.int64()))],
                 ["id", "mark", "digest", "keys"])
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(text)).alias("mark"), text_of(text).alias("text"))
+    rows = keyed(docs, id_col, text)
     kind = dict(rows.dtypes)["id"]
     with small_batches(docs.sparkSession):
-        return materialise(rows.mapInArrow(describe, f"id {kind}, mark bigint, digest binary, keys array<bigint>"), "sets")
+        schema = f"id {kind}, mark bigint, digest binary, keys array<bigint>"
+        return materialise(rows.mapInArrow(describe, schema), "sets")
 
 
 def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -265,10 +266,11 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rec
             columns = [*batch.columns[:5], data]
             yield pa.RecordBatch.from_arrays(columns, ["part", "blocks", "block", "k", "n", "data"]).filter(same)
 
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(text)).alias("mark"), text_of(text).alias("text"))
+    texts = keyed(docs, id_col, text)
     wanted = join_on(texts, members, ["id", "mark"]).select("part", "blocks", "block", "k", "n", "digest", "text")
     made = wanted.mapInArrow(sets_of, "part bigint, blocks bigint, block int, k bigint, n bigint, data binary")
-    dealt = made.select("*", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other")).select(
+    other = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other")
+    dealt = made.select("*", other).select(
         "part", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "k", "block", "n", "data")
     pairs = dealt.repartition(shuffle_width(docs), "part", "a", "b").sortWithinPartitions("part", "a", "b", "k")
     with small_batches(docs.sparkSession):

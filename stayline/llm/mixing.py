@@ -76,9 +76,10 @@ def multipliers(classes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFra
     ratio = F.try_divide(F.col("target"), F.col("source_size"))
     fixed = F.when(F.col("source_size") == 0, 1.0).when(ratio >= cap - 1e-9, float(cap)).when(ratio <= 1e-9, 0.0)
     state = materialise(
-        join_on(goals, moments, ["source"]).select("source", "source_size", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"),
-                     fixed.alias("fixed"), F.lit(0.0).alias("tilt"),
-                     F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(1.0).alias("miss")), "tilt")
+        join_on(goals, moments, ["source"]).select(
+            "source", "source_size", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"), fixed.alias("fixed"),
+            F.lit(0.0).alias("tilt"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(1.0).alias("miss")),
+        "tilt")
     for _ in range(MAX_ROUNDS):
         open_ = state.where("fixed is null and miss > 0")
         joined = join_on(classes, open_, ["source"])
@@ -106,7 +107,8 @@ def multipliers(classes: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFra
                 "source", "source_size", "target", "scale", "fixed",
                 F.when(F.col("gap").isNull() | done, F.col("tilt")).when(inside, step).otherwise(wide).alias("tilt"),
                 "low", "high",
-                F.when(F.col("gap").isNull(), 0.0).when(done, 0.0).otherwise(F.try_divide(F.abs("gap"), F.col("target"))).alias("miss"),
+                F.when(F.col("gap").isNull() | done, 0.0).otherwise(
+                    F.try_divide(F.abs("gap"), F.col("target"))).alias("miss"),
             ), "tilt")
         if not state.agg(F.max(F.when(F.col("fixed").isNull(), F.col("miss")))).first()[0]:
             break

@@ -162,7 +162,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text: str = "text", vocabulary
         plan(histogram, capacity), "_length bigint, low bigint, high bigint, first bigint, at bigint, per bigint")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
-        F.col("part").alias("_part"), F.col("length").alias("_l"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+        F.col("part").alias("_part"), F.col("length").alias("_l"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
     ranked = made.join(starts, (F.col("part") == F.col("_part")) & (F.col("length") == F.col("_l")))
     ranked = ranked.withColumn("rank", F.col("_base") + F.col("nth"))
     placed = ranked.join(

@@ -135,7 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         part = marked.where(F.col("_label") == q).orderBy(order, "_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 2 * sample ids by construction.
-    texts = docs.select(F.col(f"`{id_col}`").alias("_own"), text_of(text).alias("_t")).where(F.length("_t") <= SAMPLE_CHARS)
+    texts = docs.select(F.col(f"`{id_col}`").alias("_own"), text_of(text).alias("_t"))
+    texts = texts.where(F.length("_t") <= SAMPLE_CHARS)
     short = texts.join(F.broadcast(chosen), F.col("_own") == F.col("_id"))
     once = short.groupBy("_id", "_label").agg(F.min("_t").alias("t"))
     found = once.orderBy(F.xxhash64("_id"), "_id").collect()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import join_on, shuffle_width, small_batches, text_of
+from stayline.llm.common import join_on, keyed, shuffle_width, small_batches
 from stayline.llm.jaccard_forest import _mix, _power_table
 from stayline.session import materialise
 
@@ -116,7 +116,8 @@ class Arena:
 
     def less(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         n = self.extension(a, b)
-        return (n < self.length) & (self.data[a + np.minimum(n, self.length - 1)] < self.data[b + np.minimum(n, self.length - 1)])
+        at = np.minimum(n, self.length - 1)
+        return (n < self.length) & (self.data[a + at] < self.data[b + at])
 
     def sort(self, suffixes: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Order of ``suffixes`` inside consecutive groups: a bottom-up merge sort of all groups at once."""
@@ -211,7 +212,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                    gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """Rows (id, mark, start, stop): byte spans to remove, overlapping, ``mark`` a hash of the text."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(text)).alias("mark"), text_of(text).alias("text"))
+    rows = keyed(docs, id_col, text)
     kind = dict(rows.dtypes)["id"]
 
     # 1. Domains of all texts. Those that repeat inside a batch are settled there, as merged spans.
@@ -262,29 +263,32 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     live = materialise(kinds.join(grams.where("total > 1"), "g"), "live-grams")
     known = found.where("not done").join(live.drop("total").withColumnRenamed("n", "all"), ["g", "d"])
     known = materialise(known.select("id", "mark", "g", "d", "lo", "hi", "all", "differ"), "live-domains")
-    whole = known.where("all > 1").select("id", "mark", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
+    whole = known.where("all > 1").select(
+        "id", "mark", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
 
     # 3. Domains that differ under a common gram, and one of each repeated kind beside them.
     heads = found.join(live.where("differ > 1 and n > 1").select("g", "d", "differ"), ["g", "d"])
     heads = heads.groupBy("g", "d", "differ").agg(F.min(F.struct("id", "mark", "lo", "hi")).alias("h")).select(
         "h.id", "h.mark", "g", "differ", "h.lo", "h.hi", F.lit(True).alias("done"))
-    edges = known.where("all = 1 and differ > 1").select("id", "mark", "g", "differ", "lo", "hi", F.lit(False).alias("done"))
+    edges = known.where("all = 1 and differ > 1").select(
+        "id", "mark", "g", "differ", "lo", "hi", F.lit(False).alias("done"))
     shares = F.ceil(F.col("differ") / group)
     salt = F.pmod(F.xxhash64("id", "mark", "lo"), shares).cast("int")
     wanted = edges.unionByName(heads).select(
         "id", "mark", F.struct("g", salt.alias("salt"), (shares > 1).alias("split"), "done", "lo", "hi").alias("w"))
     wanted = materialise(wanted.groupBy("id", "mark").agg(F.collect_list("w").alias("w")), "wanted")
-    once = rows.withColumnRenamed("id", "_id").withColumnRenamed("mark", "_mark")
-    cut = wanted.join(once, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).drop("_id", "_mark")
+    cut = join_on(wanted, rows, ["id", "mark"])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, parts = [], []
-            for i, (places, value) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+            columns = (batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for i, (places, value) in enumerate(zip(*columns, strict=True)):
                 data = value.encode("utf-8", "surrogatepass")
                 for w in places:
                     owner.append(i)
-                    parts.append((w["g"], w["salt"], w["split"], w["done"], w["lo"], w["hi"], data[w["lo"] : w["hi"] + length]))
+                    part = data[w["lo"] : w["hi"] + length]
+                    parts.append((w["g"], w["salt"], w["split"], w["done"], w["lo"], w["hi"], part))
             at = pa.array(owner, "int64")
             kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -297,7 +301,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     dealt = cut.mapInArrow(pieces, schema).repartition(shuffle_width(docs), "g", "salt")
     dealt = dealt.sortWithinPartitions("g", "salt")
 
-    def blocks(g: int, data: bytes, label: np.ndarray, often: np.ndarray, lo: int, done: bool, told: set) -> list[tuple]:
+    def blocks(
+        g: int, data: bytes, label: np.ndarray, often: np.ndarray, lo: int, done: bool, told: set
+    ) -> list[tuple]:
         """Blocks with windows not told yet: (start, None, core, bytes, windows, windows still open), as bits."""
         (_, _, _, at), = domains(data, length, gram)
         out = []
@@ -339,8 +345,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 names += [(batch, row)] * len(out)
                 rest += out
                 at += n
-            ids = [pa.concat_arrays([b.column(c).slice(r, 1) for b, r in names]) if names else held[0][0].column(c).slice(0, 0)
-                   for c in (0, 1)]
+            none = held[0][0].slice(0, 0)
+            ids = [pa.concat_arrays([none.column(c), *[b.column(c).slice(r, 1) for b, r in names]]) for c in (0, 1)]
             types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [*ids, *[pa.array([r[k] for r in rest], t) for k, t in enumerate(types)]],
@@ -401,7 +407,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     spans = repeated_spans(docs, id_col, text, length, gram, group)
     gathered = materialise(
         spans.distinct().groupBy("id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text_of(text)).alias("mark"), text_of(text).alias("text"))
+    rows = keyed(docs, id_col, text)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -428,17 +434,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     kind = dict(rows.dtypes)["id"]
     schema = f"id {kind}, mark bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (
         ", spans array<struct<start:bigint,stop:bigint>>, kept binary" if with_kept else "")
-    renamed = rows.withColumnRenamed("id", "_id").withColumnRenamed("mark", "_mark")
-    touched = gathered.join(renamed, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
+    touched = join_on(gathered, rows, ["id", "mark"])
     with small_batches(docs.sparkSession):
         made = materialise(touched.select("id", "mark", "spans", "text").mapInArrow(strip, schema), "stripped")
     # Repeated rows have the same result.
     made = made.dropDuplicates(["id", "mark"])
-    plain = rows.select("id", "mark", F.octet_length("text").cast("bigint").alias("n_bytes"),
-                        F.sha2("text", 256).alias("_sha"), *([F.col("text").cast("binary").alias("_all")] if with_kept else []))
+    size, sha = F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("_sha")
+    plain = rows.select("id", "mark", size, sha, *([F.col("text").cast("binary").alias("_all")] if with_kept else []))
     out = join_on(plain, made, ["id", "mark"], "left")
     extra = [F.coalesce("spans", F.array().cast("array<struct<start:bigint,stop:bigint>>")).alias("spans"),
              F.coalesce("kept", "_all").alias("kept")] if with_kept else []
     return out.select(
         F.col("id").alias(id_col), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "_sha").alias("kept_sha256"), *extra)
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "_sha").alias("kept_sha256"),
+        *extra)
