@@ -36,11 +36,11 @@ class ChunkEncoder:
     pre-token of the supported files crosses the boundary in front of a single space, so the ids of a
     text are those of its chunks; texts where white space makes that untrue, and texts that hold a
     special string, go to the library whole. A new chunk is cut into pre-tokens, and the library's
-    model encodes those not seen yet. The caches hold at most ``limit`` entries; a full one starts
-    anew, which changes no result.
+    model encodes those not seen yet. Each cache holds two generations of at most ``limit`` entries: a
+    full one becomes the old one, from which entries in use are taken over. That changes no result.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 1_200_000):
+    def __init__(self, path: str, spaced: bool, limit: int = 350_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -50,6 +50,8 @@ class ChunkEncoder:
         self._limit = limit
         self._known: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
+        self._old_known: dict[str, bytes] = {}
+        self._old_parts: dict[str, bytes] = {}
         spec = json.loads(self._tokenizer.to_str())["pre_tokenizer"]
         pattern = PATTERN if spec["type"] == "ByteLevel" else spec["pretokenizers"][0]["pattern"]["Regex"]
         self._split = regex.compile(pattern).findall
@@ -76,19 +78,23 @@ class ChunkEncoder:
         for word in self._split(text):
             ids = self._parts.get(word)
             if ids is None:
-                ids = self._pretoken(word.encode().decode("latin-1").translate(self._letters))
+                ids = self._old_parts.get(word)
+                if ids is None:
+                    ids = self._pretoken(word.encode().decode("latin-1").translate(self._letters))
                 if len(self._parts) >= self._limit:
-                    self._parts.clear()
+                    self._old_parts, self._parts = self._parts, {}
                 self._parts[word] = ids
             out.append(ids)
         return b"".join(out)
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self._known) + len(chunks) > self._limit:
-            self._known.clear()
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         lead = " " if self._spaced else ""
-        for chunk in chunks:
-            self._known[chunk] = self._chunk(lead + chunk)
+        old = self._old_known.get
+        found = {chunk: old(chunk) or self._chunk(lead + chunk) for chunk in chunks}
+        if len(self._known) + len(found) > self._limit:
+            self._old_known, self._known = self._known, {}
+        self._known.update(found)
+        return found
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -113,11 +119,10 @@ class ChunkEncoder:
                 open_rows.append((i, ids, gaps))
             else:
                 out[i] = b"".join(ids)
-        if new:
-            self._learn(list(new))
+        found = self._learn(list(new)) if new else {}
         for i, ids, gaps in open_rows:
             for at, chunk in gaps:
-                ids[at] = self._known[chunk]
+                ids[at] = found[chunk]
             out[i] = b"".join(ids)
         return out
 
