@@ -50,6 +50,7 @@ class PrefixCounter:
         self._split = regex.compile(PATTERN)
         self._specials = regex.compile("|".join(map(regex.escape, self._special))) if self._special else None
         self._fits: dict[tuple[bytes, bytes], bool] = {}
+        self._states: dict[bytes, tuple[int, bytes]] = {}
         self._word_steps: dict[str, bytes] = {}
         self._chunks: dict[str, bytes] = {}
         self._limit = limit
@@ -57,11 +58,16 @@ class PrefixCounter:
     def _merge(self, data: bytes) -> list[bytes]:
         """The encoding of a few bytes by its definition: the best pair first."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self._rank.get((a, b), 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 60:
-                break
+        rank, none = self._rank.get, 1 << 60
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank((parts[at], parts[at + 1]), none)
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), none)
         return parts
 
     def _compatible(self, left: bytes, right: bytes) -> bool:
@@ -77,9 +83,15 @@ class PrefixCounter:
     def word(self, word: str) -> list[int]:
         """Counts at every prefix of one pre-token, by code points, from 1 on."""
         data = word.encode()
-        tokens, ends = self._tokens, self._ends
+        tokens, ends, states = self._tokens, self._ends, self._states
         counts, last = [0], [b""]
         for p in range(1, len(data) + 1):
+            # Words share their beginnings: what a prefix ends with is known from an earlier word.
+            state = states.get(data[:p]) if p <= 32 else None
+            if state is not None:
+                counts.append(state[0])
+                last.append(state[1])
+                continue
             found, q = [], p - 1
             while q >= 0 and data[q:p] in ends:
                 if data[q:p] in tokens:
@@ -93,6 +105,10 @@ class PrefixCounter:
                     break
             else:
                 raise ValueError("the vocabulary does not hold all single bytes")
+            if p <= 32:
+                if len(states) >= self._limit:
+                    states.clear()
+                states[data[:p]] = (counts[p], last[p])
         if word in CONTRACTIONS:  # cut before its end it is none
             counts[2] = 2
         if len(data) == len(word):
