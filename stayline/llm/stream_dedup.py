@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 from stayline.llm.common import boxed, boxed_text, join_on, text_of
 from stayline.session import materialise, new_path
 
-STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The store that keeps state on disk. Many small stores must not reserve disk ahead of need.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Arrivals per micro-batch; a row of arrivals has some hundred bytes.
 BATCH_BYTES = 1 << 30
 #: The copies of a text are compared in so many groups first.
@@ -38,8 +42,9 @@ def feed(arrivals: DataFrame, state: str, batch_bytes: int = BATCH_BYTES, max_fi
     spark = arrivals.sparkSession
     inbox, checkpoint = f"{state}/arrivals", f"{state}/checkpoint"
     arrivals.write.mode("append").parquet(inbox)
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STORE}
+    for key, value in STORE.items():
+        spark.conf.set(key, value)
     try:
         source = spark.readStream.schema(arrivals.schema)
         source = source.option("maxFilesPerTrigger", max_files) if max_files else source.option(
@@ -51,10 +56,11 @@ def feed(arrivals: DataFrame, state: str, batch_bytes: int = BATCH_BYTES, max_fi
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(STORE)
-        else:
-            spark.conf.set(STORE, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     stored = spark.read.format("statestore").load(checkpoint)
     keep, n = [F.col(f"value.`{f.name}`") for f in stored.schema["value"].dataType.fields][:2]
     return stored.select(F.col("key.digest").alias("digest"), keep.alias("keep"), n.alias("n"))
