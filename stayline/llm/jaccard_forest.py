@@ -78,7 +78,11 @@ def word_hashes(text: str) -> np.ndarray:
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """Shingle hashes in order; a text of fewer words is one shingle, a text without words has none."""
-    hashed = word_hashes(text)
+    return shingles_of(word_hashes(text), words)
+
+
+def shingles_of(hashed: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """``shingles`` of a text whose word hashes are known."""
     if not len(hashed):
         return hashed
     n = min(words, len(hashed))

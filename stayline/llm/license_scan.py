@@ -3,7 +3,8 @@
 The shingles of a text are cut into overlapping windows sized to each template. A window and a template
 become candidates when they agree in some band; the number of bands is set so that a window which
 holds the template well enough is a candidate with ``RECALL``. A candidate counts only if the window
-holds at least 0.8 of the template's distinct shingles exactly.
+holds at least 0.8 of the template's distinct shingles exactly. Shingles have five words; a template of
+fewer words is one shingle of its own word count, compared with text shingles of that count.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm.common import small_batches, text_of
-from stayline.llm.jaccard_forest import shingles
+from stayline.llm.jaccard_forest import WORDS, shingles_of, word_hashes
 from stayline.session import materialise
 
 CONTAINMENT = 0.8
@@ -34,13 +35,24 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
 )
 
+#: What the query looks for.
+LICENSES: tuple[tuple[str, str], ...] = (
+    *TEMPLATES,
+    ("Proprietary", "All rights reserved."),
+)
+
+
+def step_of(size: int) -> int:
+    """Shingles from one window to the next for a template of ``size`` distinct shingles; a window has two steps."""
+    return math.ceil(SLACK * size)
+
 
-def bands(slack: float = SLACK, containment: float = CONTAINMENT, recall: float = RECALL) -> int:
-    """Bands of one MinHash value each, for the least similarity of a window that holds the template.
+def bands(sizes: Sequence[int], containment: float = CONTAINMENT, recall: float = RECALL) -> int:
+    """Bands of one MinHash value each, for the least similarity of a window that holds a template of these sizes.
 
-    A window has twice the spread template's shingles, of which at least ``containment`` are the template's.
+    A window has two steps of shingles, of which at least ``containment`` of the template's are the template's.
     """
-    least = containment / (2 * slack + 1 - containment)
+    least = min(need / (2 * step_of(n) + n - need) for n in sizes for need in (math.ceil(containment * n),))
     return math.ceil(math.log(1 - recall) / math.log(1 - least))
 
 
@@ -49,15 +61,18 @@ class Scanner:
 
     def __init__(self, templates: Sequence[tuple[str, str]]):
         self.names = [n for n, _ in templates]
-        self.sets = [np.unique(shingles(t)) for _, t in templates]
-        if any(not len(s) for s in self.sets):
+        words = [word_hashes(t) for _, t in templates]
+        if any(not len(w) for w in words):
             raise ValueError("a template has no words")
+        self.sets = [np.unique(shingles_of(w)) for w in words]
         rng = np.random.default_rng(_SEED)
-        drawn = rng.integers(0, 1 << 63, (bands(), 2), dtype=np.uint64)
+        drawn = rng.integers(0, 1 << 63, (bands([len(s) for s in self.sets]), 2), dtype=np.uint64)
         self.factor, self.shift = drawn[:, :1] * np.uint64(2) + np.uint64(1), drawn[:, 1:]
-        self.by_step: dict[int, list[int]] = {}
+        # By words of a shingle, then by step.
+        self.by_words: dict[int, dict[int, list[int]]] = {}
         for i, s in enumerate(self.sets):
-            self.by_step.setdefault(math.ceil(SLACK * len(s)), []).append(i)
+            by_step = self.by_words.setdefault(min(WORDS, len(words[i])), {})
+            by_step.setdefault(step_of(len(s)), []).append(i)
         self.values = [self.hashed(s).min(1) for s in self.sets]
 
     def hashed(self, values: np.ndarray) -> np.ndarray:
@@ -65,19 +80,23 @@ class Scanner:
             x = values[None, :] * self.factor + self.shift
             return x ^ (x >> np.uint64(32))
 
-    def scan(self, text: str) -> dict[int, tuple[float, int, int]]:
-        """Per template: the best containment, the first word of its first window, the windows that hold it."""
-        run = shingles(text)
-        if not len(run):
-            return {}
-        found: dict[int, tuple[float, int, int]] = {}
+    def scan(self, text: str) -> dict[str, tuple[float, int, int]]:
+        """Per license: the best containment, the first word of its first window, the windows that hold it."""
+        words = word_hashes(text)
+        found: dict[str, tuple[float, int, int]] = {}
+        for n_words, by_step in self.by_words.items():
+            if len(words) >= n_words:
+                self._scan(shingles_of(words, n_words), by_step, found)
+        return found
+
+    def _scan(self, run: np.ndarray, by_step: dict[int, list[int]], found: dict[str, tuple[float, int, int]]) -> None:
         width = 1 << 15
         # Long texts go by pieces that overlap by two windows of the largest template.
-        reach = 4 * max(self.by_step)
+        reach = 4 * max(by_step)
         for at in range(0, len(run), width):
             part = run[at : at + width + reach]
             hashed = self.hashed(part)
-            for step, members in self.by_step.items():
+            for step, members in by_step.items():
                 starts = np.arange(0, len(part), step)
                 block = np.minimum.reduceat(hashed, starts, axis=1)
                 window = np.minimum(block, np.concatenate([block[:, 1:], block[:, -1:]], axis=1))
@@ -88,9 +107,8 @@ class Scanner:
                             continue
                         held = np.isin(self.sets[i], part[a : a + 2 * step]).mean()
                         if held >= CONTAINMENT:
-                            best, first, n = found.get(i, (0.0, at + a, 0))
-                            found[i] = (max(best, float(held)), min(first, at + a), n + 1)
-        return found
+                            best, first, n = found.get(self.names[i], (0.0, at + a, 0))
+                            found[self.names[i]] = (max(best, float(held)), min(first, at + a), n + 1)
 
 
 _scanners: dict[tuple, Scanner] = {}
@@ -105,11 +123,11 @@ def scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, id_col: str = "doc_id",
          text: str = "text") -> DataFrame:
-    """One row per row of ``docs`` and template found: ``id_col, license, containment, first_word, windows``.
+    """One row per row of ``docs`` and license found: ``id_col, license, containment, first_word, windows``.
 
-    ``first_word`` is where the first window that holds the template begins, counted in words from 0;
-    ``windows`` counts the windows. Null and empty texts hold nothing. Templates of fewer than five
-    words count as one shingle and are found only in texts that are that short.
+    A license may have several templates; ``containment`` is the best of them. ``first_word`` is where the
+    first window that holds a template begins, counted in words from 0; ``windows`` counts the windows.
+    Null and empty texts hold nothing.
     """
     fixed = tuple((str(a), str(b)) for a, b in templates)
 
@@ -118,9 +136,9 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, id_c
         for batch in batches:
             owner, rows = [], []
             for i, value in enumerate(batch.column(1).to_pylist()):
-                for t, (best, first, n) in sorted(made.scan(value).items()):
+                for name, (best, first, n) in sorted(made.scan(value).items()):
                     owner.append(i)
-                    rows.append((made.names[t], best, first, n))
+                    rows.append((name, best, first, n))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
                 (pa.string(), pa.float64(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(

@@ -57,7 +57,8 @@ def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(documents(spark, sf_dir)).select("doc_id", "license", "containment")
+    found = license_scan.scan(documents(spark, sf_dir), license_scan.LICENSES)
+    return found.select("doc_id", "license", "containment")
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
