@@ -4,7 +4,8 @@ The shingles of a text are cut into overlapping windows sized to each template.
 become candidates when they agree in some band; the number of bands is set so that a window which
 holds the template well enough is a candidate with ``RECALL``. A candidate counts only if the window
 holds at least 0.8 of the template's distinct shingles exactly. Shingles have five words; a template of
-fewer words is one shingle of its own word count, compared with text shingles of that count.
+fewer words is one shingle of its own word count, compared with text shingles of that count. A window
+without any shingle of a template agrees with it in no band; only windows with one are hashed.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ RECALL = 0.99999
 #: A template may be spread over this many times its length.
 SLACK = 1.25
 _SEED = 77_001
+_MARK_BITS = 20
 
-#: Short notices by which texts state their license. Pass other templates as needed.
+#: Short notices by which texts state their license. The query takes ``licenses.LICENSES``.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -35,12 +37,6 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
 )
 
-#: What the query looks for.
-LICENSES: tuple[tuple[str, str], ...] = (
-    *TEMPLATES,
-    ("Proprietary", "All rights reserved."),
-)
-
 
 def step_of(size: int) -> int:
     """Shingles from one window to the next for a template of ``size`` distinct shingles; a window has two steps."""
@@ -74,6 +70,13 @@ class Scanner:
             by_step = self.by_words.setdefault(min(WORDS, len(words[i])), {})
             by_step.setdefault(step_of(len(s)), []).append(i)
         self.values = [self.hashed(s).min(1) for s in self.sets]
+        # Which shingles are in a template of a step; ``marks`` tells by the first bits that most are in none.
+        self.wanted = {n: {step: np.unique(np.concatenate([self.sets[i] for i in members]))
+                           for step, members in by_step.items()} for n, by_step in self.by_words.items()}
+        self.all = {n: np.unique(np.concatenate(list(by_step.values()))) for n, by_step in self.wanted.items()}
+        self.marks = {n: np.zeros(1 << _MARK_BITS, bool) for n in self.all}
+        for n, values in self.all.items():
+            self.marks[n][values >> np.uint64(64 - _MARK_BITS)] = True
 
     def hashed(self, values: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -84,31 +87,48 @@ class Scanner:
         """Per license: the best containment, the first word of its first window, the windows that hold it."""
         words = word_hashes(text)
         found: dict[str, tuple[float, int, int]] = {}
-        for n_words, by_step in self.by_words.items():
+        for n_words in self.by_words:
             if len(words) >= n_words:
-                self._scan(shingles_of(words, n_words), by_step, found)
+                self._scan(shingles_of(words, n_words), n_words, found)
         return found
 
-    def _scan(self, run: np.ndarray, by_step: dict[int, list[int]], found: dict[str, tuple[float, int, int]]) -> None:
+    def _scan(self, run: np.ndarray, n_words: int, found: dict[str, tuple[float, int, int]]) -> None:
+        by_step = self.by_words[n_words]
+        held = np.flatnonzero(self.marks[n_words][run >> np.uint64(64 - _MARK_BITS)])
+        if len(held):
+            held = held[np.isin(run[held], self.all[n_words])]
+        if not len(held):
+            return
         width = 1 << 15
         # Long texts go by pieces that overlap by two windows of the largest template.
         reach = 4 * max(by_step)
         for at in range(0, len(run), width):
             part = run[at : at + width + reach]
-            hashed = self.hashed(part)
+            near = held[slice(*np.searchsorted(held, [at, at + len(part)]))] - at
+            if not len(near):
+                continue
             for step, members in by_step.items():
-                starts = np.arange(0, len(part), step)
-                block = np.minimum.reduceat(hashed, starts, axis=1)
-                window = np.minimum(block, np.concatenate([block[:, 1:], block[:, -1:]], axis=1))
-                for i in members:
-                    for w in np.flatnonzero((window == self.values[i][:, None]).any(0)):
-                        a = int(starts[w])
-                        if a >= width:
-                            continue
-                        held = np.isin(self.sets[i], part[a : a + 2 * step]).mean()
-                        if held >= CONTAINMENT:
-                            best, first, n = found.get(self.names[i], (0.0, at + a, 0))
-                            found[self.names[i]] = (max(best, float(held)), min(first, at + a), n + 1)
+                block = np.unique(near[np.isin(part[near], self.wanted[n_words][step])] // step)
+                # Windows of two blocks that begin in this piece and hold a shingle of a template.
+                places = np.unique(np.concatenate([block, block - 1]))
+                starts = places[(places >= 0) & (places * step < width)] * step
+                # Many windows go by some 32,768 shingles at a time.
+                for some in np.array_split(starts, 2 * step * len(starts) // width + 1):
+                    self._match(part, some, step, members, at, found)
+
+    def _match(self, part: np.ndarray, starts: np.ndarray, step: int, members: list[int], at: int,
+               found: dict[str, tuple[float, int, int]]) -> None:
+        if not len(starts):
+            return
+        # A window that is cut by the end repeats its last shingle.
+        inside = np.minimum(starts[:, None] + np.arange(2 * step), len(part) - 1)
+        window = self.hashed(part[inside].ravel()).reshape(-1, len(starts), 2 * step).min(2)
+        for i in members:
+            for a in starts[(window == self.values[i][:, None]).any(0)].tolist():
+                held = np.isin(self.sets[i], part[a : a + 2 * step]).mean()
+                if held >= CONTAINMENT:
+                    best, first, n = found.get(self.names[i], (0.0, at + a, 0))
+                    found[self.names[i]] = (max(best, float(held)), min(first, at + a), n + 1)
 
 
 _scanners: dict[tuple, Scanner] = {}

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    fingerprints, jaccard_forest, license_scan, mixing, oracle, packing, quality, stream_dedup, suffix_dedup,
-    token_counts, token_store,
+    fingerprints, jaccard_forest, license_scan, licenses, mixing, oracle, packing, quality, stream_dedup,
+    suffix_dedup, token_counts, token_store,
 )
 from stayline.llm.common import documents
 from stayline.session import new_path
@@ -57,7 +57,7 @@ def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan.scan(documents(spark, sf_dir), license_scan.LICENSES)
+    found = license_scan.scan(documents(spark, sf_dir), licenses.LICENSES)
     return found.select("doc_id", "license", "containment")
 
 
