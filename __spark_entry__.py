@@ -331,8 +331,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_counts": lambda s, d: split_members(s, d).groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n")),
         "split_members": split_members,
         "scaled_train": scaled_train,
-        "smote_balance": lambda s, d: balance.balance_report(_pipe(s, d).train, _pipe(s, d).balanced),
-        "smote_rows": lambda s, d: fixed(_pipe(s, d).balanced),
+        "smote_balance": lambda s, d: balance.balance_report(_pipe(s, d).train, _pipe(s, d).oversampled),
+        "smote_rows": lambda s, d: fixed(_pipe(s, d).oversampled),
         "align_features": align_features,
         "sample_n": sample_n,
         # D models

@@ -72,16 +72,27 @@ class Pipeline:
     def test(self) -> DataFrame:
         return self.scaled.where("is_test")
 
+    @cached_property
+    def n_train(self) -> int:
+        return self.prepared.where("not is_test").count()
+
     @cached_property
     def fit_source(self) -> DataFrame:
-        n = self.prepared.where("not is_test").count()
-        if n <= self.fit_rows:
+        if self.n_train <= self.fit_rows:
             return self.train
-        drawn = stratified_split(self.train.drop("is_test"), "label", self.fit_rows / n, self.seed + 1)
+        drawn = stratified_split(self.train.drop("is_test"), "label", self.fit_rows / self.n_train, self.seed + 1)
         return materialise(drawn.where("is_test").withColumn("is_test", F.lit(False)), "fit-source")
 
+    @cached_property
+    def oversampled(self) -> DataFrame:
+        """All training rows, oversampled, whatever ``fit_rows`` is."""
+        return materialise(smote(self.train, self.spec.names, seed=self.seed), "oversampled")
+
     @cached_property
     def balanced(self) -> DataFrame:
+        """The rows used to fit, oversampled."""
+        if self.n_train <= self.fit_rows:
+            return self.oversampled
         return materialise(smote(self.fit_source, self.spec.names, seed=self.seed), "balanced")
 
     @cached_property
