@@ -1,10 +1,10 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join with MinHash bands of one depth and exact verification.
 
 Every document becomes its set of five-word shingles (hashed to 64 bits); documents with equal sets
 form a class, and everything after works on classes. A class has ``TREES`` signatures of ``DEPTH``
-MinHash values, one per tree of the forest. In the sorted trie of a tree, classes whose signatures
-share a prefix lie together. Prefixes start at the full depth and are shortened until two sets at the
-threshold meet in some tree with the target recall. Classes that meet are linked to the first class of
+MinHash values, one per tree. The depth of the prefixes is set before any data is read: the largest at
+which two sets at the threshold meet in some tree with the target recall. Classes with the same prefix
+meet by its hash; there is no sorted trie and no shortening per bucket. Classes that meet are linked to the first class of
 their bucket, never pairwise, and the connected parts of these links are verified exactly: the sizes
 of all intersections inside a part come from products of 0/1 matrices, block by block. Only counts and
 a spanning link per class leave a block, so a large group of near copies costs no row per pair.
