@@ -58,6 +58,37 @@ def _repeats(length: int = 200) -> str:
         from d left join heads using (doc_id)"""
 
 
+def _filters() -> str:
+    return """with words as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+            regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+        marks as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+        docs as (select part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+              100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t), regexp_matches(t, '[#$%&*|]'),
+              coalesce(words.doc_id > min(words.doc_id) over (partition by t), false)] as f,
+            coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+          from words left join marks on marks.doc_id = words.doc_id),
+        kinds as (select part, f, count(*) as n, sum(good) as good, sum(toxic) as toxic from docs group by all),
+        letters as (select unnest(range(1, 6)) as i),
+        orders as (select [a.i, b.i, c.i, d.i, e.i] as o
+          from letters a, letters b, letters c, letters d, letters e
+          where len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        steps as (select o, step, o[step] as own, o[1 : step - 1] as earlier from orders, range(1, 6) as s(step)),
+        met as (select part, o, step, own, n, good, toxic, f[own] as fails, len(list_filter(f, lambda x : x)) = 1 as alone,
+            len(list_filter(earlier, lambda x : f[x])) > 0 as out from kinds, steps),
+        rows as (select part, o, step, own,
+            sum(n) filter (where not out and not fails) as kept, sum(n) filter (where not out and fails) as removed,
+            sum(n) filter (where out and fails) as redundant, sum(n) filter (where fails and alone) as unique_fails,
+            sum(good) filter (where not out and fails) as good_lost,
+            sum(toxic) filter (where not out and fails) as toxic_lost
+          from met group by all)
+        select part, array_to_string(list_transform(o, lambda x : 'ABCDE'[x]), '') as filter_order, step::int as step,
+          coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+          coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+          coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+          sum(coalesce(removed, 0)) over (partition by part, own)::bigint as shapley
+        from rows"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_jaccard_forest": _near(),
@@ -68,4 +99,5 @@ def oracle_sql() -> dict[str, str]:
             from d""",
         "op6_license_scan": _licenses(),
         "op10_suffix_dedup": _repeats(),
+        "op13_filter_audit": _filters(),
     }

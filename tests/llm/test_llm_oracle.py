@@ -12,7 +12,7 @@ from stayline.llm import queries
 
 def test_one_query_per_operator():
     names = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.queries())
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
