@@ -58,6 +58,72 @@ def _repeats(length: int = 200) -> str:
         from d left join heads using (doc_id)"""
 
 
+def _conversations() -> str:
+    """The best edits from each row on, from the last row up: cost, letters and repaired rows per state."""
+    def least(*options: str) -> str:
+        return f"list_sort({' || '.join(options)})[1]"
+
+    def put(cost: str, letter: str, role: str, text: str, rest: str) -> str:
+        return (f"{{'c': {cost} + {rest}.c, 'a': '{letter}' || {rest}.a, "
+                f"'t': chr(10) || {role} || ':' || {text} || {rest}.t}}")
+
+    follows = {0: 2, 1: 2, 2: 3, 3: 2}
+    roles = {q: "'assistant'" if q == 2 else "'user'" for q in range(4)}
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    rows, inserts = [], {}
+    for q in range(4):
+        options = [f"[{{'c': 3 + q{q}.c, 'a': 'D' || q{q}.a, 't': q{q}.t}}]"]
+        for initial, to in kept[q].items():
+            options.append(f"case when stays and initial = '{initial}' then [{put('cut', 'K', 'role', 'text', f'q{to}')}] "
+                           "else [] end")
+        options.append(f"case when stays then [{put('2 + cut', 'R', roles[q], 'text', f'q{follows[q]}')}] else [] end")
+        rows.append(f"{least(*options)} as w{q}")
+    inserts = {q: "[" + put("2", "I", roles[q], "''", f"{'v' if q < 2 else 'w'}{follows[q]}") + "]" for q in range(4)}
+    ends = {0: "{'c': 0, 'a': '', 't': ''}", 2: put("2", "I", roles[2], "''", "{'c': 0, 'a': '', 't': ''}"),
+            3: "{'c': 0, 'a': '', 't': ''}"}
+    ends[1] = put("2", "I", roles[1], "''", f"({ends[2]})")
+    return f"""with recursive crc as (select list_transform(range(256), lambda n : list_reduce(range(8),
+              lambda c, x : case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end, n)) as t),
+        marked as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+            xor(4294967295, list_reduce(
+              list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+                lambda k : unicode(k)::bigint),
+              lambda c, b : xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::bigint)) % 20 as kind
+          from conversations, crc),
+        damaged as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+            case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+            unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+          from marked where kind <> 0),
+        placed as (select *, row_number() over w as i, count(*) over (partition by conv_id) as n,
+            row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as seen,
+            substr(role, 1, 1) as initial, lag(substr(role, 1, 1)) over w as earlier,
+            regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as ending
+          from damaged window w as (partition by conv_id order by turn nulls first, role, sha256(text), copy)),
+        faults as (select *, ending = '' as blank, ending <> '' and seen as duplicate,
+            ending <> '' and not seen and ending not in ('.', '!', '?') as truncated,
+            ending <> '' and not seen as stays, truncated::int as cut from placed),
+        best as (
+          select distinct conv_id, n + 1 as i, {", ".join(f"{ends[q]} as q{q}" for q in range(4))} from faults
+          union all
+          select conv_id, i, v0, v1, v2, v3 from (
+            select *, {least("[w0]", inserts[0])} as v0, {least("[w1]", inserts[1])} as v1 from (
+              select *, {least("[w2]", inserts[2])} as v2, {least("[w3]", inserts[3])} as v3 from (
+                select f.conv_id, f.i, {", ".join(rows)}
+                from best b join faults f on f.conv_id is not distinct from b.conv_id and f.i = b.i - 1)))),
+        counted as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+            count(*) filter (where blank) as blank, count(*) filter (where duplicate) as duplicate,
+            count(*) filter (where truncated) as truncated,
+            count(*) filter (where i > 1 and earlier || initial not in ('su', 'ua', 'au')) as illegal
+          from faults group by conv_id)
+        select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+          coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+          coalesce(illegal, 0)::bigint as illegal, coalesce(q0.c, 0)::bigint as cost, coalesce(q0.a, '') as audit,
+          sha256(coalesce(substr(q0.t, 2), '')) as repaired_sha256
+        from (select distinct conv_id from conversations) c
+          left join counted k on k.conv_id is not distinct from c.conv_id
+          left join best b on b.conv_id is not distinct from c.conv_id and b.i = 1"""
+
+
 def _filters() -> str:
     return """with words as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
@@ -99,5 +165,6 @@ def oracle_sql() -> dict[str, str]:
             from d""",
         "op6_license_scan": _licenses(),
         "op10_suffix_dedup": _repeats(),
+        "op11_conversation_repair": _conversations(),
         "op13_filter_audit": _filters(),
     }

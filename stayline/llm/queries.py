@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    byte_pairs, filter_audit, fingerprints, jaccard_forest, license_scan, licenses, mixing, oracle, packing, quality, stream_dedup,
+    byte_pairs, conversations, filter_audit, fingerprints, jaccard_forest, license_scan, licenses, mixing, oracle, packing, quality, stream_dedup,
     suffix_dedup, token_counts, token_store,
 )
 from stayline.llm.common import documents
@@ -82,6 +82,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir), with_kept=False)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.audit(conversations.damage(rows), rows)
+
+
 def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_pairs.Ranks(byte_pairs.read_ranks("byte_bpe_multi_50k.tiktoken"))
     ids = byte_pairs.encode(documents(spark, sf_dir), ranks)
@@ -99,7 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_planes, op2_jaccard_forest, op3_merkle_fingerprints, op4_stream_dedup, op5_compression_quality,
         op6_license_scan, op7_best_fit_packing, op8_entropy_mixing, op9_prefix_token_counts,
-        op10_suffix_dedup, op12_byte_pairs, op13_filter_audit,
+        op10_suffix_dedup, op11_conversation_repair, op12_byte_pairs, op13_filter_audit,
     )}
 
 

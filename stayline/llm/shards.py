@@ -17,22 +17,34 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.common import small_batches
-from stayline.session import materialise
+from stayline.llm.common import shuffle_width, small_batches
+from stayline.session import new_path
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of words after which a shard is closed.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 64 << 20
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values, "<i4").tobytes())
+    """32-bit numbers as byte planes, zstandard: of small numbers the upper planes are all but empty."""
+    planes = np.ascontiguousarray(values, "<i4").view("u1").reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i4")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
+
+
+def _dealt(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored in buckets by shard, so that joining values to the shards moves the values only."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = f"{name}_{path[-12:]}"
+    df.write.bucketBy(shuffle_width(df), "shard").option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
 
 
 def listed(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
@@ -65,7 +77,6 @@ def word_shards(rows: DataFrame, counted: bool, shard_bytes: int = SHARD_BYTES)
 
     Columns: shard, rows (the structs), lengths (cells per row), places (cells as places in ``words``), counts,
     words. A cell is an occurrence of a word, in order; ``counted``, it is a distinct word of the row with its count.
-    Arrays of numbers are little-endian 32-bit, zstandard.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -81,7 +92,7 @@ def word_shards(rows: DataFrame, counted: bool, shard_bytes: int = SHARD_BYTES)
     row = rows.schema["row"].dataType.simpleString()
     schema = (f"shard bigint, rows array<{row}>, lengths array<int>, places binary, counts binary, words array<string>")
     with small_batches(rows.sparkSession):
-        return materialise(rows.select("row", "words").mapInArrow(cut, schema), "shards")
+        return _dealt(rows.select("row", "words").mapInArrow(cut, schema), "shards")
 
 
 def with_values(shards: DataFrame, values: DataFrame) -> DataFrame:
