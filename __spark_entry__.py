@@ -133,8 +133,8 @@ def sample_n(spark, sf):
 # --- models ------------------------------------------------------------------------------------
 
 def training_times(spark, sf):
-    seconds = _pipe(spark, sf).fitted[1]
-    return spark.createDataFrame(list(seconds.items()), "model string, seconds double")
+    fitted = _pipe(spark, sf).fitted
+    return spark.createDataFrame([(n, float(f.seconds)) for n, f in fitted.items()], "model string, seconds double")
 
 
 def cv_scores(spark, sf):
@@ -159,7 +159,7 @@ def model_roundtrip(spark, sf):
     """New customers scored by a saved and reloaded model with its own levels and scaler."""
     pipe = _pipe(spark, sf)
     path = new_path(spark, "model")
-    artifacts.save_model(pipe.fitted[0][models.FOREST], pipe.spec, pipe.scaler, path)
+    artifacts.save_model(pipe.models[models.FOREST], pipe.spec, pipe.scaler, path)
     model, spec, scaler = artifacts.load_model(spark, path)
     frame = features.feature_frame(_clean(spark, sf), spec)
     aligned = features.align(frame, spec.names, keep=[KEY, "label"])

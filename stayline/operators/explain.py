@@ -37,16 +37,6 @@ def forest_nodes(spark: SparkSession, path: str) -> DataFrame:
     return nodes.withColumn("value", F.col("positive") / F.col("cover") / trees).drop("stats", "prediction")
 
 
-def boosted_nodes(spark: SparkSession, path: str, tree_weights: Sequence[float]) -> DataFrame:
-    """Node table of a saved boosted model; ``value`` is its part of the log-odds.
-
-    The probability is 1 / (1 + exp(-2 margin)), and the margin the weighted sum of the trees.
-    """
-    weight = F.get(F.array(*[F.lit(float(w)) for w in tree_weights]), F.col("tree"))
-    nodes = _nodes(spark, path).withColumn("cover", F.col("stats")[0])
-    return nodes.withColumn("value", 2 * weight * F.col("prediction")).drop("stats", "prediction")
-
-
 def tree_leaves(nodes: DataFrame) -> list[tuple]:
     """Paths of all leaves: (features, lower bounds, upper bounds, cover ratios, value).
 

@@ -96,15 +96,37 @@ class Pipeline:
         return materialise(smote(self.fit_source, self.spec.names, seed=self.seed), "balanced")
 
     @cached_property
-    def fitted(self) -> tuple[dict[str, Model], dict[str, float]]:
-        rows, n = models.fit_table(self.balanced, self.spec.names)
-        return models.fit_all(rows, models.estimators(n, **self.settings))
+    def learners(self) -> dict:
+        return models.estimators(self.balanced.count(), **self.settings)
+
+    @cached_property
+    def fitted(self) -> dict[str, models.Fitted]:
+        """Every learner on the rows used to fit, by name."""
+        if "together" in self.__dict__:
+            return self.together["all"]
+        return models.fit_sets({"all": self.balanced}, self.spec.names, self.learners)["all"]
+
+    @cached_property
+    def _folds(self) -> tuple[dict[str, DataFrame], DataFrame]:
+        return models.folded_sets(self.fit_source, self.spec.names, seed=self.seed)
+
+    @cached_property
+    def together(self) -> dict[str, dict[str, models.Fitted]]:
+        """The folds' models and, unless they exist already, those of all rows: one series of passes."""
+        sets = dict(self._folds[0])
+        if "fitted" not in self.__dict__:
+            sets["all"] = self.balanced
+        return models.fit_sets(sets, self.spec.names, self.learners)
+
+    @property
+    def models(self) -> dict[str, Model]:
+        return {n: f.model for n, f in self.fitted.items()}
 
     @cached_property
     def scored(self) -> DataFrame:
         """Test rows scored by every model."""
         test = assemble(self.test, self.spec.names).select(KEY, "label", "features")
-        return materialise(models.score_all(self.fitted[0], test), "scored")
+        return materialise(models.score_all(self.models, test), "scored")
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -121,22 +143,21 @@ class Pipeline:
     @cached_property
     def cv_scores(self) -> DataFrame:
         """AUC of every learner in every fold."""
-        learners = models.estimators(self.balanced.count(), **self.settings)
-        rows = models.cross_validate(self.fit_source, self.spec.names, learners, seed=self.seed)
-        return self.spark.createDataFrame(rows, "model string, fold int, auc double")
+        fitted = {s: m for s, m in self.together.items() if s != "all"}
+        return materialise(models.fold_aucs(fitted, self._folds[1], self.spec.names), "cv-scores")
 
     @property
     def best_scored(self) -> DataFrame:
         return self.scored.where(F.col("model") == self.best_name)
 
     def leaves_of(self, name: str) -> list[tuple]:
-        """Leaf paths of a tree model, read back from its saved node table."""
+        """Leaf paths of a tree model, from its node table."""
+        model = self.models[name]
+        if name != models.FOREST:
+            return explain.tree_leaves(model.node_table(self.spark))
         path = new_path(self.spark, "trees")
-        model = self.fitted[0][name]
         model.write().save(path)
-        if name == models.FOREST:
-            return explain.tree_leaves(explain.forest_nodes(self.spark, path))
-        return explain.tree_leaves(explain.boosted_nodes(self.spark, path, model.treeWeights))
+        return explain.tree_leaves(explain.forest_nodes(self.spark, path))
 
     @cached_property
     def background(self) -> list[float]:
@@ -148,14 +169,15 @@ class Pipeline:
         A forest is explained on the probability, boosted trees and logistic regression on the log-odds.
         """
         if name == models.LOGISTIC:
-            model = self.fitted[0][name]
+            model = self.models[name]
             coefs = model.coefficients.toArray().tolist()
             base = model.intercept + sum(c * m for c, m in zip(coefs, self.background))
             return explain.shap_linear(self.test, self.spec.names, coefs, self.background), base
         leaves = self.leaves_of(name)
         test = assemble(self.test, self.spec.names).select(KEY, "features")
         cores = self.spark.sparkContext.defaultParallelism
-        return explain.shap_tree(test, leaves, partitions=cores), explain.tree_base(leaves)
+        start = 0.0 if name == models.FOREST else self.models[name].base
+        return explain.shap_tree(test, leaves, partitions=cores), start + explain.tree_base(leaves)
 
     @cached_property
     def explanation(self) -> tuple[DataFrame, float]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayline.columns import METRICS
 from stayline.functions.exprs import slug
+from stayline.operators.boosting import BoostedTrees
 from stayline.operators.features import FeatureSpec
 
 
@@ -31,7 +32,10 @@ def save_model(model: Model, spec: FeatureSpec, scaler: DataFrame, path: str) ->
     """Model with its vector assembly, fitted levels and scaler: all that scoring new rows needs."""
     spark = scaler.sparkSession
     assembler = VectorAssembler(inputCols=spec.names, outputCol="features")
-    PipelineModel([assembler, model]).write().save(f"{path}/model")
+    boosted = isinstance(model, BoostedTrees)
+    PipelineModel([assembler] if boosted else [assembler, model]).write().save(f"{path}/model")
+    if boosted:
+        model.save(f"{path}/trees")
     scaler.write.parquet(f"{path}/scaler")
     rows = [(c, i, level) for c, levels in spec.levels.items() for i, level in enumerate(levels)]
     order = {c: p for p, c in enumerate(spec.levels)}
@@ -44,7 +48,10 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, FeatureSp
     levels: dict[str, list[str]] = {}
     for r in spark.read.parquet(f"{path}/levels").orderBy("position", "ord").collect():  # fitted levels only
         levels.setdefault(r.column_name, []).append(r.level)
-    return PipelineModel.load(f"{path}/model"), FeatureSpec(levels), spark.read.parquet(f"{path}/scaler")
+    model = PipelineModel.load(f"{path}/model")
+    if len(model.stages) == 1:  # the assembler alone: the trees lie beside it
+        model = PipelineModel([*model.stages, BoostedTrees.load(spark, f"{path}/trees")])
+    return model, FeatureSpec(levels), spark.read.parquet(f"{path}/scaler")
 
 
 _FIVE = ", ".join(f"{m}: double" for m in METRICS)

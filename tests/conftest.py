@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 SF = "/root/testdata/sf0.01"
 # The registered queries train the library's full models; here small ones of the same kinds do.
-MODEL_SETTINGS = {"trees": 20, "depth": 5, "rounds": 5, "boost_depth": 3, "narrow_depth": 2}
+MODEL_SETTINGS = {"trees": 20, "depth": 5, "rounds": 5, "boost_depth": 3, "leaves": 5}
 
 
 @pytest.fixture(scope="session", autouse=True)

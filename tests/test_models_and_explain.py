@@ -142,7 +142,7 @@ def test_importance_views(pipe):
 
 def test_saved_model_scores_the_same(spark, pipe):
     path = new_path(spark, "model")
-    artifacts.save_model(pipe.fitted[0][models.FOREST], pipe.spec, pipe.scaler, path)
+    artifacts.save_model(pipe.models[models.FOREST], pipe.spec, pipe.scaler, path)
     model, spec, scaler = artifacts.load_model(spark, path)
     assert spec.names == pipe.spec.names
     raw = features.align(pipe.prepared.where("is_test"), spec.names, keep=[KEY, "label"])
@@ -177,10 +177,10 @@ def test_metadata_from_a_pretty_printed_document(spark, tmp_path):
 @pytest.mark.parametrize("leaky", [False, True])
 def test_cross_validation(pipe, leaky):
     learner = {models.FOREST: models.estimators(1000, trees=5, depth=4)[models.FOREST]}
-    rows = models.cross_validate(pipe.train, pipe.spec.names, learner, folds=3, leaky=leaky)
+    scores = models.cross_validate(pipe.train, pipe.spec.names, learner, folds=3, leaky=leaky)
+    rows = scores.collect()
     assert sorted(r[1] for r in rows) == [0, 1, 2]
     assert all(0.5 < r[2] <= 1 for r in rows)
-    scores = pipe.spark.createDataFrame(rows, "model string, fold int, auc double")
     summary = models.cv_summary(scores).first()
     assert summary.cv_mean == pytest.approx(np.mean([r[2] for r in rows]))
     assert summary.cv_std == pytest.approx(np.std([r[2] for r in rows]))
