@@ -26,8 +26,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import small_batches, text_of, with_rank
-from stayline.llm.shards import SHARD_BYTES, listed, unpacked, with_values, word_shards
+from stayline.llm.common import small_batches, text_of
+from stayline.llm.shards import SHARD_BYTES, listed, numbered, unpacked, with_values, word_shards
 from stayline.session import materialise
 
 # Task functions travel with their code, so executors need no copy of this package.
@@ -36,9 +36,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FILTERS = "ABCDE"
 #: What the filters ask for.
 MIN_WORDS, MIN_DISTINCT_PCT, MAX_CAPITALS_PCT, MARKUP = 50, 65, 5, "[#$%&*|]"
-#: A word is a run of characters that are no ASCII white space.
-WORD = r"[^ \t-\r]+"
-
 
 def _matrix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shards with the dictionary's numbers; the cells of a row ascend."""
@@ -60,17 +57,17 @@ def _matrix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_term_matrix(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The stored matrix and dictionary of ``rows`` (row struct, words array<string>).
+    """The stored matrix and dictionary of ``rows`` (row struct, words as ``word_shards`` takes them).
 
     Matrix, one row per shard: shard, rows (the structs), starts (the first cell of each row, and the end), terms,
-    counts. Dictionary: word, value; numbers are dense and in the order of the words' bytes.
+    counts. Dictionary: word, value; numbers are dense.
     """
     shards = word_shards(rows, counted=True, shard_bytes=shard_bytes)
     words = shards.select(F.explode("words").alias("word")).distinct()
-    dictionary = materialise(with_rank(words, [F.col("word")], "value"), "dictionary")
+    dictionary = numbered(words)
     row = rows.schema["row"].dataType.simpleString()
     schema = f"shard bigint, rows array<{row}>, starts array<bigint>, terms array<bigint>, counts array<int>"
-    with small_batches(rows.sparkSession, 4):
+    with small_batches(rows.sparkSession, 1):
         matrix = materialise(with_values(shards, dictionary).mapInArrow(_matrix_rows, schema), "matrix")
     return matrix, dictionary
 
@@ -103,7 +100,7 @@ def flagged(
         F.unhex(F.sha2(value, 256)).alias("digest"),
         (100 * F.length(F.regexp_replace(value, "[^A-Z]+", "")) > MAX_CAPITALS_PCT * F.length(value)).alias("capitals"),
         value.rlike(MARKUP).alias("markup"))
-    rows = docs.select(row.alias("row"), F.regexp_extract_all(value, F.lit(WORD), F.lit(0)).alias("words"))
+    rows = docs.select(row.alias("row"), value.alias("words"))
     matrix, _ = document_term_matrix(rows, shard_bytes)
     short = F.col("words") < MIN_WORDS
     dull = 100 * F.col("distinct") < MIN_DISTINCT_PCT * F.col("words")

@@ -12,19 +12,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import shuffle_width, small_batches
-from stayline.session import new_path
+from stayline.session import materialise, new_path
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of words after which a shard is closed.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -43,7 +44,7 @@ def _dealt(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     table = f"{name}_{path[-12:]}"
-    df.write.bucketBy(shuffle_width(df), "shard").option("path", path).format("parquet").saveAsTable(table)
+    df.write.bucketBy(shuffle_width(df), "shard").options(path=path, compression="zstd").format("parquet").saveAsTable(table)
     return spark.table(table)
 
 
@@ -53,12 +54,35 @@ def listed(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
+def ascii_words(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """Runs of bytes that are no ASCII white space, of all texts, and how many each text has."""
+    bounds = np.frombuffer(texts.buffers()[1], "<i4")[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", "u1")[bounds[0]:bounds[-1]]
+    bounds = bounds - bounds[0]
+    solid = (data != 32) & ((data < 9) | (data > 13))
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    heads = bounds[:-1][bounds[:-1] < bounds[1:]]  # a word also begins where its text does
+    begins[heads] = solid[heads]
+    starts = np.flatnonzero(begins)
+    before = np.cumsum(solid, dtype="<i4")
+    ends = np.append(before[starts] - 1, before[-1:] if len(before) else 0).astype("<i4")
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data[solid]))
+    return words, np.diff(np.searchsorted(starts, bounds))
+
+
 def _shard(number: int, held: list[pa.RecordBatch], counted: bool) -> pa.RecordBatch:
     table = pa.Table.from_batches(held).combine_chunks()
     rows, words = table["row"].combine_chunks(), table["words"].combine_chunks()
-    lengths = np.diff(words.offsets.to_numpy())
-    coded = words.flatten().dictionary_encode()
-    places, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    if pa.types.is_string(words.type):
+        words, lengths = ascii_words(words)
+    else:
+        words, lengths = words.flatten(), np.diff(words.offsets.to_numpy())
+    coded = words.dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary)  # neighbours in order store well
+    rank = np.empty(len(order), "i4")
+    rank[order.to_numpy()] = np.arange(len(order))
+    places, distinct = rank[coded.indices.to_numpy(zero_copy_only=False)], coded.dictionary.take(order)
     counts = None
     if counted:
         width = max(1, len(distinct))
@@ -73,7 +97,7 @@ def _shard(number: int, held: list[pa.RecordBatch], counted: bool) -> pa.RecordB
 
 
 def word_shards(rows: DataFrame, counted: bool, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Stored shards of ``rows`` (row struct, words array<string>).
+    """Stored shards of ``rows`` (row struct, words array<string>, or string: words parted by ASCII white space).
 
     Columns: shard, rows (the structs), lengths (cells per row), places (cells as places in ``words``), counts,
     words. A cell is an occurrence of a word, in order; ``counted``, it is a distinct word of the row with its count.
@@ -95,9 +119,33 @@ def word_shards(rows: DataFrame, counted: bool, shard_bytes: int = SHARD_BYTES)
         return _dealt(rows.select("row", "words").mapInArrow(cut, schema), "shards")
 
 
-def with_values(shards: DataFrame, values: DataFrame) -> DataFrame:
-    """Add ``values``: what ``values`` (word, value) has for each of ``words``, in their order."""
-    met = shards.select("shard", F.posexplode("words").alias("place", "word"))
-    own = met.join(values, "word").groupBy("shard").agg(
-        F.sort_array(F.collect_list(F.struct("place", "value"))).getField("value").alias("values"))  # one shard's words
+def places(shards: DataFrame) -> DataFrame:
+    """Rows (shard, place, word): each distinct word of each shard."""
+    return shards.select("shard", F.posexplode("words").alias("place", "word"))
+
+
+def gathered(shards: DataFrame, found: DataFrame) -> DataFrame:
+    """Shards with ``values``: what ``found`` (shard, place, value) has for each of their words, in order."""
+    own = found.groupBy("shard").agg(  # one shard's words
+        F.sort_array(F.collect_list(F.struct("place", "value"))).getField("value").alias("values"))
     return shards.drop("words").join(own, "shard", "left")
+
+
+def with_values(shards: DataFrame, values: DataFrame) -> DataFrame:
+    """Shards with ``values``: what ``values`` (word, value) has for each of their words, in order."""
+    return gathered(shards, places(shards).join(values, "word").select("shard", "place", "value"))
+
+
+def numbered(words: DataFrame) -> DataFrame:
+    """Dense numbers from 0 for distinct words, as rows (word, value).
+
+    The words are stored with their places first, so the numbers stay the same whatever is read again.
+    """
+    stored = materialise(words.select("word", F.monotonically_increasing_id().alias("place")), "dictionary")
+    part = F.shiftright("place", 33)  # of a place, the upper bits name the task
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).select(  # one row per task
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.col("place").bitwiseAND(2**33 - 1)
+    return stored.withColumn("part", part).join(F.broadcast(starts), "part").select(
+        "word", (F.col("start") + inside).alias("value"))
