@@ -1,8 +1,8 @@
 """Byte-level BPE by ranks: encoding of whole texts, and decoding.
 
 Texts are cut into the pattern's matches; each distinct match is encoded once, by a fold of Spark's higher-order
-functions over the array of its bytes: every step joins the neighbours of the lowest rank, the leftmost of equals,
-until none has a rank. The ranks are a literal of the plan: a map cut into buckets by checksum,
+functions over its bytes: every step joins the neighbours of the lowest rank, the leftmost of equals, until none has
+a rank. The ranks are a literal of the plan: a map cut into buckets by checksum,
 because Spark looks a key up by reading a map from its start. Matches above ``LONG`` bytes, for which a fold's steps times its array would grow as a
 square, go through a heap with the same order of merges. Decoding looks pieces up by id and concatenates them.
 
@@ -24,13 +24,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import text_of
-from stayline.llm.shards import SHARD_BYTES, listed, unpacked, with_values, word_shards
+from stayline.llm.shards import SHARD_BYTES, gathered, listed, places, unpacked, word_shards
 from stayline.llm.tokens import PATTERN
-from stayline.session import materialise
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,6 +40,8 @@ LONG = 1024
 BUCKETS = 32_768
 #: Stands for a pair that has no rank.
 NONE = 2**31 - 1
+#: More than the places in a word of ``LONG`` bytes.
+PLACES = 2**16
 
 
 def read_ranks(name: str) -> dict[bytes, int]:
@@ -100,35 +101,41 @@ def _rank(piece: Column, table: Column) -> Column:
     return F.coalesce(F.try_element_at(bucket, piece), F.lit(NONE))
 
 
-def _merged(pieces: Column, table: Column) -> Column:
-    """Ids of a word from its bytes. The state of the fold: the pieces, and the ranks of neighbours.
+def _merged(digits: Column, table: Column) -> Column:
+    """Ids of a word from the digits of its bytes.
 
-    Both arrays keep their length; what a merge takes away moves nulls in at the end.
+    The state of the fold are the cuts between pieces, from left to right, each as the rank of what its removal would
+    join, and its place behind that. The least of them is the next to go; its neighbours get new ranks.
     """
-    # ranks[i] is that of pieces[i - 1] and pieces[i]; there is none at either end.
-    pairs = F.transform(F.sequence(F.lit(0), F.size(pieces)),
-                        lambda i: _rank(F.concat(F.get(pieces, i - 1), F.get(pieces, i)), table))
-
-    def joined(state: Column, at: Column) -> Column:
-        """``pieces[at - 1]`` and ``pieces[at]`` as one."""
-        pieces, ranks = state["pieces"], state["ranks"]
-        made = F.concat(F.get(pieces, at - 1), F.get(pieces, at))
-        return F.struct(
-            F.transform(pieces, lambda p, i: F.when(i < at - 1, p).when(i >= at, F.get(pieces, i + 1)).otherwise(made))
-            .alias("pieces"),
-            F.transform(ranks, lambda r, i: F.when(i < at - 1, r).when(i > at, F.get(ranks, i + 1)).otherwise(
-                _rank(F.when(i < at, F.concat(F.get(pieces, at - 2), made)).otherwise(
-                    F.concat(made, F.get(pieces, at + 1))), table))).alias("ranks"))
-
-    def step(state: Column, _: Column) -> Column:
-        least = F.array_min(state["ranks"])
-        place = F.array_position(state["ranks"], least).cast("int") - 1
-        return F.when(least == NONE, state).otherwise(_let(place, lambda at: joined(state, at)))
-
-    steps = F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1)))
-    begun = F.struct(pieces.alias("pieces"), pairs.alias("ranks"))
-    return F.aggregate(steps, begun, step, lambda state: F.transform(
-        F.filter(state["pieces"], lambda p: p.isNotNull()), lambda p: _rank(p, table)))
+    size = (F.length(digits) / 2).cast("int")
+
+    def piece(start: Column, end: Column) -> Column:
+        return F.substring(digits, 2 * start + 1, 2 * (end - start))
+
+    def place(cuts: Column, i: Column) -> Column:
+        """Place of the i-th cut; before the first and after the last are the ends of the word."""
+        return F.coalesce((F.get(cuts, i) % PLACES).cast("int"), F.when(i < 0, F.lit(0)).otherwise(size))
+
+    def entry(start: Column, at: Column, end: Column) -> Column:
+        return _rank(piece(start, end), table).cast("bigint") * PLACES + at
+
+    def removed(cuts: Column, least: Column) -> Column:
+        return F.filter(F.transform(cuts, lambda cut, i: F.when(cut == least, F.lit(None)).when(
+            F.get(cuts, i + 1) == least, entry(place(cuts, i - 1), place(cuts, i), place(cuts, i + 2))).when(
+            F.get(cuts, i - 1) == least, entry(place(cuts, i - 2), place(cuts, i), place(cuts, i + 1))).otherwise(cut),
+        ), lambda cut: cut.isNotNull())
+
+    def step(cuts: Column, _: Column) -> Column:
+        # The least is found by value: array_position leaves its loop by an exception, which costs more than the loop.
+        return F.when(F.array_min(cuts) < NONE * PLACES, _let(F.array_min(cuts), lambda least: removed(cuts, least))
+                      ).otherwise(cuts)
+
+    def pieces(cuts: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(cuts)),
+                           lambda i: _rank(piece(place(cuts, i - 1), place(cuts, i)), table))
+
+    inner = F.when(size > 1, F.sequence(F.lit(1), size - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(inner, F.transform(inner, lambda i: entry(i - 1, i, i + 1)), step, pieces)
 
 
 class Ranks:
@@ -147,8 +154,8 @@ class Ranks:
 
     def merged(self, word: Column) -> Column:
         """Ids of a word, by the fold."""
-        pieces = F.regexp_extract_all(F.lower(F.hex(word.cast("binary"))), F.lit(".."), F.lit(0))
-        return _let(self._buckets, lambda table: _let(pieces, lambda own: _merged(own, table)))
+        digits = F.lower(F.hex(word.cast("binary")))
+        return _let(self._buckets, lambda table: _let(digits, lambda own: _merged(own, table)))
 
     def whole(self, spark: SparkSession) -> DataFrame:
         """Rows (word, id) of the pieces that are texts: as many as the vocabulary has at most."""
@@ -205,14 +212,17 @@ def _long_words(ranks: dict[bytes, int]):
     return run
 
 
-def encode_words(words: DataFrame, ranks: Ranks, long: int = LONG) -> DataFrame:
-    """Rows (word, value): the ids of each distinct ``word``."""
+def encoded(words: DataFrame, ranks: Ranks, long: int = LONG) -> DataFrame:
+    """``words`` (word and others) with ``value``, the ids of the word; a word that comes often is folded once."""
     width = F.octet_length("word")
+    same = Window.partitionBy("word").orderBy("shard")  # as many rows as shards hold the word
     whole = F.broadcast(ranks.whole(words.sparkSession))  # the vocabulary, a fixed size
-    value = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(ranks.merged(F.col("word")))
-    short = words.where(width <= long).join(whole, "word", "left").select("word", value.alias("value"))
-    rest = words.where(width > long).mapInArrow(_long_words(ranks.by_piece), "word string, value array<int>")
-    return short.unionByName(rest)
+    own = F.when(F.col("id").isNotNull(), F.array("id")).when(F.col("nth") == 1, ranks.merged(F.col("word")))
+    short = words.where(width <= long).withColumn("nth", F.row_number().over(same)).join(whole, "word", "left")
+    short = short.withColumn("own", own).withColumn("value", F.first("own", ignorenulls=True).over(same))
+    rest = words.where(width > long)
+    found = rest.select("word").distinct().mapInArrow(_long_words(ranks.by_piece), "word string, value array<int>")
+    return short.select(*words.columns, "value").unionByName(rest.join(found, "word").select(*words.columns, "value"))
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,8 +251,7 @@ def encode(
     matches = F.regexp_extract_all(text_of(text), F.lit(jvm_pattern(docs.sparkSession)), F.lit(0))
     rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id")).alias("row"), matches.alias("words"))
     shards = word_shards(rows, counted=False, shard_bytes=shard_bytes)
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    filled = with_values(shards, materialise(encode_words(words, ranks, long), "encoded-words"))
+    filled = gathered(shards, encoded(places(shards), ranks, long).select("shard", "place", "value"))
     kind = docs.schema[id_col].dataType.simpleString()
     found = filled.select("rows", "lengths", "places", "values").mapInArrow(_gather, f"id {kind}, ids array<int>")
     return found.withColumnRenamed("id", id_col)
