@@ -29,7 +29,7 @@ def balance_report(before: DataFrame, after: DataFrame, label: str = "label") ->
 
 def smote(
     train: DataFrame, names: Sequence[str], label: str = "label", key: str = KEY, k: int = 5, seed: int = SEED,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS, stats: dict | None = None,
 ) -> DataFrame:
     """Training rows plus synthetic minority rows up to parity, as (key, label, base_key, features).
 
@@ -63,7 +63,7 @@ def smote(
         .select("pid", "copies", "x.*"),
         "points",
     )
-    near = nearest(points, f, k, block_rows)
+    near = nearest(points, f, k, block_rows, stats)
 
     # Place of each neighbour among all minority rows, copies counted: [since, upto).
     weights = points.select(F.col("pid").alias("nid"), "copies")
@@ -92,7 +92,7 @@ def smote(
     draws = draws.withColumn("digest", digest).withColumn("pick", hash_int(F.col("digest"), 1) % k).withColumn(
         "u", hash_unit(F.col("digest"), 9)
     )
-    # Points with a mass of copieser than HOT_POINTS of them. Their nearest neighbours are their
+    # Points with a mass of copies: there are fewer than HOT_POINTS of them. Their nearest neighbours are their
     # own copies, so their draws repeat the base row and skip the joins they would weigh down.
     hot = points.where(F.col("copies") > max(k, n_min / HOT_POINTS)).select("pid")
     chosen = draws.join(hot, "pid", "left_anti").join(places, "pid").where(

@@ -36,6 +36,7 @@ class Pipeline:
     settings: dict = field(default_factory=dict)  # arguments of ``models.estimators``
     seed: int = SEED
     fit_rows: int = FIT_ROWS  # labelled rows used to fit, drawn per class by seeded hash if there are more
+    search: dict = field(default_factory=dict)  # what the neighbour search compared
 
     @property
     def spark(self) -> SparkSession:
@@ -86,7 +87,7 @@ class Pipeline:
     @cached_property
     def oversampled(self) -> DataFrame:
         """All training rows, oversampled, whatever ``fit_rows`` is."""
-        return materialise(smote(self.train, self.spec.names, seed=self.seed), "oversampled")
+        return materialise(smote(self.train, self.spec.names, seed=self.seed, stats=self.search), "oversampled")
 
     @cached_property
     def balanced(self) -> DataFrame:
