@@ -27,12 +27,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import small_batches, text_of
-from stayline.llm.shards import SHARD_BYTES, listed, numbered, unpacked, with_values, word_shards
+from stayline.llm.shards import listed, numbered, unpacked, with_values, word_shards
 from stayline.session import materialise
 
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Bytes of text in a shard: what a task holds several times over while it counts words.
+SHARD_BYTES = 12 << 20
 FILTERS = "ABCDE"
 #: What the filters ask for.
 MIN_WORDS, MIN_DISTINCT_PCT, MAX_CAPITALS_PCT, MARKUP = 50, 65, 5, "[#$%&*|]"
