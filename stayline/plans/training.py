@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -16,8 +17,10 @@ from stayline.operators.cleaning import clean
 from stayline.operators.evaluate import model_metrics, select_best
 from stayline.operators.features import FeatureSpec, assemble, feature_frame, fit_levels, fit_scaler, scale
 from stayline.operators.split import stratified_split
-from stayline.session import materialise, new_path, once
-from stayline.sources.snapshot import snapshot
+from stayline.session import new_path, once
+from stayline.sources import artifacts
+from stayline.sources.snapshot import snapshot, snapshot_files
+from stayline.sources.store import Store, file_status
 
 
 #: Labelled rows used to fit by default. It bounds oversampling and training; scoring takes all rows.
@@ -28,20 +31,27 @@ FIT_ROWS = 1_000_000
 class Pipeline:
     """Clean, encode, split, scale, balance, train, evaluate, select, explain.
 
-    Steps are lazy and cached. Their tables are written to the shared folder: every later step and
-    every pass of a learner reads a finished table instead of repeating the plan behind it.
+    Steps are lazy. Their tables and models are kept in a store by content: every later step and every pass of a
+    learner reads a finished table instead of repeating the plan behind it, and another application that asks for the
+    same input, settings and code finds them there and fits nothing.
     """
 
     customers: DataFrame
     settings: dict = field(default_factory=dict)  # arguments of ``models.estimators``
     seed: int = SEED
     fit_rows: int = FIT_ROWS  # labelled rows used to fit, drawn per class by seeded hash if there are more
+    inputs: Sequence[str] = ()  # files that ``customers`` comes from; those it reads itself, if not given
     search: dict = field(default_factory=dict)  # what the neighbour search compared
 
     @property
     def spark(self) -> SparkSession:
         return self.customers.sparkSession
 
+    @cached_property
+    def store(self) -> Store:
+        settings = {**self.settings, "seed": self.seed, "fit_rows": self.fit_rows}
+        return Store(self.spark, self.inputs or self.customers.inputFiles(), settings)
+
     @cached_property
     def cleaned(self) -> DataFrame:
         return clean(self.customers)
@@ -53,12 +63,12 @@ class Pipeline:
     @cached_property
     def prepared(self) -> DataFrame:
         """Key, class, label, raw features and the test flag."""
-        frame = feature_frame(self.cleaned, self.spec)
-        return materialise(stratified_split(frame, "label", 0.2, self.seed), "prepared")
+        return self.store.table("prepared", lambda: stratified_split(
+            feature_frame(self.cleaned, self.spec), "label", 0.2, self.seed))
 
     @cached_property
     def scaler(self) -> DataFrame:
-        return materialise(fit_scaler(self.prepared.where("not is_test")), "scaler")
+        return self.store.table("scaler", lambda: fit_scaler(self.prepared.where("not is_test")))
 
     @property
     def scaled(self) -> DataFrame:
@@ -81,20 +91,22 @@ class Pipeline:
     def fit_source(self) -> DataFrame:
         if self.n_train <= self.fit_rows:
             return self.train
-        drawn = stratified_split(self.train.drop("is_test"), "label", self.fit_rows / self.n_train, self.seed + 1)
-        return materialise(drawn.where("is_test").withColumn("is_test", F.lit(False)), "fit-source")
+        return self.store.table("fit-source", lambda: stratified_split(
+            self.train.drop("is_test"), "label", self.fit_rows / self.n_train, self.seed + 1
+        ).where("is_test").withColumn("is_test", F.lit(False)))
 
     @cached_property
     def oversampled(self) -> DataFrame:
         """All training rows, oversampled, whatever ``fit_rows`` is."""
-        return materialise(smote(self.train, self.spec.names, seed=self.seed, stats=self.search), "oversampled")
+        return self.store.table("oversampled", lambda: smote(
+            self.train, self.spec.names, seed=self.seed, stats=self.search))
 
     @cached_property
     def balanced(self) -> DataFrame:
         """The rows used to fit, oversampled."""
         if self.n_train <= self.fit_rows:
             return self.oversampled
-        return materialise(smote(self.fit_source, self.spec.names, seed=self.seed), "balanced")
+        return self.store.table("balanced", lambda: smote(self.fit_source, self.spec.names, seed=self.seed))
 
     @cached_property
     def learners(self) -> dict:
@@ -103,9 +115,14 @@ class Pipeline:
     @cached_property
     def fitted(self) -> dict[str, models.Fitted]:
         """Every learner on the rows used to fit, by name."""
-        if "together" in self.__dict__:
-            return self.together["all"]
-        return models.fit_sets({"all": self.balanced}, self.spec.names, self.learners)["all"]
+        def write(path: str) -> None:
+            if "together" in self.__dict__ and "all" in self.together:
+                made = self.together["all"]
+            else:
+                made = models.fit_sets({"all": self.balanced}, self.spec.names, self.learners)["all"]
+            artifacts.save_fitted(self.spark, made, path)
+
+        return artifacts.load_fitted(self.spark, self.store.folder("models", write))
 
     @cached_property
     def _folds(self) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -115,7 +132,7 @@ class Pipeline:
     def together(self) -> dict[str, dict[str, models.Fitted]]:
         """The folds' models and, unless they exist already, those of all rows: one series of passes."""
         sets = dict(self._folds[0])
-        if "fitted" not in self.__dict__:
+        if not self.store.holds("models"):
             sets["all"] = self.balanced
         return models.fit_sets(sets, self.spec.names, self.learners)
 
@@ -126,16 +143,18 @@ class Pipeline:
     @cached_property
     def scored(self) -> DataFrame:
         """Test rows scored by every model."""
-        test = assemble(self.test, self.spec.names).select(KEY, "label", "features")
-        return materialise(models.score_all(self.models, test), "scored")
+        def test() -> DataFrame:
+            return assemble(self.test, self.spec.names).select(KEY, "label", "features")
+
+        return self.store.table("scored", lambda: models.score_all(self.models, test()))
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return materialise(model_metrics(self.scored), "metrics")
+        return self.store.table("metrics", lambda: model_metrics(self.scored))
 
     @cached_property
     def ranking(self) -> DataFrame:
-        return materialise(select_best(self.metrics, models.MODEL_ORDER), "ranking")
+        return self.store.table("ranking", lambda: select_best(self.metrics, models.MODEL_ORDER))
 
     @cached_property
     def best_name(self) -> str:
@@ -144,8 +163,8 @@ class Pipeline:
     @cached_property
     def cv_scores(self) -> DataFrame:
         """AUC of every learner in every fold."""
-        fitted = {s: m for s, m in self.together.items() if s != "all"}
-        return materialise(models.fold_aucs(fitted, self._folds[1], self.spec.names), "cv-scores")
+        return self.store.table("cv-scores", lambda: models.fold_aucs(
+            {s: m for s, m in self.together.items() if s != "all"}, self._folds[1], self.spec.names))
 
     @property
     def best_scored(self) -> DataFrame:
@@ -183,8 +202,14 @@ class Pipeline:
     @cached_property
     def explanation(self) -> tuple[DataFrame, float]:
         """``explained`` for the selected model, stored as one row with two arrays per customer."""
-        rows, base = self.explained(self.best_name)
-        return materialise(rows, "shap"), base
+        found: dict[str, float] = {}
+
+        def build() -> DataFrame:
+            rows, found["base"] = self.explained(self.best_name)
+            return rows
+
+        rows = self.store.table("shap", build)
+        return rows, self.store.value("shap-base", lambda: found or {"base": self.explained(self.best_name)[1]})["base"]
 
     @property
     def shap(self) -> DataFrame:
@@ -216,6 +241,7 @@ class Pipeline:
 
 
 def pipeline(spark: SparkSession, sf_dir: str, **settings) -> Pipeline:
-    """The pipeline over a data folder, built once per application and settings."""
-    key = ("pipeline", sf_dir, tuple(sorted(settings.items())))
-    return once(spark, key, lambda: Pipeline(snapshot(spark, sf_dir), settings))
+    """The pipeline over a data folder. One application builds it once for what the files hold."""
+    inputs = snapshot_files(sf_dir)
+    key = ("pipeline", tuple(file_status(spark, inputs)), tuple(sorted(settings.items())))
+    return once(spark, key, lambda: Pipeline(snapshot(spark, sf_dir), settings, inputs=inputs))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import Model, PipelineModel, classification
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from stayline.columns import METRICS
 from stayline.functions.exprs import slug
 from stayline.operators.boosting import BoostedTrees
 from stayline.operators.features import FeatureSpec
+from stayline.operators.models import Fitted
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -54,6 +55,27 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, FeatureSp
     return model, FeatureSpec(levels), spark.read.parquet(f"{path}/scaler")
 
 
+def save_fitted(spark: SparkSession, fitted: dict[str, Fitted], path: str) -> None:
+    """Models by name, in the order given, with what their fits cost."""
+    for i, f in enumerate(fitted.values()):
+        if isinstance(f.model, BoostedTrees):
+            f.model.save(f"{path}/{i}")
+        else:
+            f.model.write().save(f"{path}/{i}")
+    rows = [(i, n, type(f.model).__name__, float(f.seconds)) for i, (n, f) in enumerate(fitted.items())]
+    spark.createDataFrame(rows, "place int, name string, kind string, seconds double").coalesce(1).write.parquet(f"{path}/list")
+
+
+def load_fitted(spark: SparkSession, path: str) -> dict[str, Fitted]:
+    """Models saved by ``save_fitted``."""
+    found = {}
+    for r in spark.read.parquet(f"{path}/list").orderBy("place").collect():  # a few models
+        own = f"{path}/{r['place']}"
+        model = BoostedTrees.load(spark, own) if r["kind"] == "BoostedTrees" else getattr(classification, r["kind"]).load(own)
+        found[r["name"]] = Fitted(model, r["seconds"])
+    return found
+
+
 _FIVE = ", ".join(f"{m}: double" for m in METRICS)
 METADATA_SCHEMA = (
     f"best_model string, model_file string, metrics struct<{_FIVE}, cv_auc_mean: double, cv_auc_std: double>, "

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.columns import ADDONS, PUBLIC_NAME
-from stayline.session import materialise, once
+from stayline.session import once
+from stayline.sources.store import Store, file_status
 
 # Part type behind each add-on service, in the order of ADDONS.
 ADDON_PART_TYPES = ["ECONOMY", "SMALL", "MEDIUM", "PROMO", "LARGE", "STANDARD"]
@@ -86,6 +87,13 @@ def build_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated.selectExpr(*[f"{DEFINITIONS.get(n, n)} as {n}" for n in PUBLIC_NAME])
 
 
+def snapshot_files(sf_dir: str) -> list[str]:
+    """The tables that the snapshot is made of."""
+    return [f"{sf_dir}/{t}.parquet" for t in ("customer", "lineitem", "orders", "part")]
+
+
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snapshot as a table, written once per application and scanned with column pruning."""
-    return once(spark, ("snapshot", sf_dir), lambda: materialise(build_snapshot(spark, sf_dir), "snapshot"))
+    """The snapshot as a stored table, scanned with column pruning; made anew if a file of its tables has changed."""
+    inputs = snapshot_files(sf_dir)
+    return once(spark, ("snapshot", tuple(file_status(spark, inputs))), lambda: Store(spark, inputs, {}).table(
+        "snapshot", lambda: build_snapshot(spark, sf_dir)))
