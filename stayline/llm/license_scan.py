@@ -29,14 +29,6 @@ SLACK = 1.25
 _SEED = 77_001
 _MARK_BITS = 20
 
-#: Short notices by which texts state their license. The query takes ``licenses.LICENSES``.
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-)
-
 
 def step_of(size: int) -> int:
     """Shingles from one window to the next for a template of ``size`` distinct shingles; a window has two steps."""
@@ -141,13 +133,14 @@ def scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
     return _scanners[templates]
 
 
-def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, id_col: str = "doc_id",
+def scan(docs: DataFrame, templates: Sequence[tuple[str, str]], id_col: str = "doc_id",
          text: str = "text") -> DataFrame:
     """One row per row of ``docs`` and license found: ``id_col, license, containment, first_word, windows``.
 
     A license may have several templates; ``containment`` is the best of them. ``first_word`` is where the
     first window that holds a template begins, counted in words from 0; ``windows`` counts the windows.
-    Null and empty texts hold nothing.
+    Null and empty texts hold nothing, an empty table gives an empty one, and each of repeated rows is reported.
+    Only the id and the text are read, so other columns may be called anything.
     """
     fixed = tuple((str(a), str(b)) for a, b in templates)
 

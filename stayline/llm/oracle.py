@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from stayline.llm.license_scan import CONTAINMENT, TEMPLATES
+from stayline.llm.licenses import LICENSES
+
+#: The least share of a template's shingles.
+CONTAINMENT = 0.8
 
 #: Distinct five-word shingles of a text; a text of fewer words is one shingle.
 SHINGLES = r"""
@@ -30,14 +33,23 @@ def _near() -> str:
 
 
 def _licenses() -> str:
-    listed = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
-    wanted = SHINGLES.format(table="(select i as doc_id, text from templates)").replace("word_lists", "template_words")
-    return f"""with templates(i, license, text) as (values {listed}), {wanted.replace("sets as", "wanted as").strip()},
-        {SHINGLES.format(table="documents").strip()},
-        sizes as (select doc_id, count(*) as n from wanted group by doc_id),
-        held as (select s.doc_id, w.doc_id as i, count(*) as n from sets s join wanted w using (shingle) group by all)
-        select held.doc_id, license, held.n::double / sizes.n as containment
-        from held join sizes on sizes.doc_id = held.i join templates using (i) where held.n >= {CONTAINMENT} * sizes.n"""
+    """Templates at five words, or at their own number if they have fewer, against the texts' shingles of that number."""
+    listed = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(LICENSES))
+    word = r"'[a-z0-9_\x{80}-\x{10FFFF}]+'"
+    return f"""with templates as (
+          select i, license, regexp_extract_all(lower(body), {word}) as w from (values {listed}) as v(i, license, body)),
+        wanted as (select distinct i, k, array_to_string(w[p : p + k - 1], ' ') as shingle
+          from (select i, w, k, unnest(range(1, len(w) - k + 2)) as p
+            from (select i, w, least(len(w), 5) as k from templates))),
+        sizes as (select i, count(*) as n from wanted group by i),
+        texts as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), {word}) as w from documents),
+        had as (select distinct doc_id, k, array_to_string(w[p : p + k - 1], ' ') as shingle
+          from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as p
+            from texts, (select distinct k from wanted) where len(w) >= k)),
+        held as (select doc_id, i, count(*) as n from had join wanted using (k, shingle) group by all)
+        select doc_id, license, max(held.n::double / sizes.n) as containment
+        from held join sizes using (i) join templates using (i) where held.n >= {CONTAINMENT} * sizes.n
+        group by doc_id, license"""
 
 
 def _repeats(length: int = 200) -> str:

@@ -25,7 +25,7 @@ from stayline.session import materialise, new_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of words after which a shard is closed.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 
 
 def packed(values: np.ndarray) -> bytes:

@@ -2,16 +2,22 @@
 
 Arrivals (digest, identifier, locator) are streamed into state keyed by digest, kept on disk by the
 RocksDB store and never expired: the stable identifier (the largest), the locator of the row that
-holds it and the number of rows. Later calls with the same ``state`` folder go on from there. Where a
-digest is hit again, the full bytes of its texts are compared; should two texts share a digest, their
-rows are grouped by the whole text instead.
+holds it (call and row) and the number of rows. Where a digest is hit again, the full bytes of its texts
+are compared; should two texts share a digest, their rows are grouped by the whole text instead.
+
+Later calls with the same ``state`` folder go on from there: each call keeps its distinct texts beside the
+state, by call, and a hit on an earlier call's state is compared with those. A row is kept only if both its id
+and its locator are those of the state, so of a text whose largest id came earlier no later row stays; of rows
+with one id and text that of the earliest call stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm.common import boxed, boxed_text, join_on, text_of
@@ -34,10 +40,11 @@ def sha256(text: Column) -> Column:
 
 
 def feed(arrivals: DataFrame, state: str, batch_bytes: int = BATCH_BYTES, max_files: int | None = None) -> DataFrame:
-    """Stream (digest, id, row) into the state folder; the state as rows (digest, keep, n).
+    """Stream (digest, id, turn, row) into the state folder; the state as rows (digest, keep, n).
 
-    ``keep`` is a struct (id, row): the largest id, and the locator of its row. ``arrivals`` is
-    written to a folder beside the state, in which each call adds files that the stream has not seen.
+    ``keep`` is a struct (id, turn, row): the largest id, and the locator of its row; ``turn`` is the call's number
+    below zero, so that an earlier call comes first. ``arrivals`` is written to a folder beside the state, in which
+    each call adds files that the stream has not seen.
     """
     spark = arrivals.sparkSession
     inbox, checkpoint = f"{state}/arrivals", f"{state}/checkpoint"
@@ -50,7 +57,7 @@ def feed(arrivals: DataFrame, state: str, batch_bytes: int = BATCH_BYTES, max_fi
         source = source.option("maxFilesPerTrigger", max_files) if max_files else source.option(
             "maxBytesPerTrigger", batch_bytes)
         keyed = source.parquet(inbox).groupBy("digest").agg(
-            F.max(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("n"))
+            F.max(F.struct("id", "turn", "row")).alias("keep"), F.count(F.lit(1)).alias("n"))
         # The sink has nothing to keep: the result is the state.
         query = (keyed.writeStream.outputMode("update").format("noop")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -66,33 +73,67 @@ def feed(arrivals: DataFrame, state: str, batch_bytes: int = BATCH_BYTES, max_fi
     return stored.select(F.col("key.digest").alias("digest"), keep.alias("keep"), n.alias("n"))
 
 
+def _earlier(spark: SparkSession, path: str) -> DataFrame | None:
+    """Texts of earlier calls as rows (digest, text, keep_id, n, turn), if there were any."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def _texts(rows: DataFrame, turn: int) -> DataFrame:
+    """The distinct texts of a call."""
+    return rows.groupBy("digest", "text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n")).withColumn(
+        "turn", F.lit(turn))
+
+
+@dataclass
+class Classes:
+    """What a call found: its arrivals, the verified state, and the groups of colliding digests if there are any."""
+
+    turn: int
+    arrivals: DataFrame
+    held: DataFrame
+    exact: DataFrame | None
+
+
 def classes(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", state: str | None = None,
     digest: Callable[[Column], Column] = sha256, **feeding,
-) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Arrivals, the verified state (digest, keep, n), and the exact groups of colliding digests or None."""
+) -> Classes:
+    """The equal texts of ``docs``, and of earlier calls on ``state``."""
     spark = docs.sparkSession
+    earlier = _earlier(spark, f"{state}/texts") if state else None
+    turn = 0 if earlier is None else earlier.agg(F.min("turn")).first()[0] - 1
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text).alias("text"))
+    hashed = rows.withColumn("digest", digest(F.col("text")))
     arrivals = materialise(
-        rows.select(digest(F.col("text")).alias("digest"), "id", F.monotonically_increasing_id().alias("row")),
-        "arrivals")
+        hashed.select("digest", "id", F.lit(turn).alias("turn"), F.monotonically_increasing_id().alias("row")), "arrivals")
     held = materialise(feed(arrivals, state or new_path(spark, "dedup-state"), **feeding), "dedup-state-rows")
 
     # Full bytes of all hits: within a salt first, so that a text with a mass of copies is spread out.
     hit = held.where("n > 1").select("digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salt = F.pmod(F.xxhash64("id", F.length("text")), F.lit(SALTS)).cast("int")
-    salted = rows.select(digest(F.col("text")).alias("digest"), salt.alias("salt"), "text")
+    salted = hashed.select("digest", salt.alias("salt"), "text")
+    if earlier is not None:
+        earlier = materialise(earlier, "earlier-texts")  # this call's texts join that folder below
+        salted = salted.unionByName(earlier.select("digest", F.lit(0).alias("salt"), "text"))
+    if state:
+        _texts(hashed, turn).write.mode("append").parquet(f"{state}/texts")
     inner = salted.join(hit, ["digest", "salt"]).groupBy("digest", "salt").agg(
         F.min("text").alias("low"), F.max("text").alias("high"))
     differ = materialise(
         inner.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high"))
         .where("low != high").select("digest"), "collisions")
     if differ.isEmpty():
-        return arrivals, held, None
-    split = rows.withColumn("digest", digest(F.col("text"))).join(differ, "digest").withColumn(
-        "row", F.lit(0).cast("bigint"))
-    exact = split.groupBy("digest", "text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    return arrivals, held.join(differ, "digest", "left_anti"), materialise(exact, "collision-groups")
+        return Classes(turn, arrivals, held, None)
+    colliding = _texts(hashed.join(differ, "digest"), turn)
+    if earlier is not None:
+        colliding = colliding.unionByName(earlier.join(differ, "digest").select(colliding.columns))
+    exact = colliding.groupBy("digest", "text").agg(
+        F.max(F.struct("keep_id", "turn")).alias("keep"), F.sum("n").alias("n"))
+    exact = exact.select("digest", "text", "keep.keep_id", "keep.turn", "n")
+    return Classes(turn, arrivals, held.join(differ, "digest", "left_anti"), materialise(exact, "collision-groups"))
 
 
 def deduplicate(
@@ -102,25 +143,27 @@ def deduplicate(
     """Per row of ``docs``: ``id_col``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Null texts count as empty; texts are compared without any change. The largest id of equal texts
-    stays; of repeated rows with that id one stays. Null ids come first in that order. An empty table
-    gives an empty one.
+    stays; of repeated rows with that id one stays. Null ids come first in that order. On a resumed state
+    ``keep_id`` and ``group_size`` cover the earlier calls' rows, too. An empty table gives an empty one.
+    Only the id and the text are read, so other columns may be called anything.
     """
-    arrivals, held, exact = classes(docs, id_col, text, state, digest, **feeding)
-    joined = join_on(arrivals, held, ["digest"])
+    found = classes(docs, id_col, text, state, digest, **feeding)
+    joined = join_on(found.arrivals, found.held, ["digest"])
+    here = (F.col("turn") == F.col("keep.turn")) & (F.col("row") == F.col("keep.row"))
     plain = joined.select(
         F.col("id").alias(id_col), F.col("keep.id").alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("row") == F.col("keep.row")).alias("kept"), F.col("digest").alias("text_sha256"))
-    if exact is None:
+        here.alias("kept"), F.col("digest").alias("text_sha256"))
+    if found.exact is None:
         return plain
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text).alias("text"))
     rows = rows.withColumn("digest", digest(F.col("text")))
-    found = join_on(rows, exact, ["digest", "text"])
+    met = join_on(rows, found.exact, ["digest", "text"])
     # Copies of one id are numbered by partial counts only: one row per (text, id), then its copies.
-    folded = found.groupBy("digest", "text", "id", "keep_id", "n").agg(F.count(F.lit(1)).alias("copies"))
+    folded = met.groupBy("digest", "text", "id", "keep_id", "turn", "n").agg(F.count(F.lit(1)).alias("copies"))
     spread = folded.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    first = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("turn") == found.turn) & (F.col("copy") == 1)
     return plain.unionByName(spread.select(
-        F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"),
-        (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+        F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"), first.alias("kept"),
         F.col("digest").alias("text_sha256")))
 
 
@@ -128,16 +171,17 @@ def survivors(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", state: str | None = None,
     digest: Callable[[Column], Column] = sha256, **feeding,
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    arrivals, held, exact = classes(docs, id_col, text, state, digest, **feeding)
+    """The rows of ``docs`` that stay, with all their columns; odd rows are met as ``deduplicate`` says."""
+    found = classes(docs, id_col, text, state, digest, **feeding)
     own = F.col("doc")[id_col]
     marked = boxed(docs).withColumn("text", boxed_text(text)).withColumn("digest", digest(F.col("text")))
-    keep = held.select("digest", F.col("keep.id").alias("keep_id"))
+    keep = found.held.where(F.col("keep.turn") == found.turn).select("digest", F.col("keep.id").alias("keep_id"))
     kept = join_on(marked, keep, ["digest"]).where(own.eqNullSafe(F.col("keep_id")))
-    if exact is not None:
-        again = join_on(marked, exact.select("digest", "text", "keep_id"), ["digest", "text"])
+    if found.exact is not None:
+        groups = found.exact.where(F.col("turn") == found.turn).select("digest", "text", "keep_id")
+        again = join_on(marked, groups, ["digest", "text"])
         kept = kept.unionByName(again.where(own.eqNullSafe(F.col("keep_id"))))
-    repeated = arrivals.groupBy("digest", "id").count().where("count > 1")
+    repeated = found.arrivals.groupBy("digest", "id").count().where("count > 1")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates(["keep_id", "text"])
     return kept.select("doc.*")

@@ -50,6 +50,33 @@ def test_state_goes_on_with_later_arrivals(spark):
     assert (got[3].keep_id, got[3].group_size, got[4].group_size) == (3, 2, 1)
 
 
+def test_a_resumed_state_keeps_the_larger_earlier_id(spark):
+    """The later row has the smaller id, and stands at the same place in its call as the earlier one in its own."""
+    state = new_path(spark, "state")
+    first = spark.createDataFrame([(100, "a"), (7, "b")], "doc_id bigint, text string").coalesce(1)
+    later = spark.createDataFrame([(50, "a"), (8, "b"), (100, "a")], "doc_id bigint, text string").coalesce(1)
+    assert all(r.kept for r in stream_dedup.deduplicate(first, state=state).collect())
+    again = new_path(spark, "state")
+    stream_dedup.survivors(first, state=again).count()
+    assert [r.doc_id for r in stream_dedup.survivors(later, state=again).collect()] == [8]
+    got = {(r.doc_id, r.keep_id, r.group_size): r.kept for r in stream_dedup.deduplicate(later, state=state).collect()}
+    assert got == {(50, 100, 3): False, (100, 100, 3): False, (8, 8, 2): True}
+
+
+def test_a_hit_on_an_earlier_call_compares_bytes(spark):
+    """Every text has the same digest."""
+    one = lambda text: F.substring(text, 1, 0)
+    for keep in (stream_dedup.deduplicate, stream_dedup.survivors):
+        state = new_path(spark, "state")
+        keep(spark.createDataFrame([(1, "x"), (5, "z")], "doc_id bigint, text string"), state=state, digest=one).count()
+        got = keep(spark.createDataFrame([(2, "y"), (3, "x"), (4, "z")], "doc_id bigint, text string"), state=state, digest=one)
+        if keep is stream_dedup.survivors:
+            assert sorted(r.doc_id for r in got.collect()) == [2, 3]
+        else:
+            assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got.collect()} == {
+                (2, 2, 1, True), (3, 3, 2, True), (4, 5, 2, False)}
+
+
 def shingle_sets(rows):
     sets = {}
     for i, t in rows:

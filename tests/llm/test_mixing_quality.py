@@ -108,9 +108,18 @@ def held(text, template):
     return len(want & sets(text)) / len(want)
 
 
+#: Short notices by which texts state their license.
+NOTICES = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("MIT", "Released under the MIT License."),
+]
+
+
 def test_licenses(spark, sf, rng):
     long = " ".join(f"t{i}" for i in range(60))
-    templates = [*license_scan.TEMPLATES, ("long", long)]
+    templates = [*NOTICES, ("long", long)]
     changed = long.split()
     for i in (3, 58):
         changed[i] = "other"
@@ -130,9 +139,9 @@ def test_licenses(spark, sf, rng):
 
 
 def test_licenses_of_odd_rows(odd_docs, no_docs):
-    assert license_scan.scan(odd_docs).count() == 0
+    assert license_scan.scan(odd_docs, NOTICES).count() == 0
     assert license_scan.scan(odd_docs, [("two", "One, two!")]).collect()[0].doc_id == 8
-    assert license_scan.scan(no_docs).count() == 0
+    assert license_scan.scan(no_docs, NOTICES).count() == 0
 
 
 def test_pipeline(spark, sf):
