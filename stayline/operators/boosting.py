@@ -4,7 +4,8 @@ A fit is a learner on a set of rows, such as one fold of a cross-validation. All
 which carries a bit per fit, and grow side by side: one pass over the table gives the histograms of the next level of the
 current tree of every fit, keyed by fit, node, feature and bin. Only the smaller child of a node is counted; its sibling is
 the parent less that. Gradients are rounded to multiples of 2^-30 before they are summed, so sums are exact whatever the
-order of tasks, and a fit grows the same trees alone as beside others.
+order of tasks, and a fit grows the same trees alone as beside others. A table of a few blocks is dealt by fits instead of by
+rows, and each task makes the passes of its fit by itself, to the same trees.
 
 Splits maximise the second-order gain G^2 / (H + l2); a leaf is -G / (H + l2) times the rate. Each tree draws its rows by
 hash and its columns once. A tree with a budget of leaves is grown best-first: as a split's gain does not depend on what else
@@ -20,8 +21,10 @@ import json
 import math
 import sys
 import time
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,10 @@ BLOCK_ROWS = 2048
 BINS = 32
 #: Trees after which the margins are written into the table; until then a pass adds them up from the trees.
 KEPT_TREES = 20
+#: Blocks up to which a task takes a whole fit: some 3 MB of bins.
+TASK_BLOCKS = 32
+#: Blocks and fits whose margins a Python worker keeps: some 16 KB each.
+HELD_BLOCKS = 2000
 #: Tasks above which histograms are added up by fit before they are gathered.
 GATHERED_TASKS = 16
 UNIT = 2.0**30
@@ -169,10 +176,24 @@ def _block_rows(row: tuple, fits: int) -> tuple[np.ndarray, ...]:
     return bins.reshape(-1, n), label, member, draw, margin.reshape(fits, n) if len(margin) else None
 
 
-def _margins(f: int, rows: np.ndarray, bins: np.ndarray, stored, base: float, grown: list[tuple], depth: int) -> np.ndarray:
-    margin = np.full(len(rows), base) if stored is None else stored[f, rows].copy()
-    for tree in grown:
-        margin += tree[4][_leaf_of(bins, rows, tree, depth)]
+def _held() -> dict:
+    """Margins that this Python worker keeps from job to job; functions sent by value bring no state of their own."""
+    return vars(sys.modules.setdefault("_margins_held", ModuleType("_margins_held"))).setdefault("margins", {})
+
+
+def _margins(a: _Ask, key: tuple | None, bins: np.ndarray, stored) -> np.ndarray:
+    """Margins of all rows of a block after the trees grown so far; those this worker has are only carried on."""
+    held = _held()
+    done, margin = held.get(key, (0, None))
+    if margin is None or done > len(a.grown):
+        done, margin = 0, np.full(bins.shape[1], a.base) if stored is None else stored[a.fit]
+    rows = np.arange(bins.shape[1])
+    for tree in a.grown[done:]:
+        margin = margin + tree[4][_leaf_of(bins, rows, tree, a.learner.depth)]
+    if key:
+        if len(held) >= HELD_BLOCKS:
+            held.clear()
+        held[key] = (len(a.grown), margin)
     return margin
 
 
@@ -192,16 +213,21 @@ class _Ask:
     columns: np.ndarray
 
 
-def _count(asks: list[_Ask], fits: int, starts: np.ndarray):
-    """Histograms of the asked nodes: gradients, hessians and rows by node and bin; all exact multiples of a unit."""
+def _count(asks: list[_Ask], fits: int, starts: np.ndarray, copies: int, table: str):
+    """Histograms of the asked nodes: gradients, hessians and rows by node and bin; all exact multiples of a unit.
+
+    Copy c of a block serves the fits that leave c when divided by the number of copies.
+    """
     width = int(starts[-1])
 
     def run(rows_of_blocks: Iterator[tuple]) -> Iterator[tuple]:
-        sums = {a.fit: np.zeros((3, len(a.nodes) * width)) for a in asks}
-        spent = dict.fromkeys(sums, 0.0)
-        for row in rows_of_blocks:
+        sums: dict[int, np.ndarray] = {}
+        spent: dict[int, float] = {}
+        for place, row in rows_of_blocks:
             bins, label, member, draw, stored = _block_rows(row, fits)
             for a in asks:
+                if a.fit % copies != place % copies:
+                    continue
                 began = time.process_time()
                 taken = (member >> np.uint64(a.bit)) & np.uint64(1) > 0
                 if a.learner.row_share < 1:
@@ -211,15 +237,15 @@ def _count(asks: list[_Ask], fits: int, starts: np.ndarray):
                 slots[a.nodes] = np.arange(len(a.nodes))
                 slot = slots[_leaf_of(bins, rows, a.open, a.level)]
                 rows, slot = rows[slot >= 0], slot[slot >= 0].astype("i8")
-                margin = _margins(a.fit, rows, bins, stored, a.base, a.grown, a.learner.depth)
+                margin = _margins(a, (table, place, a.fit), bins, stored)[rows]
                 p = 1.0 / (1.0 + np.exp(-margin))
                 g, h = np.rint((p - label[rows]) * UNIT), np.rint(p * (1.0 - p) * UNIT)
                 cells = (slot * width + starts[a.columns][:, None] + bins[a.columns][:, rows]).ravel()
-                total = sums[a.fit]
+                total = sums.setdefault(a.fit, np.zeros((3, len(a.nodes) * width)))
                 for k, w in enumerate((g, h)):
                     total[k] += np.bincount(cells, np.broadcast_to(w, (len(a.columns), len(rows))).ravel(), total.shape[1])
                 total[2] += np.bincount(cells, minlength=total.shape[1])
-                spent[a.fit] += time.process_time() - began
+                spent[a.fit] = spent.get(a.fit, 0.0) + time.process_time() - began
         for fit, total in sums.items():
             yield fit, (spent[fit], total)
 
@@ -232,10 +258,7 @@ def _stored(asks: list[_Ask], fits: int):
         for batch in batches:
             for i, row in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
                 bins, _, _, _, stored = _block_rows(row, fits)
-                rows = np.arange(bins.shape[1])
-                margin = np.zeros((fits, len(rows)))
-                for a in asks:
-                    margin[a.fit] = _margins(a.fit, rows, bins, stored, a.base, a.grown, a.learner.depth)
+                margin = np.stack([_margins(a, None, bins, stored) for a in asks])  # one of each fit, in order
                 yield pa.RecordBatch.from_arrays(
                     [*[c.slice(i, 1) for c in batch.columns[:-1]], pa.array([margin.tobytes()], pa.binary())],
                     names=batch.schema.names)
@@ -359,21 +382,56 @@ class _Growing:
                 self.begin()
 
 
+def _whole_fits(fits: Sequence[tuple[int, Boosting]], n_features: int, starts: np.ndarray):
+    """All passes of a fit over its blocks in one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks_of: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for fit, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                blocks_of.setdefault(fit, []).append(tuple(row))
+        for fit, rows in blocks_of.items():
+            own, name = _Growing(fit, *fits[fit], 0.0, n_features), uuid.uuid4().hex
+            while not own.done:
+                (_, (spent, total)), = _count([own.ask()], len(fits), starts, 1, name)(enumerate(rows))
+                own.seconds += spent
+                own.take(total, starts)
+            yield pa.RecordBatch.from_pydict({
+                "fit": pa.array([fit], pa.int32()), "seconds": [own.seconds],
+                "trees": [json.dumps([vars(t) for t in own.trees])]})
+
+    return run
+
+
 def grow(table: DataFrame, edges: list[list[float]], fits: Sequence[tuple[int, Boosting]]) -> list[BoostedTrees]:
     """The models of ``fits`` (bit of the member column, learner), grown together on the binned table."""
     width = len(fits)
     starts = np.concatenate([[0], np.cumsum([len(e) + 1 for e in edges])])
 
-    def opened(stored: DataFrame):
+    stored = table.count()
+    if stored <= TASK_BLOCKS:
+        # Few rows: the fits are dealt to tasks instead of the rows, and each task makes the same passes by itself.
+        each = table.select(F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("fit"), "*")
+        grown = each.repartitionByRange(width, "fit").mapInArrow(
+            _whole_fits(fits, len(edges), starts), "fit int, seconds double, trees string").collect()  # the models
+        return [BoostedTrees.of([Tree(**t) for t in json.loads(r["trees"])], edges, 0.0, r["seconds"])
+                for r in sorted(grown, key=lambda r: r["fit"])]
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    copies = max(1, min(len(fits), cores // max(1, stored)))  # of few blocks each core gets one, for some of the fits
+
+    def opened(blocks_now: DataFrame):
         # A pass is one short job over a few arrays. As an RDD of blocks it starts in half the time of a DataFrame
         # query, which is planned anew each time; what is lost is read again from the stored table.
-        return stored.rdd.map(tuple).persist()
+        spread = blocks_now.rdd.map(tuple).zipWithIndex().flatMap(
+            lambda row: [(row[1] * copies + c, row[0]) for c in range(copies)])
+        tasks = stored * copies if stored * copies <= cores else max(cores, math.ceil(stored / 50))
+        return spread.partitionBy(tasks, int).persist(), tasks
 
-    current = opened(table)
-    tasks = current.getNumPartitions()
+    current, tasks = opened(table)
+    name = uuid.uuid4().hex
     growing = [_Growing(i, bit, learner, 0.0, len(edges)) for i, (bit, learner) in enumerate(fits)]
     while open_fits := [g for g in growing if not g.done]:
-        counted = current.mapPartitions(_count([g.ask() for g in open_fits], width, starts))
+        counted = current.mapPartitions(_count(
+            [g.ask() for g in open_fits], width, starts, copies, name))
         if tasks > GATHERED_TASKS:
             counted = counted.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]), len(open_fits))
         sums: dict[int, list] = {}
@@ -388,7 +446,8 @@ def grow(table: DataFrame, edges: list[list[float]], fits: Sequence[tuple[int, B
             for g in growing:
                 g.since = []
             current.unpersist()
-            current = opened(table)
+            current, tasks = opened(table)
+            name = uuid.uuid4().hex
     current.unpersist()
     return [BoostedTrees.of(g.trees, edges, g.base, g.seconds) for g in growing]
 

@@ -45,7 +45,19 @@ def by_tree(model):
     return found
 
 
-def test_one_fold_alone_grows_the_same_trees(table):
+@pytest.fixture(params=[0, boosting.TASK_BLOCKS], ids=["rows dealt", "fits dealt"])
+def dealt(request, monkeypatch):
+    monkeypatch.setattr(boosting, "TASK_BLOCKS", request.param)
+
+
+def test_rows_or_fits_dealt_grow_the_same_trees(table, monkeypatch):
+    fits = [(bit, Boosting(rounds=3, depth=4, leaves=v, seed=5)) for bit in (1, 3) for v in (None, 7)]
+    fewer = boosting.grow(*table, fits)
+    monkeypatch.setattr(boosting, "TASK_BLOCKS", 0)
+    assert [m.nodes for m in boosting.grow(*table, fits)] == [m.nodes for m in fewer]
+
+
+def test_one_fold_alone_grows_the_same_trees(table, dealt):
     learners = [Boosting(rounds=6, depth=4), Boosting(rounds=6, depth=5, leaves=9, l2=0.0, min_hessian=1e-3, min_rows=20)]
     together = boosting.grow(*table, [(bit, v) for v in learners for bit in range(4)])
     for v, bit in itertools.product(range(2), (0, 2, 3)):
@@ -55,6 +67,7 @@ def test_one_fold_alone_grows_the_same_trees(table):
 
 def test_stored_margins_change_nothing(table, monkeypatch):
     fits = [(3, Boosting(rounds=7, depth=3)), (0, Boosting(rounds=4, depth=3, leaves=4))]
+    monkeypatch.setattr(boosting, "TASK_BLOCKS", 0)
     whole = boosting.grow(*table, fits)
     monkeypatch.setattr(boosting, "KEPT_TREES", 2)
     monkeypatch.setattr(boosting, "GATHERED_TASKS", 0)
