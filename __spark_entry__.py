@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import importlib.util
+import importlib
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -29,11 +29,12 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 def _llm() -> list:
     """The query modules of the training-data subpackage, if it is there."""
-    if importlib.util.find_spec("stayline.llm") is None or importlib.util.find_spec("stayline.llm.queries") is None:
-        return []
-    modules = [importlib.import_module("stayline.llm.queries")]
-    if importlib.util.find_spec("corpus_pipeline") is not None:
-        modules.append(importlib.import_module("corpus_pipeline"))
+    modules = []
+    for name in ("stayline.llm.queries", "corpus_pipeline"):
+        try:
+            modules.append(importlib.import_module(name))
+        except ImportError:  # the subpackage, the pipeline or a library they need is not there
+            continue
     return modules
 
 
