@@ -230,8 +230,16 @@ def model_invariants(spark, sf):
         F.count("cv_mean").alias("cv_models"), F.count_if(~F.col("cv_mean").between(0, 1)).alias("odd_cv"))
     meta = metadata_rows(spark, sf).select("test_set_size", F.col("n_features").alias("meta_features"),
                                            F.col("cv_auc_mean").isNotNull().cast("int").alias("meta_cv"))
+    folds = pipe.cv_scores.agg(F.count_distinct("model", "fold").alias("fold_scores"))
+    tiers = risk.risk_tiers(pipe.best_scored).agg(F.sum("n").alias("tier_rows"))
+    # The importance of a feature is the mean of its absolute attributions; the strongest twenty have one for each row.
+    phi = pipe.explanation[0].select(F.posexplode("phi").alias("i", "phi")).groupBy("i").agg(F.avg(F.abs("phi")).alias("mean"))
+    listed = F.array(*[F.lit(n) for n in pipe.spec.names])
+    unlike = phi.select(F.get(listed, F.col("i")).alias("feature"), "mean").join(pipe.importance, "feature").agg(
+        F.count_if(F.abs(F.col("mean") - F.col("mean_abs_shap")) < 1e-12).alias("equal_importances"))
+    cloud = shap_beeswarm(spark, sf).agg(F.count(F.lit(1)).alias("cloud_points"))
     row = sums
-    for name, part in zip("abcdefg", (counts, best, off, ranked, share, cv, meta)):
+    for name, part in zip("abcdefghijk", (counts, best, off, ranked, share, cv, meta, folds, tiers, unlike, cloud)):
         row = row.withColumn(name, one_row(part)).select("*", f"{name}.*").drop(name)
     return fixed(row)
 
@@ -254,6 +262,11 @@ def shap_waterfall(spark, sf):
     return explain.waterfall(pipe.shap, who, pipe.explanation[1])
 
 
+def shap_beeswarm(spark, sf):
+    pipe = _pipe(spark, sf)
+    return explain.of_top_features(pipe.shap, pipe.importance, 20)
+
+
 def importance_roundtrip(spark, sf):
     path = new_path(spark, "importance")
     artifacts.write_importance(_pipe(spark, sf).importance, path)
@@ -391,7 +404,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shap_linear": lambda s, d: _shap_of(s, d, models.LOGISTIC),
         "shap_additivity": shap_additivity,
         "shap_importance": lambda s, d: _pipe(s, d).importance,
-        "shap_beeswarm": lambda s, d: explain.of_top_features(_pipe(s, d).shap, _pipe(s, d).importance, 20),
+        "shap_beeswarm": shap_beeswarm,
         "shap_dependence": lambda s, d: explain.of_top_features(_pipe(s, d).shap, _pipe(s, d).importance, 3),
         "shap_waterfall": shap_waterfall,
         "cum_importance": lambda s, d: explain.cum_importance(_pipe(s, d).importance),

@@ -318,7 +318,8 @@ def oracle_sql() -> dict[str, str]:
             select 4 as n_models, n as least_rows, n as most_rows, n as least_keys, p as least_churners, p as most_churners,
               0 as odd_scores, p as least_actual, p as most_actual, 1 as n_best, n as explained_rows, 0 as unexplained,
               45 as n_features, 100.0::double as whole_share, 4 as cv_models, 0 as odd_cv, n as test_set_size,
-              45 as meta_features, 1 as meta_cv from t""",
+              45 as meta_features, 1 as meta_cv, 20 as fold_scores, n as tier_rows,
+              45 as equal_importances, 20 * n as cloud_points from t""",
         "clean_numeric": f"with {NUM} select customer_id, total_charges from num",
         "missing_total_charges": f"with {NUM} select count(*) - count(total_charges) as n_missing from num",
         "fill_median": f"with {CLEAN} select customer_id, {r('total_charges')} as total_charges from clean",

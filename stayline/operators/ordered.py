@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.functions.exprs import hash_key
+from stayline.functions.exprs import hash_key, one_row
 from stayline.session import materialise
 
 SKETCH_ACCURACY = 20_000
@@ -26,53 +26,57 @@ def exact_quantiles(
 
     The built-in ``percentile`` keeps every distinct value of a group in one task. Here the ranks are
     found in two light steps at every size: a mergeable sketch brackets each quantile within a few
-    1e-4 of the rows, then only the rows inside the brackets are counted by value and ordered.
+    1e-4 of the rows; then one aggregate counts, for all columns and quantiles side by side, the rows below each
+    bracket, and only rows inside a bracket are counted by value and ordered.
     """
-    by = list(by)
-    keys = [*by, name]
-    long = (
-        df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-        .unpivot(by, list(cols), name, "value")
-        .where(F.col("value").isNotNull())
-    )
+    by, cols, k = list(by), list(cols), len(probs)
+    values = df.select(*by, *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
     # A bracket must reach a few rows to either side, so small groups take a wider one, the smallest all rows.
     margins = [5.0 / SKETCH_ACCURACY, 0.01, 0.1]
     places = [min(max(p + side * m, 0.0), 1.0) for m in margins for side in (-1, 1) for p in probs]
-    sketch = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-        F.percentile_approx("value", places, SKETCH_ACCURACY).alias("edges"),
-    )
-    k = len(probs)
+    sketch = values.groupBy(*by).agg(*[F.struct(
+        F.count(f"v{i}").alias("n"), F.min(f"v{i}").alias("least"), F.max(f"v{i}").alias("most"),
+        F.percentile_approx(f"v{i}", places, SKETCH_ACCURACY).alias("edges")).alias(f"s{i}") for i in range(len(cols))])
 
-    def edge(i: int, upper: int) -> Column:
-        end = F.col("most") if upper else F.col("least")
+    def edge(i: int, j: int, upper: int) -> Column:
+        s = F.col(f"s{i}")
+        end = s["most"] if upper else s["least"]
         out = end
-        for j in reversed(range(len(margins))):
-            p, m = probs[i], margins[j]
-            near = end if (p + m >= 1 if upper else p - m <= 0) else F.col("edges")[(2 * j + upper) * k + i]
-            out = F.when(F.col("n") * F.lit(m) >= 3, near).otherwise(out)
+        for t in reversed(range(len(margins))):
+            p, m = probs[j], margins[t]
+            near = end if (p + m >= 1 if upper else p - m <= 0) else s["edges"][(2 * t + upper) * k + j]
+            out = F.when(s["n"] * F.lit(m) >= 3, near).otherwise(out)
         return out
 
-    bracket = [
-        F.struct(F.lit(float(p)).alias("prob"), edge(i, 0).alias("lo"), edge(i, 1).alias("hi"))
-        for i, p in enumerate(probs)
-    ]
-    # One row per group, column and quantile; joins pick their form by the size they find.
-    brackets = sketch.select(*keys, "n", F.explode(F.array(*bracket)).alias("b")).select(*keys, "n", "b.*")
-    aimed = long.join(brackets, keys)
-    slot = [*keys, "prob"]
-    below = aimed.groupBy(*slot).agg(
-        F.first("n").alias("n"), F.count_if(F.col("value") < F.col("lo")).alias("below")
-    )
-    inside = (
-        aimed.where(F.col("value").between(F.col("lo"), F.col("hi")))
-        .groupBy(*slot, "value").agg(F.count(F.lit(1)).alias("c"))
-    )
+    # One row per group, with the brackets of all columns and quantiles.
+    brackets = sketch.select(*by, F.struct(*[
+        F.struct(F.col(f"s{i}")["n"].alias("n"),
+                 *[F.struct(edge(i, j, 0).alias("lo"), edge(i, j, 1).alias("hi")).alias(f"p{j}") for j in range(k)])
+        .alias(f"c{i}") for i in range(len(cols))]).alias("b"))
+    brackets = materialise(brackets, "brackets")
+    aimed = values.join(brackets, by) if by else values.withColumn("b", one_row(brackets)["b"])
+    slots = [(i, j) for i in range(len(cols)) for j in range(k)]
+
+    def bracket(i: int, j: int) -> Column:
+        return F.col("b")[f"c{i}"][f"p{j}"]
+
+    counted = aimed.groupBy(*by).agg(*[
+        F.count_if(F.col(f"v{i}") < bracket(i, j)["lo"]).alias(f"n{i}_{j}") for i, j in slots])
+    listed = F.array(*[F.struct(F.lit(i).alias("c"), F.lit(j).alias("p"), F.col(f"n{i}_{j}").alias("below"))
+                       for i, j in slots])
+    below = counted.select(*by, F.inline(listed))
+    sizes = brackets.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col("b")[f"c{i}"]["n"].alias("n")) for i in range(len(cols))])))
+    hits = F.filter(F.array(*[
+        F.when(F.col(f"v{i}").between(bracket(i, j)["lo"], bracket(i, j)["hi"]),
+               F.struct(F.lit(i).alias("c"), F.lit(j).alias("p"), F.col(f"v{i}").alias("value"))) for i, j in slots]),
+        lambda hit: hit.isNotNull())
+    slot = [*by, "c", "p"]
+    inside = aimed.select(*by, F.inline(hits)).groupBy(*slot, "value").agg(F.count(F.lit(1)).alias("m"))
     order = Window.partitionBy(*slot).orderBy("value")
-    ranked = inside.withColumn("upto", F.sum("c").over(order)).join(below, slot)
-    position = (F.col("n") - 1) * F.col("prob")
+    ranked = inside.withColumn("upto", F.sum("m").over(order)).join(below, slot).join(sizes, [*by, "c"])
+    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("p"))
+    position = (F.col("n") - 1) * prob
     reached = F.col("below") + F.col("upto")
     found = ranked.groupBy(*slot).agg(
         F.first(position).alias("position"),
@@ -84,8 +88,8 @@ def exact_quantiles(
     value = F.col("v0") + (F.col("position") - whole) * (F.col("v1") - F.col("v0"))
     sound = (F.col("below") <= whole) & F.col("v0").isNotNull() & F.col("v1").isNotNull()
     return found.select(
-        *slot, F.when(sound, value).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias("value")
-    )
+        *by, F.get(F.array(*[F.lit(c) for c in cols]), F.col("c")).alias(name), prob.alias("prob"),
+        F.when(sound, value).otherwise(F.raise_error(F.lit("quantile bracket missed"))).alias("value"))
 
 
 def rank_cuts(
