@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import small_batches, text_of
-from stayline.llm.shards import listed, numbered, unpacked, with_values, word_shards
+from stayline.llm.shards import gathered, listed, numbered, packed, unpacked, word_shards
 from stayline.session import materialise
 
 # Task functions travel with their code, so executors need no copy of this package.
@@ -40,7 +40,7 @@ FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT_PCT, MAX_CAPITALS_PCT, MARKUP = 50, 65, 5, "[#$%&*|]"
 
 def _matrix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shards with the dictionary's numbers; the cells of a row ascend."""
+    """Shards with the dictionary's numbers."""
     for batch in batches:
         for s in range(batch.num_rows):
             lengths = batch["lengths"][s].values.to_numpy(zero_copy_only=False)
@@ -48,29 +48,26 @@ def _matrix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms = np.zeros(0, "int64")
             if numbers is not None:
                 terms = numbers.to_numpy(zero_copy_only=False)[unpacked(batch["places"][s].as_py())]
-            counts = unpacked(batch["counts"][s].as_py())
-            order = np.lexsort((terms, np.repeat(np.arange(len(lengths)), lengths)))
             starts = np.concatenate([[0], np.cumsum(lengths)])
-            whole = [np.array([len(x)]) for x in (starts, terms)]
             yield pa.RecordBatch.from_arrays([
-                batch["shard"].slice(s, 1), batch["rows"].slice(s, 1), listed(pa.array(starts), whole[0]),
-                listed(pa.array(terms[order]), whole[1]), listed(pa.array(counts[order]), whole[1]),
+                batch["shard"].slice(s, 1), batch["rows"].slice(s, 1), listed(pa.array(starts), np.array([len(starts)])),
+                pa.array([packed(terms, "<i8")], pa.binary()), batch["counts"].slice(s, 1),
             ], names=["shard", "rows", "starts", "terms", "counts"])
 
 
 def document_term_matrix(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """The stored matrix and dictionary of ``rows`` (row struct, words as ``word_shards`` takes them).
 
-    Matrix, one row per shard: shard, rows (the structs), starts (the first cell of each row, and the end), terms,
-    counts. Dictionary: word, value; numbers are dense.
+    Matrix, one row per shard: shard, rows (the structs), starts (the first cell of each row, and the end), terms and
+    counts (of each cell, as ``shards.unpacked`` reads them: 64-bit numbers and 32-bit counts). Dictionary: word, value;
+    numbers are dense.
     """
     shards = word_shards(rows, counted=True, shard_bytes=shard_bytes)
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    dictionary = numbered(words)
+    values, dictionary = numbered(shards)
     row = rows.schema["row"].dataType.simpleString()
-    schema = f"shard bigint, rows array<{row}>, starts array<bigint>, terms array<bigint>, counts array<int>"
+    schema = f"shard bigint, rows array<{row}>, starts array<bigint>, terms binary, counts binary"
     with small_batches(rows.sparkSession, 1):
-        matrix = materialise(with_values(shards, dictionary).mapInArrow(_matrix_rows, schema), "matrix")
+        matrix = materialise(gathered(shards, values).mapInArrow(_matrix_rows, schema), "matrix")
     return matrix, dictionary
 
 
@@ -79,7 +76,7 @@ def _row_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in range(batch.num_rows):
             rows = batch["rows"][s].values
             starts = batch["starts"][s].values.to_numpy(zero_copy_only=False)
-            sums = np.concatenate([[0], np.cumsum(batch["counts"][s].values.to_numpy(zero_copy_only=False))])
+            sums = np.concatenate([[0], np.cumsum(unpacked(batch["counts"][s].as_py()), dtype="i8")])
             yield pa.RecordBatch.from_arrays(
                 [rows, pa.array(np.diff(sums[starts])), pa.array(np.diff(starts))], names=["row", "words", "distinct"])
 

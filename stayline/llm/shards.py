@@ -28,15 +28,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHARD_BYTES = 16 << 20
 
 
-def packed(values: np.ndarray) -> bytes:
-    """32-bit numbers as byte planes, zstandard: of small numbers the upper planes are all but empty."""
-    planes = np.ascontiguousarray(values, "<i4").view("u1").reshape(-1, 4).T
+def packed(values: np.ndarray, kind: str = "<i4") -> bytes:
+    """Numbers as byte planes, zstandard: of small numbers the upper planes are all but empty."""
+    planes = np.ascontiguousarray(values, kind).view("u1").reshape(-1, np.dtype(kind).itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
+def unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
 def _dealt(df: DataFrame, name: str) -> DataFrame:
@@ -131,21 +131,36 @@ def gathered(shards: DataFrame, found: DataFrame) -> DataFrame:
     return shards.drop("words").join(own, "shard", "left")
 
 
-def with_values(shards: DataFrame, values: DataFrame) -> DataFrame:
-    """Shards with ``values``: what ``values`` (word, value) has for each of their words, in order."""
-    return gathered(shards, places(shards).join(values, "word").select("shard", "place", "value"))
-
-
-def numbered(words: DataFrame) -> DataFrame:
-    """Dense numbers from 0 for distinct words, as rows (word, value).
-
-    The words are stored with their places first, so the numbers stay the same whatever is read again.
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers words that arrive in order; ``word`` stays in the first row of each."""
+    number, last = (TaskContext.get().partitionId() << 33) - 1, None
+    for batch in batches:
+        words = batch["word"]
+        if not len(words):
+            continue
+        new = np.ones(len(words), bool)
+        new[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+        new[0] = words[0].as_py() != last
+        last = words[-1].as_py()
+        value = number + np.cumsum(new)
+        number = int(value[-1])
+        yield pa.RecordBatch.from_arrays(
+            [batch["shard"], batch["place"], pa.array(value), pc.if_else(pa.array(new), words, pa.scalar(None, words.type))],
+            names=["shard", "place", "value", "word"])
+
+
+def numbered(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Dense numbers from 0 for the words of all shards: rows (shard, place, value), and the dictionary (word, value).
+
+    Words meet once, in order, and are stored with their numbers, which so stay the same whatever is read again.
     """
-    stored = materialise(words.select("word", F.monotonically_increasing_id().alias("place")), "dictionary")
-    part = F.shiftright("place", 33)  # of a place, the upper bits name the task
+    met = places(shards)
+    ordered = met.repartition(shuffle_width(met), "word").sortWithinPartitions("word")
+    stored = materialise(ordered.mapInArrow(_numbers, "shard bigint, place int, value bigint, word string"), "numbers")
+    part = F.shiftright("value", 33)  # the upper bits name the task
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stored.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).select(  # one row per task
-        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    inside = F.col("place").bitwiseAND(2**33 - 1)
-    return stored.withColumn("part", part).join(F.broadcast(starts), "part").select(
-        "word", (F.col("start") + inside).alias("value"))
+    starts = stored.where("word is not null").groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # one row per task
+    dense = stored.withColumn("part", part).join(F.broadcast(starts), "part").withColumn(
+        "value", F.col("start") + F.col("value").bitwiseAND(2**33 - 1))
+    return dense.select("shard", "place", "value"), dense.where("word is not null").select("word", "value")

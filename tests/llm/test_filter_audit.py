@@ -77,9 +77,10 @@ def test_matrix_holds_every_count(spark, odd_docs):
     assert sorted(words) == list(range(len(words)))
     got = []
     for shard in matrix.collect():
+        terms, counts = shards.unpacked(shard["terms"], "<i8"), shards.unpacked(shard["counts"])
         for i, row in enumerate(shard["rows"]):
             cells = range(shard["starts"][i], shard["starts"][i + 1])
-            got.append((str(row["doc_id"]), {words[shard["terms"][c]]: shard["counts"][c] for c in cells}))
+            got.append((str(row["doc_id"]), {words[terms[c]]: counts[c] for c in cells}))
     want = []
     for r in odd_docs.collect():
         counts = {}
