@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.common import text_of
-from stayline.llm.shards import SHARD_BYTES, gathered, listed, places, unpacked, word_shards
+from stayline.llm.shards import SHARD_BYTES, listed, packed, places, unpacked, word_shards
 from stayline.llm.tokens import PATTERN
 
 # Task functions travel with their code, so executors need no copy of this package.
@@ -225,6 +225,47 @@ def encoded(words: DataFrame, ranks: Ranks, long: int = LONG) -> DataFrame:
     return short.select(*words.columns, "value").unionByName(rest.join(found, "word").select(*words.columns, "value"))
 
 
+#: Words after which a task hands on what it has for each shard.
+PACKED_WORDS = 1_000_000
+
+
+def _packed_rows(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = pa.Table.from_batches(held).combine_chunks()
+    shard = table["shard"].to_numpy()
+    order = np.argsort(shard, kind="stable")
+    shard, place = shard[order], table["place"].to_numpy()[order]
+    value = table["value"].combine_chunks().take(pa.array(order))
+    starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+    offsets, ids = value.offsets.to_numpy(), value.values.to_numpy()
+    for begin, end in zip(starts, [*starts[1:], len(shard)]):
+        own = offsets[begin:end + 1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([shard[begin]], pa.int64()), *[pa.array([packed(v)], pa.binary()) for v in (
+                place[begin:end], np.diff(own), ids[own[0]:own[-1]])]], names=["shard", "place", "length", "ids"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words' ids by shard, a few arrays instead of a row per word."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= PACKED_WORDS:
+            yield from _packed_rows(held)
+            held, n = [], 0
+    if n:
+        yield from _packed_rows(held)
+
+
+def _known(parts: list[dict]) -> pa.ListArray:
+    """Ids of a shard's words in order, from the packed parts."""
+    place, length, ids = (np.concatenate([unpacked(p[c]) for p in parts]) if parts else np.zeros(0, "i4")
+                          for c in ("place", "length", "ids"))
+    at = np.empty(len(place), "i8")
+    at[place] = np.arange(len(place))
+    return listed(pa.array(ids), length).take(pa.array(at))
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of each row of a shard: the ids of its words, one after the other."""
     for batch in batches:
@@ -232,11 +273,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, lengths = batch["rows"][s].values, batch["lengths"][s].values.to_numpy(zero_copy_only=False)
             if rows is None or not len(rows):
                 continue
-            places = unpacked(batch["places"][s].as_py())
-            known = batch["values"][s].values
-            if known is None:  # a shard without words
-                known = pa.array([], pa.list_(pa.int32()))
-            ids = known.take(pa.array(places))
+            ids = _known(batch["parts"][s].as_py() or []).take(pa.array(unpacked(batch["places"][s].as_py())))
             counts = np.concatenate([[0], np.cumsum(np.diff(ids.offsets.to_numpy()))])
             ends = np.concatenate([[0], np.cumsum(lengths)])
             yield pa.RecordBatch.from_arrays(
@@ -251,7 +288,10 @@ def encode(
     matches = F.regexp_extract_all(text_of(text), F.lit(jvm_pattern(docs.sparkSession)), F.lit(0))
     rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id")).alias("row"), matches.alias("words"))
     shards = word_shards(rows, counted=False, shard_bytes=shard_bytes)
-    filled = gathered(shards, encoded(places(shards), ranks, long).select("shard", "place", "value"))
+    found = encoded(places(shards), ranks, long).select("shard", "place", "value")
+    parts = found.mapInArrow(_pack, "shard bigint, place binary, length binary, ids binary")
+    own = parts.groupBy("shard").agg(F.collect_list(F.struct("place", "length", "ids")).alias("parts"))  # one shard's words
+    filled = shards.drop("words").join(own, "shard", "left")
     kind = docs.schema[id_col].dataType.simpleString()
-    found = filled.select("rows", "lengths", "places", "values").mapInArrow(_gather, f"id {kind}, ids array<int>")
+    found = filled.select("rows", "lengths", "places", "parts").mapInArrow(_gather, f"id {kind}, ids array<int>")
     return found.withColumnRenamed("id", id_col)

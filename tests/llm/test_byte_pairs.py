@@ -64,8 +64,9 @@ def test_fold_and_heap_make_the_same_merges(spark, ranks, library, long):
 
 def test_heap_takes_the_leftmost_of_equals(raw):
     ranks = {**{bytes([i]): i for i in range(256)}, b"aa": 300, b"aaa": 301}
-    assert byte_pairs.heap_merge(b"aaaaa", ranks) == [300, 300, 97]
-    assert byte_pairs.heap_merge(b"aaa", ranks) == [301]
+    library = tiktoken.Encoding("few", pat_str="a+", mergeable_ranks=ranks, special_tokens={})
+    for n in range(1, 12):
+        assert byte_pairs.heap_merge(b"a" * n, ranks) == library.encode_ordinary("a" * n)
 
 
 def test_small_shards_change_nothing(odd_docs, ranks):
