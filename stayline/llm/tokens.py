@@ -28,6 +28,9 @@ def byte_letters() -> dict[str, int]:
     others = [b for b in range(256) if b not in set(printable)]
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
+#: Longer chunks are not kept.
+KEPT_CHARS = 64
+
 
 class ChunkEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids.
@@ -37,10 +40,11 @@ class ChunkEncoder:
     text are those of its chunks; texts where white space makes that untrue, and texts that hold a
     special string, go to the library whole. A new chunk is cut into pre-tokens, and the library's
     model encodes those not seen yet. Each cache holds two generations of at most ``limit`` entries: a
-    full one becomes the old one, from which entries in use are taken over. That changes no result.
+    full one becomes the old one, from which entries in use are taken over. Entries are short: chunks above ``KEPT_CHARS``
+    are encoded each time they come, so the caches are bounded in bytes, too. That changes no result.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 350_000):
+    def __init__(self, path: str, spaced: bool, limit: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -83,7 +87,8 @@ class ChunkEncoder:
                     ids = self._pretoken(word.encode().decode("latin-1").translate(self._letters))
                 if len(self._parts) >= self._limit:
                     self._old_parts, self._parts = self._parts, {}
-                self._parts[word] = ids
+                if len(word) <= KEPT_CHARS:
+                    self._parts[word] = ids
             out.append(ids)
         return b"".join(out)
 
@@ -93,7 +98,7 @@ class ChunkEncoder:
         found = {chunk: old(chunk) or self._chunk(lead + chunk) for chunk in chunks}
         if len(self._known) + len(found) > self._limit:
             self._old_known, self._known = self._known, {}
-        self._known.update(found)
+        self._known.update((chunk, ids) for chunk, ids in found.items() if len(chunk) <= KEPT_CHARS)
         return found
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
