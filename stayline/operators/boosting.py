@@ -98,8 +98,9 @@ class Tree:
 def bin_edges(df: DataFrame, names: Sequence[str], bins: int = BINS) -> list[list[float]]:
     """Upper edges of the bins of each feature, ascending: quantiles, one aggregation. The last bin has no edge."""
     probs = [i / bins for i in range(1, bins)]
-    found = df.agg(*[F.struct(F.percentile_approx(f"`{n}`", probs, 10_000).alias("q"), F.max(f"`{n}`").alias("top")).alias(f"c{i}")
-                     for i, n in enumerate(names)]).first()
+    found = df.agg(*[
+        F.struct(F.percentile_approx(f"`{n}`", probs, 10_000).alias("q"), F.max(f"`{n}`").alias("top")).alias(f"c{i}")
+        for i, n in enumerate(names)]).first()
     return [sorted({float(q) for q in c["q"] or [] if q < c["top"]}) for c in found]
 
 

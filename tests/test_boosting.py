@@ -5,7 +5,6 @@ import itertools
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from stayline.columns import KEY
 from stayline.operators import boosting, features
