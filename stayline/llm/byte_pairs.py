@@ -2,9 +2,9 @@
 
 Texts are cut into the pattern's matches; each distinct match is encoded once, by a fold of Spark's higher-order
 functions over its bytes: every step joins the neighbours of the lowest rank, the leftmost of equals, until none has
-a rank. The ranks are a literal of the plan: a map cut into buckets by checksum,
-because Spark looks a key up by reading a map from its start. Matches above ``LONG`` bytes, for which a fold's steps times its array would grow as a
-square, go through a heap with the same order of merges. Decoding looks pieces up by id and concatenates them.
+a rank. The ranks are a literal of the plan: a map cut into buckets by checksum, because Spark looks a key up by reading
+a map from its start. Matches above ``LONG`` bytes, for which a fold's steps times its array would grow as a square, go
+through a heap with the same order of merges. Decoding looks pieces up by id and concatenates them.
 
 Nulls are empty texts and have no ids. Repeated rows, also of one id, stay apart. An empty table gives an empty one.
 Only the id and the text are read, so other columns may be called anything.

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    byte_pairs, conversations, filter_audit, fingerprints, jaccard_forest, license_scan, licenses, mixing, oracle, packing, quality, stream_dedup,
-    suffix_dedup, token_counts, token_store,
+    byte_pairs, conversations, filter_audit, fingerprints, jaccard_forest, license_scan, licenses, mixing, oracle,
+    packing, quality, stream_dedup, suffix_dedup, token_counts, token_store,
 )
 from stayline.llm.common import documents
 from stayline.session import new_path
