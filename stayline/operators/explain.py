@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from math import factorial
 
 import numpy as np
@@ -18,6 +18,13 @@ from stayline.columns import KEY
 # Task functions travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Rows that a task explains at once: the work per leaf that does not depend on rows is shared by them.
+ATTRIBUTED_ROWS = 30_000
+#: Features of a path up to which its patterns are numbered directly (4,096 of them); longer paths sort theirs.
+TABLE_FEATURES = 12
+#: Conditions whose rows a task keeps, some 60 KB each.
+HELD_CONDITIONS = 1000
+
 
 def _nodes(spark: SparkSession, path: str) -> DataFrame:
     n = F.col("nodeData")
@@ -93,15 +100,49 @@ def _leaf_shares(follows: np.ndarray, z: np.ndarray) -> np.ndarray:
 
 
 def _tree_attribution(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
-    out = np.zeros(x.shape)
+    columns = np.ascontiguousarray(x.T)
+    out = np.zeros(columns.shape)
+    known: dict[tuple, np.ndarray] = {}  # rows that meet a condition; leaves share many
+
+    def met(f: int, low: float, high: float) -> np.ndarray:
+        if (f, low, high) not in known:
+            if len(known) >= HELD_CONDITIONS:
+                known.clear()
+            known[f, low, high] = ((columns[f] > low) & (columns[f] <= high)).astype("u2")
+        return known[f, low, high]
+
     for feats, lo, hi, z, value in leaves:
-        if not len(feats) or value == 0.0:
+        m = len(feats)
+        if not m or value == 0.0:
             continue
-        met = (x[:, feats] > lo) & (x[:, feats] <= hi)
+        pattern = np.zeros(len(x), "u2" if m <= TABLE_FEATURES else "i8")
+        for k, condition in enumerate(zip(feats.tolist(), lo.tolist(), hi.tolist())):
+            pattern |= met(*condition).astype(pattern.dtype, copy=False) << pattern.dtype.type(k)
         # Rows that follow the same conditions share the result.
-        _, first, group = np.unique(met @ (1 << np.arange(len(feats))), return_index=True, return_inverse=True)
-        out[:, feats] += value * _leaf_shares(met[first].astype(float), z)[group]
-    return out
+        if m <= TABLE_FEATURES:
+            group = pattern.astype(np.intp)
+            present = np.flatnonzero(np.bincount(group))
+            shares = np.empty((m, present[-1] + 1))
+        else:
+            present, group = np.unique(pattern, return_inverse=True)
+            shares = np.empty((m, len(present)))
+        follows = (present[:, None] >> np.arange(m) & 1).astype(float)
+        shares[:, present if m <= TABLE_FEATURES else slice(None)] = (value * _leaf_shares(follows, z)).T
+        for k, f in enumerate(feats.tolist()):
+            out[f] += shares[k].take(group)
+    return np.ascontiguousarray(out.T)
+
+
+def _joined(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches of at least ``rows`` rows, the last one excepted."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        held.append(pdf)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if sum(map(len, held)):
+        yield pd.concat(held, ignore_index=True)
 
 
 def long_form(df: DataFrame, names: Sequence[str], key: str = KEY) -> DataFrame:
@@ -120,11 +161,10 @@ def shap_tree(df: DataFrame, leaves: list[tuple], key: str = KEY, partitions: in
     shared = df.sparkSession.sparkContext.broadcast(leaves)
 
     def attribute(batches):
-        for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["x"].to_numpy())
-                phi = _tree_attribution(x, shared.value)
-                yield pd.DataFrame({key: pdf[key], "x": list(x), "phi": list(phi)})
+        for pdf in _joined(batches, ATTRIBUTED_ROWS):
+            x = np.stack(pdf["x"].to_numpy())
+            phi = _tree_attribution(x, shared.value)
+            yield pd.DataFrame({key: pdf[key], "x": list(x), "phi": list(phi)})
 
     rows = df.select(key, vector_to_array("features").alias("x"))
     rows = rows.repartition(partitions, key) if partitions else rows

@@ -3,6 +3,7 @@ import json
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -185,3 +186,24 @@ def test_cross_validation(pipe, leaky):
     assert summary.cv_mean == pytest.approx(np.mean([r[2] for r in rows]))
     assert summary.cv_std == pytest.approx(np.std([r[2] for r in rows]))
     assert models.cv_overall(scores).first()[0] == pytest.approx(summary.cv_mean)
+
+
+def test_batches_are_explained_together_to_the_same_attributions(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.random((500, 20)).round(1)
+    leaves = []
+    for m in (1, 4, 9, 14):
+        low = np.where(rng.random(m) < 0.5, -np.inf, 0.3)
+        leaves.append((np.sort(rng.choice(20, m, replace=False)), low, np.where(low > 0, np.inf, 0.7),
+                       rng.uniform(0.1, 0.9, m), float(m)))
+    plain = np.zeros(x.shape)
+    for feats, low, high, z, value in leaves:
+        for row in range(len(x)):
+            follows = ((x[row, feats] > low) & (x[row, feats] <= high)).astype(float)
+            plain[row, feats] += value * explain._leaf_shares(follows[None, :], z)[0]
+    frames = [pd.DataFrame({"row": range(i, i + 100)}) for i in range(0, 500, 100)]
+    joined = [pdf["row"].tolist() for pdf in explain._joined(iter(frames), 250)]
+    assert joined == [list(range(300)), list(range(300, 500))]
+    for conditions in (explain.HELD_CONDITIONS, 2):
+        monkeypatch.setattr(explain, "HELD_CONDITIONS", conditions)
+        assert np.array_equal(explain._tree_attribution(x, leaves), plain)
