@@ -1,4 +1,4 @@
-"""Connected components of a link table by smallest labels with shortcuts."""
+"""Connected components of a link table: nodes hook to their smallest neighbour, and the links shrink to the roots."""
 
 from __future__ import annotations
 
@@ -11,22 +11,40 @@ from stayline.session import materialise
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, root) for all nodes of ``links`` (a, b); ``root`` is the smallest node of the component.
 
-    Each round takes the smallest label among the neighbours, and of every label its own label, so long
-    chains halve per round. Labels are written once a round, which keeps the plan short and survives
-    lost executors; the driver sees one number per round.
+    Each round hooks every node that still has links to its smallest neighbour, follows the hooks to their end and keeps
+    the links between different ends, each once. A node is an end only if all its neighbours are larger, so the linked
+    nodes at least halve per round, and a large group of mutual links falls to few in the first. Tables are written once
+    a round, which keeps the plan short and survives lost executors; the driver sees one number per round.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct()
-    both = materialise(both.toDF("node", "other"), "links")
-    labels = materialise(
-        both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("root")),
-        "labels")
+    edges = _once_each(links.select("a", "b"))
+    labels = None
     while True:
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("root2"))
-        short = labels.join(jump, "root", "left").select("node", F.coalesce("root2", "root").alias("root"))
-        far = short.select(F.col("node").alias("other"), "root")
-        seen = both.join(far, "other").select("node", "root").union(short)
-        after = materialise(seen.groupBy("node").agg(F.min("root").alias("root")), "labels")
-        before = labels.select("node", F.col("root").alias("was"))
-        if after.join(before, "node").where("root != was").isEmpty():
-            return after
-        labels = after
+        both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
+        ends = _followed(both.groupBy("node").agg(F.min("other").alias("least")).select(
+            "node", F.least("node", "least").alias("root")))
+        if labels is None:
+            labels = ends
+        else:
+            onward = ends.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            labels = materialise(labels.join(onward, "root", "left").select(
+                "node", F.coalesce("next", "root").alias("root")), "labels")
+        end_of = lambda c: ends.select(F.col("node").alias(c), F.col("root").alias(f"{c}_end"))
+        edges = _once_each(edges.join(end_of("a"), "a").join(end_of("b"), "b").select("a_end", "b_end").toDF("a", "b"))
+        if edges.isEmpty():
+            return labels
+
+
+def _once_each(links: DataFrame) -> DataFrame:
+    """The links between different nodes, smaller node first, each once."""
+    ordered = links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return materialise(ordered.distinct(), "links")
+
+
+def _followed(hooks: DataFrame) -> DataFrame:
+    """Rows (node, root) with every hook followed to its end: twice as far per round."""
+    reached = materialise(hooks.withColumn("moved", F.lit(True)), "labels")
+    while not reached.where("moved").isEmpty():
+        jump = reached.select(F.col("node").alias("root"), F.col("root").alias("root2"))
+        reached = materialise(reached.select("node", "root").join(jump, "root", "left").select(
+            "node", F.col("root2").alias("root"), (F.col("root2") != F.col("root")).alias("moved")), "labels")
+    return reached.select("node", "root")

@@ -264,3 +264,27 @@ def test_rank_over_ranges(spark):
     df = spark.range(300).selectExpr("if(id % 50 = 0, null, id * 13 % 301) as v").repartition(4)
     got = [r.rank for r in with_rank(df, [F.col("v").asc_nulls_last()]).orderBy(F.col("v").asc_nulls_last(), "rank").collect()]
     assert got == list(range(300))
+
+
+def test_links_of_a_large_group_shrink_per_round(spark, monkeypatch):
+    """Chains of groups with many mutual links: later rounds join the links between groups only."""
+    from stayline.llm import components as module
+
+    rng, pairs = np.random.default_rng(5), set()
+    names = rng.permutation(400)
+    for group in range(8):
+        own = names[group * 50:group * 50 + 50]
+        pairs |= {(int(a), int(b)) for a in own for b in own[rng.integers(0, 50, 12)]}
+        pairs.add((int(own[0]), int(names[(group * 50 + 50) % 400])))
+    sizes, write = [], module.materialise
+
+    def recorded(df, name):
+        made = write(df, name)
+        if name == "links":
+            sizes.append(made.count())
+        return made
+
+    monkeypatch.setattr(module, "materialise", recorded)
+    got = {r.node: r.root for r in components(spark.createDataFrame(sorted(pairs), "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(400), 0)
+    assert len(sizes) > 1 and sizes[1] <= sizes[0] / 4 and sizes[-1] == 0
