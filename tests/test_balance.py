@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from stayline.operators import neighbours
 from stayline.operators.balance import balance_report, smote
 from stayline.operators.neighbours import nearest
 
@@ -28,6 +29,30 @@ def test_nearest_equals_brute_force(spark, block_rows):
         assert np.allclose(table[pid], want[i], rtol=1e-9, atol=1e-18)
 
 
+def test_points_that_all_differ_visit_few_blocks(spark, monkeypatch):
+    """Limits from the nearest blocks spare a point most of the others; the neighbours are those of brute force."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.integers(0, 2, (1500, 10)), rng.normal(0, 0.3, (1500, 2))], axis=1).astype(float)
+    pdf = pd.DataFrame(x, columns=[f"f{i}" for i in range(12)])
+    pdf["pid"] = [f"p{i:04d}" for i in range(len(x))]
+    visits, write = [], neighbours.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "visits":
+            visits.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "materialise", counted)
+    got = nearest(spark.createDataFrame(pdf), list(pdf.columns[:12]), 5, 25).toPandas()
+    table = got.sort_values(["pid", "rank"]).groupby("pid")["d2"].apply(list)
+    for pid, want in zip(pdf["pid"], brute(x, 5)):
+        assert np.allclose(table[pid], want, rtol=1e-9)
+    limit = brute(x, 5)[:, 4]
+    blocks = 64  # halvings give a power of two
+    assert len(visits) == 2 and sum(visits) < 0.6 * blocks * len(x), (visits, limit.mean())
+
+
 @pytest.fixture(scope="module")
 def train(spark):
     rng = np.random.default_rng(7)
