@@ -119,10 +119,22 @@ class Arena:
         at = np.minimum(n, self.length - 1)
         return (n < self.length) & (self.data[a + at] < self.data[b + at])
 
+    def heads(self, suffixes: np.ndarray) -> np.ndarray:
+        """The first bytes of each suffix, up to 8 and none behind ``length``, as numbers in the order of the bytes."""
+        out = np.zeros(len(suffixes), np.uint64)
+        for k in range(min(8, self.length)):
+            out = (out << np.uint64(8)) | self.data[suffixes + k]
+        return out
+
     def sort(self, suffixes: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Order of ``suffixes`` inside consecutive groups: a bottom-up merge sort of all groups at once."""
-        order = np.arange(len(suffixes))
-        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        """Order of ``suffixes`` inside consecutive groups: a bottom-up merge sort of all groups at once.
+
+        Groups are parted by the first bytes of their suffixes before, so only suffixes that share them are merged.
+        """
+        heads = self.heads(suffixes)
+        order = np.lexsort((heads, group))
+        group, heads = group[order], heads[order]
+        starts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (heads[1:] != heads[:-1])]))
         sizes = np.diff(np.concatenate([starts, [len(group)]]))
         start, size = np.repeat(starts, sizes), np.repeat(sizes, sizes)
         width = 1

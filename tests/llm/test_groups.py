@@ -224,6 +224,24 @@ def test_suffix_order_and_collisions(monkeypatch):
     assert same(suffix_dedup.classes(texts, windows, groups, 6))
 
 
+def test_suffixes_that_differ_in_their_first_bytes_are_not_merged(monkeypatch):
+    """Copies are merged with each other only: comparisons do not grow with the windows of a text."""
+    rng = np.random.default_rng(3)
+    base = [rng.integers(0, 256, 336, dtype=np.uint8).tobytes() for _ in range(4)]
+    texts = [b[:k] + bytes([255 - b[k]]) + b[k + 1 :] for b in base for k in (20, 330)]
+    compared, extension = [], suffix_dedup.Arena.extension
+
+    def recorded(arena, a, b):
+        compared.append(len(a))
+        return extension(arena, a, b)
+
+    monkeypatch.setattr(suffix_dedup.Arena, "extension", recorded)
+    label = suffix_dedup.classes(texts, [137] * 8, [i // 2 for i in range(8)])
+    assert sum(compared) < 4 * 137 * 8
+    windows = [(i // 2, t[k : k + 200]) for i, t in enumerate(texts) for k in range(137)]
+    assert len(set(zip(label.tolist(), windows))) == len(set(label.tolist())) == len(set(windows))
+
+
 def check_fingerprints(df):
     rows = sorted(((r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()),
                   key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
