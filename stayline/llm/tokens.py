@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import contextlib
 import json
 import os
 import re
-import struct
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: A space after white space and before white space or the end: there a chunk is not independent of the next.
@@ -28,10 +29,40 @@ def byte_letters() -> dict[str, int]:
     others = [b for b in range(256) if b not in set(printable)]
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
+#: White space that parts chunks where several are cut at once.
+MARK = "\r"
+_LETTERS = r"[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]+"
+#: Chunks that may stand between marks: their normal form is their lower case, character by character, and white space
+#: in them is line breaks with other characters on both sides.
+_PLAIN = re.compile(rf"{_LETTERS}(?:\n+{_LETTERS})*").fullmatch
+
 #: Longer chunks are not kept.
 KEPT_CHARS = 64
 
 
+def _data(values: pa.Array) -> memoryview:
+    """The bytes of all values of a large string or binary array that is no slice."""
+    end = np.frombuffer(values.buffers()[1], "<i8")[len(values)] if len(values) else 0
+    return memoryview(values.buffers()[2] or b"")[:end]
+
+
+def spaced_chunks(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """What ``text.split(" ")`` gives, of all texts one after the other, and how many chunks each text has."""
+    whole = pa.array(texts, pa.large_string())
+    ends = np.frombuffer(whole.buffers()[1], "<i8")[1 : len(texts) + 1]
+    data = np.frombuffer(whole.buffers()[2] or b"", "u1")[: ends[-1] if len(ends) else 0]
+    space = data == ord(" ")
+    at = np.flatnonzero(space)
+    before = np.searchsorted(at, ends)  # spaces in this text and those before it
+    last = before + np.arange(len(texts))
+    bounds = np.zeros(len(at) + len(texts) + 1, "<i8")  # chunks end at spaces and at ends, and hold no space
+    inner = np.ones(len(at) + len(texts), bool)
+    inner[last] = False
+    bounds[1:][last], bounds[1:][inner] = ends - before, at - np.arange(len(at))
+    chunks = pa.LargeStringArray.from_buffers(len(inner), pa.py_buffer(bounds), pa.py_buffer(data[~space]))
+    return chunks, np.diff(last, prepend=-1)
+
+
 class ChunkEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids.
 
@@ -59,7 +90,9 @@ class ChunkEncoder:
         spec = json.loads(self._tokenizer.to_str())["pre_tokenizer"]
         pattern = PATTERN if spec["type"] == "ByteLevel" else spec["pretokenizers"][0]["pattern"]["Regex"]
         self._split = regex.compile(pattern).findall
+        self._split_marked = regex.compile(f"{MARK}|{pattern}").findall
         self._letters = {byte: letter for letter, byte in byte_letters().items()}
+        self._space = self._letters[ord(" ")]
         normalizer = self._tokenizer.normalizer
         self._normal = normalizer.normalize_str if normalizer else None
         self._tokenize = self._tokenizer.model.tokenize
@@ -69,9 +102,24 @@ class ChunkEncoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _pretoken(self, word: str) -> bytes:
-        """Ids of a pre-token in the letters of the vocabulary."""
-        ids = [t.id for t in self._tokenize(word)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        """Ids of a pre-token that is written in the letters of the vocabulary."""
+        return array("I", [t.id for t in self._tokenize(word)]).tobytes()
+
+    def _written(self, word: str) -> str:
+        """A pre-token in the letters of the vocabulary."""
+        if word.isascii() and word.isprintable():
+            return word.replace(" ", self._space)
+        return word.encode().decode("latin-1").translate(self._letters)
+
+    def _learn_parts(self, words: list[str]) -> list[bytes]:
+        found = list(map(self._old_parts.get, words))
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = self._pretoken(self._written(words[k]))
+        if len(self._parts) + len(found) > self._limit:
+            self._old_parts, self._parts = self._parts, {}
+        self._parts.update((word, ids) for word, ids in zip(words, found) if len(word) <= KEPT_CHARS)
+        return found
 
     def _chunk(self, text: str) -> bytes:
         if self._normal is not None:
@@ -81,54 +129,76 @@ class ChunkEncoder:
         out = []
         for word in self._split(text):
             ids = self._parts.get(word)
-            if ids is None:
-                ids = self._old_parts.get(word)
-                if ids is None:
-                    ids = self._pretoken(word.encode().decode("latin-1").translate(self._letters))
-                if len(self._parts) >= self._limit:
-                    self._old_parts, self._parts = self._parts, {}
-                if len(word) <= KEPT_CHARS:
-                    self._parts[word] = ids
-            out.append(ids)
+            out.append(self._learn_parts([word])[0] if ids is None else ids)
         return b"".join(out)
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+    def _plain(self, chunks: list[str]) -> list[bytes]:
+        """Ids of plain chunks, which are cut together: ``MARK`` parts them."""
+        lead = " " if self._spaced else ""
+        text = "".join([f"{lead}{chunk}{MARK}" for chunk in chunks])
+        words = self._split_marked(text if self._normal is None else text.lower())
+        ids = list(map(self._parts.get, words))
+        ends = [k for k, word in enumerate(words) if word == MARK]
+        for k in ends:
+            ids[k] = b""
+        gaps = [k for k, own in enumerate(ids) if own is None]
+        new = list({words[k] for k in gaps})
+        learned = dict(zip(new, self._learn_parts(new)))
+        for k in gaps:
+            ids[k] = learned[words[k]]
+        run = pa.array(ids, pa.large_binary())
+        data, bounds = bytes(_data(run)), np.frombuffer(run.buffers()[1], "<i8")[ends].tolist()
+        return [data[a:b] for a, b in zip([0, *bounds], bounds)]
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
         lead = " " if self._spaced else ""
-        old = self._old_known.get
-        found = {chunk: old(chunk) or self._chunk(lead + chunk) for chunk in chunks}
+        found = list(map(self._old_known.get, chunks))
+        new = [k for k, ids in enumerate(found) if not ids]
+        plain = [k for k in new if _PLAIN(chunks[k])]
+        if plain:
+            for k, ids in zip(plain, self._plain([chunks[k] for k in plain])):
+                found[k] = ids
+        for k in new:
+            if not found[k]:
+                found[k] = self._chunk(lead + chunks[k])
         if len(self._known) + len(found) > self._limit:
             self._old_known, self._known = self._known, {}
-        self._known.update((chunk, ids) for chunk, ids in found.items() if len(chunk) <= KEPT_CHARS)
+        self._known.update(zip(chunks, found))
+        for chunk in [chunk for chunk in chunks if len(chunk) > KEPT_CHARS]:
+            del self._known[chunk]
         return found
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        open_rows: list[tuple[int, list, list[tuple[int, str]]]] = []
-        new: dict[str, None] = {}
-        get = self._known.get
+        rows = []
         for i, text in enumerate(texts):
             if any(s in text for s in self._special) or (self._spaced and _UNSAFE.search(text)):
                 out[i] = self.whole(text)
-                continue
-            chunks = text.split(" ")
-            ids = list(map(get, chunks))
-            if self._spaced:  # the first chunk has no space before it
-                ids[0] = self._chunk(chunks[0])
-            gaps, at = [], -1
-            with contextlib.suppress(ValueError):
-                while True:
-                    at = ids.index(None, at + 1)
-                    gaps.append((at, chunks[at]))
-            if gaps:
-                new.update(dict.fromkeys(c for _, c in gaps))
-                open_rows.append((i, ids, gaps))
             else:
-                out[i] = b"".join(ids)
-        found = self._learn(list(new)) if new else {}
-        for i, ids, gaps in open_rows:
-            for at, chunk in gaps:
-                ids[at] = found[chunk]
-            out[i] = b"".join(ids)
+                rows.append(i)
+        if not rows:
+            return out
+        chunks, counts = spaced_chunks([texts[i] for i in rows])
+        heads = [b""] * len(rows)
+        if self._spaced:  # the first chunk has no space before it
+            firsts = np.cumsum(counts) - counts
+            heads = [self._chunk(chunk) for chunk in chunks.take(pa.array(firsts)).to_pylist()]
+            others = np.ones(len(chunks), bool)
+            others[firsts] = False
+            chunks, counts = chunks.filter(pa.array(others)), counts - 1
+        coded = chunks.dictionary_encode()  # a chunk is looked up once per call
+        spaces = [pa.scalar(v, pa.large_string()) for v in ("", " ")]
+        joined = _data(pc.binary_join_element_wise(coded.dictionary, *spaces))
+        distinct = bytes(joined).decode().split(" ")[:-1]
+        ids = list(map(self._known.get, distinct))
+        gaps = [k for k, known in enumerate(ids) if known is None]
+        for k, found in zip(gaps, self._learn([distinct[k] for k in gaps])):
+            ids[k] = found
+        run = pa.array(ids, pa.large_binary()).take(coded.indices)
+        data = _data(run)
+        ends = np.frombuffer(run.buffers()[1], "<i8")[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        for i, head, begin, end in zip(rows, heads, ends, ends[1:]):
+            out[i] = head + data[begin:end]
         return out
 
 

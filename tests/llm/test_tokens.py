@@ -36,6 +36,25 @@ def test_a_full_cache_changes_nothing(rng):
         assert small.encode(part) == [small.whole(t) for t in part]
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_new_chunks_are_cut_together(rng, name, spaced):
+    """One cut for the plain chunks of a call, also of other letters and around line breaks; odd ones stay alone."""
+    import public_tokenizers
+    from stayline.llm.tokens import ChunkEncoder
+
+    made, cuts = ChunkEncoder(public_tokenizers.path(name), spaced), []
+    one, many = made._split, made._split_marked
+    made._split = lambda text: cuts.append("one") or one(text)
+    made._split_marked = lambda text: cuts.append("many") or many(text)
+    some = ["the naïve\nÀrger isn't", "Ÿ 12.5\n\nſ, x!"] * 3
+    assert made.encode(some) == [made.whole(t) for t in some]
+    assert cuts.count("many") == 1 and cuts.count("one") <= len(some) * spaced  # first chunks have no space before them
+    odd = [*PARTS, "İ", "Ÿ", "ŉ", "ß", "\r", "\r\n", "\n\n", "\x0b", "\x00", "\xad", "\xa0", "\x85", "Σ"]
+    for _ in range(5):
+        some = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+        assert made.encode(some) == [made.whole(t) for t in some]
+
+
 def test_counts_at_every_prefix(rng):
     made, library = token_counts.counter(token_counts.VOCABULARY), encoder(token_counts.VOCABULARY, True)
     for text in texts(rng, 1200) + ["aaaa" * 30, " " * 40 + "x", "-" * 90]:
