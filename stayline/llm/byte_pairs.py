@@ -23,12 +23,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm.common import text_of
-from stayline.llm.shards import SHARD_BYTES, listed, packed, places, unpacked, word_shards
+from stayline.llm.common import shuffle_width, text_of
+from stayline.llm.shards import SHARD_BYTES, listed, packed, parted, trimmed, unpacked, unpacked_words, word_shards
 from stayline.llm.tokens import PATTERN
 
 # Task functions travel with their code, so executors need no copy of this package.
@@ -201,69 +202,118 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:stop[i]]] for i in range(n) if live[i]]
 
 
-def _long_words(ranks: dict[bytes, int]):
+#: Parts that the words are dealt to by their bytes.
+PARTS = 512
+#: Bytes of words of all shards after which a task works on what it has of a part; a word met again later is folded again.
+MET_BYTES = 64 << 20
+#: Where the words of a part came from: the shards, how many each sent, and which word each of those is.
+SOURCES = pa.struct([("part", pa.int32()), ("shards", pa.binary()), ("counts", pa.binary()), ("codes", pa.binary())])
+#: Rows of an Arrow batch handed on.
+HANDED_ROWS = 10_000
+#: Words of texts whose ids a task has in memory at a time, and the rest of the last text.
+GATHERED_CELLS = 250_000
+
+
+def _met(number: int, part: int, shards: list[int], lists: list[bytes]) -> Iterator[pa.RecordBatch]:
+    words, counts = unpacked_words(lists)
+    coded = words.dictionary_encode()
+    sources = {"part": part, "shards": np.array(shards, "<i8").tobytes(), "counts": counts.astype("<i8").tobytes(),
+               "codes": coded.indices.to_numpy().astype("<i4").tobytes()}
+    names = ["number", "place", "sources", "word"]
+    yield pa.RecordBatch.from_arrays([
+        pa.array([number], pa.int32()), pa.array([-1], pa.int32()), pa.array([sources], SOURCES), pa.nulls(1, pa.string())], names)
+    n = len(coded.dictionary)
+    rows = pa.RecordBatch.from_arrays([
+        pa.array(np.full(n, number, "i4")), pa.array(np.arange(n, dtype="i4")), pa.nulls(n, SOURCES), coded.dictionary], names)
+    for i in range(0, n, HANDED_ROWS):
+        yield rows.slice(i, HANDED_ROWS)
+
+
+def _meet(most: int):
+    """Distinct words of each part, a row each, and a row that says where they came from. Lists arrive by part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, now, shards, lists, size = 0, None, [], [], 0
         for batch in batches:
-            for word in batch["word"]:
-                ids = heap_merge(word.as_py().encode(), ranks)
-                yield pa.RecordBatch.from_pydict(
-                    {"word": [word.as_py()], "value": pa.array([ids], pa.list_(pa.int32()))})
+            for shard, part, words in zip(*(batch[c].to_pylist() for c in ("shard", "part", "words"))):
+                if lists and (part != now or size >= most):
+                    yield from _met(number, now, shards, lists)
+                    number, shards, lists, size = number + 1, [], [], 0
+                now = part
+                shards.append(shard)
+                lists.append(words)
+                size += zstandard.frame_content_size(words)
+        if lists:
+            yield from _met(number, now, shards, lists)
 
     return run
 
 
-def encoded(words: DataFrame, ranks: Ranks, long: int = LONG) -> DataFrame:
-    """``words`` (word and others) with ``value``, the ids of the word; a word that comes often is folded once."""
-    width = F.octet_length("word")
-    same = Window.partitionBy("word").orderBy("shard")  # as many rows as shards hold the word
-    whole = F.broadcast(ranks.whole(words.sparkSession))  # the vocabulary, a fixed size
-    own = F.when(F.col("id").isNotNull(), F.array("id")).when(F.col("nth") == 1, ranks.merged(F.col("word")))
-    short = words.where(width <= long).withColumn("nth", F.row_number().over(same)).join(whole, "word", "left")
-    short = short.withColumn("own", own).withColumn("value", F.first("own", ignorenulls=True).over(same))
-    rest = words.where(width > long)
-    found = rest.select("word").distinct().mapInArrow(_long_words(ranks.by_piece), "word string, value array<int>")
-    return short.select(*words.columns, "value").unionByName(rest.join(found, "word").select(*words.columns, "value"))
-
-
-#: Words after which a task hands on what it has for each shard.
-PACKED_WORDS = 1_000_000
-
-
-def _packed_rows(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(held).combine_chunks()
-    shard = table["shard"].to_numpy()
-    order = np.argsort(shard, kind="stable")
-    shard, place = shard[order], table["place"].to_numpy()[order]
-    value = table["value"].combine_chunks().take(pa.array(order))
-    starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+def _answers(held: list[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    """Ids of the words that each shard sent, in the order it sent them."""
+    table = pa.Table.from_batches(held)
+    place = table["place"].to_numpy()
+    table = table.take(pa.array(np.argsort(place, kind="stable"))).combine_chunks()
+    sources, table = table["sources"][0].as_py(), table.slice(1)
+    shards, counts, codes = (np.frombuffer(sources[c], t) for c, t in (
+        ("shards", "<i8"), ("counts", "<i8"), ("codes", "<i4")))
+    value, at = table["value"].combine_chunks(), np.arange(len(table))
+    if value.null_count:  # words of many bytes
+        missing = value.is_null().to_numpy(zero_copy_only=False)
+        own = [heap_merge(w.encode(), ranks) for w in table["word"].filter(pa.array(missing)).to_pylist()]
+        at[missing] = len(table) + np.arange(len(own))
+        value = pa.concat_arrays([value, pa.array(own, value.type)])
+    value = value.take(pa.array(at[codes]))
     offsets, ids = value.offsets.to_numpy(), value.values.to_numpy()
-    for begin, end in zip(starts, [*starts[1:], len(shard)]):
+    ends = np.cumsum(counts)
+    for shard, begin, end in zip(shards.tolist(), (ends - counts).tolist(), ends.tolist()):
         own = offsets[begin:end + 1]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([shard[begin]], pa.int64()), *[pa.array([packed(v)], pa.binary()) for v in (
-                place[begin:end], np.diff(own), ids[own[0]:own[-1]])]], names=["shard", "place", "length", "ids"])
+            [pa.array([shard], pa.int64()), pa.array([sources["part"]], pa.int32()),
+             *[pa.array([packed(v)], pa.binary()) for v in (np.diff(own), ids[own[0]:own[-1]])]],
+            names=["shard", "part", "length", "ids"])
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words' ids by shard, a few arrays instead of a row per word."""
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= PACKED_WORDS:
-            yield from _packed_rows(held)
-            held, n = [], 0
-    if n:
-        yield from _packed_rows(held)
+def _answer(ranks: dict[bytes, int]):
+    """Packed ids for each packed list of words: rows of one number lie together, whatever their order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            number = batch["number"].to_numpy()
+            cuts = np.flatnonzero(np.concatenate([number[:1] == number[:1], number[1:] != number[:-1]])).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(number)]):
+                if held and number[a] != now:
+                    yield from _answers(held, ranks)
+                    held = []
+                now = number[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from _answers(held, ranks)
+
+    return run
+
+
+def encoded(lists: DataFrame, ranks: Ranks, long: int = LONG, most: int = MET_BYTES) -> DataFrame:
+    """Packed ids (shard, part, length, ids) of packed words (shard, part, words); a word that comes often is folded once.
+
+    Only packed lists are sent between tasks: words to the task of their part, and their ids back to the shards.
+    """
+    width = F.octet_length("word")
+    dealt = lists.repartition(shuffle_width(lists), "part").sortWithinPartitions("part", "shard")
+    met = dealt.mapInArrow(_meet(most), "number int, place int, "
+                           "sources struct<part:int,shards:binary,counts:binary,codes:binary>, word string")
+    whole = F.broadcast(ranks.whole(lists.sparkSession))  # the vocabulary, a fixed size
+    own = F.when(F.col("id").isNotNull(), F.array("id")).when(width <= long, ranks.merged(F.col("word")))
+    found = met.join(whole, "word", "left").select(
+        "number", "place", "sources", own.alias("value"), F.when(width > long, F.col("word")).alias("word"))
+    return found.mapInArrow(_answer(ranks.by_piece), "shard bigint, part int, length binary, ids binary")
 
 
 def _known(parts: list[dict]) -> pa.ListArray:
     """Ids of a shard's words in order, from the packed parts."""
-    place, length, ids = (np.concatenate([unpacked(p[c]) for p in parts]) if parts else np.zeros(0, "i4")
-                          for c in ("place", "length", "ids"))
-    at = np.empty(len(place), "i8")
-    at[place] = np.arange(len(place))
-    return listed(pa.array(ids), length).take(pa.array(at))
+    parts = sorted(parts, key=lambda p: p["part"])
+    length, ids = (np.concatenate([unpacked(p[c]) for p in parts]) if parts else np.zeros(0, "i4")
+                   for c in ("length", "ids"))
+    return listed(pa.array(ids), length)
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,25 +323,29 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, lengths = batch["rows"][s].values, batch["lengths"][s].values.to_numpy(zero_copy_only=False)
             if rows is None or not len(rows):
                 continue
-            ids = _known(batch["parts"][s].as_py() or []).take(pa.array(unpacked(batch["places"][s].as_py())))
-            counts = np.concatenate([[0], np.cumsum(np.diff(ids.offsets.to_numpy()))])
+            known, places = _known(batch["parts"][s].as_py() or []), unpacked(batch["places"][s].as_py())
             ends = np.concatenate([[0], np.cumsum(lengths)])
-            yield pa.RecordBatch.from_arrays(
-                [rows.field("id"), listed(ids.flatten(), np.diff(counts[ends]))], names=["id", "ids"])
+            turn = ends[:-1] // GATHERED_CELLS
+            first = np.flatnonzero(np.concatenate([[True], turn[1:] != turn[:-1]])).tolist()
+            for a, b in zip(first, [*first[1:], len(rows)]):
+                ids = known.take(pa.array(places[ends[a]:ends[b]]))
+                bounds = ids.offsets.to_numpy()[ends[a:b + 1] - ends[a]]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.field("id").slice(a, b - a), listed(ids.flatten(), np.diff(bounds))], names=["id", "ids"])
 
 
 def encode(
     docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text: str = "text", long: int = LONG,
-    shard_bytes: int = SHARD_BYTES,
+    shard_bytes: int = SHARD_BYTES, met_bytes: int = MET_BYTES,
 ) -> DataFrame:
     """Rows (``id_col``, ids array<int>): each text's ids, without special tokens."""
     matches = F.regexp_extract_all(text_of(text), F.lit(jvm_pattern(docs.sparkSession)), F.lit(0))
     rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id")).alias("row"), matches.alias("words"))
-    shards = word_shards(rows, counted=False, shard_bytes=shard_bytes)
-    found = encoded(places(shards), ranks, long).select("shard", "place", "value")
-    parts = found.mapInArrow(_pack, "shard bigint, place binary, length binary, ids binary")
-    own = parts.groupBy("shard").agg(F.collect_list(F.struct("place", "length", "ids")).alias("parts"))  # one shard's words
+    shards = word_shards(rows, counted=False, shard_bytes=shard_bytes, parts=PARTS)
+    found = encoded(parted(shards), ranks, long, met_bytes)
+    own = found.groupBy("shard").agg(F.collect_list(F.struct("part", "length", "ids")).alias("parts"))  # one shard's words
     filled = shards.drop("words").join(own, "shard", "left")
     kind = docs.schema[id_col].dataType.simpleString()
-    found = filled.select("rows", "lengths", "places", "parts").mapInArrow(_gather, f"id {kind}, ids array<int>")
+    found = filled.select("rows", "lengths", "places", "parts").mapInArrow(
+        lambda batches: trimmed(_gather(batches)), f"id {kind}, ids array<int>")
     return found.withColumnRenamed("id", id_col)

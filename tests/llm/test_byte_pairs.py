@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -75,6 +76,45 @@ def test_small_shards_change_nothing(odd_docs, ranks):
     assert rows[0] == rows[1]
 
 
+def test_words_of_a_part_met_in_several_turns(odd_docs, ranks, library):
+    checked(odd_docs, ranks, library, shard_bytes=1, met_bytes=1)
+
+
+def test_words_travel_as_packed_lists(spark, ranks):
+    """A shard sends at most a list per part, of fewer bytes than its words have, and gets one list of ids for each."""
+    rng = random.Random(5)
+    words = [f" word{rng.randrange(10**6)}" for _ in range(60_000)]
+    docs = spark.createDataFrame([(i, words[i:i + 600]) for i in range(0, 60_000, 600)], "id bigint, words array<string>")
+    rows = docs.select(F.struct("id").alias("row"), "words").coalesce(2)
+    made = shards.word_shards(rows, counted=False, parts=16)
+    sent = shards.parted(made).collect()
+    per_shard = {s: [r for r in sent if r.shard == s] for s in {r.shard for r in sent}}
+    assert all([r.part for r in lists] == sorted({r.part for r in lists}) and len(lists) <= 16 for lists in per_shard.values())
+    found = {s: [w for r in lists for w in shards.unpacked_words([r.words])[0].to_pylist()] for s, lists in per_shard.items()}
+    assert set().union(*found.values()) == set(words) and all(len(v) == len(set(v)) for v in found.values())
+    assert sum(len(r.words) for r in sent) < 0.6 * sum(len(w) for v in found.values() for w in v)
+    at = {w: {r.part for r in sent if w in found[r.shard][:50] and w in shards.unpacked_words([r.words])[0].to_pylist()}
+          for v in found.values() for w in v[:50]}
+    assert all(len(parts) == 1 for parts in at.values())
+    back = byte_pairs.encoded(shards.parted(made), ranks).collect()
+    assert sorted((r.shard, r.part) for r in back) == sorted((r.shard, r.part) for r in sent)
+
+
+@pytest.mark.parametrize("texts", [[], ["", "", ""], ["a"], ["", "\u00e4\u20ac", "", "x" * 3000, "b c", ""]])
+def test_packed_lists_give_the_words_back(texts):
+    words = pa.array(texts, pa.string())
+    part = shards.word_parts(words, 7)
+    again = shards.word_parts(pa.array(["other", *texts], pa.string()).slice(1), 7)
+    assert part.tolist() == again.tolist()
+    order = part.argsort(kind="stable")
+    lists = shards._packed_words(words.take(pa.array(order)), part[order])
+    assert lists.field("part").to_pylist() == sorted(set(part.tolist()))
+    if texts:
+        got, counts = shards.unpacked_words(lists.field("words").to_pylist())
+        assert got.to_pylist() == [texts[i] for i in order]
+        assert counts.tolist() == [part.tolist().count(p) for p in sorted(set(part.tolist()))]
+
+
 def test_query(spark, sf, library):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = queries.op12_byte_pairs(spark, sf).collect()
