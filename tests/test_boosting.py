@@ -185,3 +185,27 @@ def test_the_driver_gets_one_split_a_node(table, monkeypatch):
 def test_a_tenth_of_a_gigabyte_of_orders_is_dealt_by_fits():
     """90,000 customers with their synthetic rows of six sets: 200,000 rows, 100 blocks."""
     assert 100 <= boosting.TASK_BLOCKS <= 128
+
+
+@pytest.mark.parametrize("sizes", [[32, 2, 2, 7, 1, 2], [2] * 9, [32, 32], [200, 3]], ids=str)
+def test_features_counted_together_have_the_histograms_of_their_own(sizes):
+    rng = np.random.default_rng(3)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    bins = np.stack([rng.integers(0, n, 500) for n in sizes]).astype("u1")
+    packs = boosting._Packs(starts)
+    g, h = rng.integers(-2**30, 2**30, 500).astype("i4"), rng.integers(0, 2**28, 500).astype("i4")
+    rows = np.flatnonzero(rng.random(500) < 0.7)
+    tree = boosting.Tree()
+    for _ in range(3):
+        tree.add(0.0, 0.0)
+    tree.feature[0], tree.bin[0], tree.left[0], tree.right[0] = 0, sizes[0] // 2, 1, 2
+    ask = boosting._Ask(0, 0, Boosting(), 0, [], boosting._arrays(tree), 1, np.array([2, 1]), np.arange(len(sizes)))
+    drawn = [(packs.cells(bins), {0: (rows, g[rows], h[rows], 0.0)})]
+    (_, (_, sums)), = boosting._count([ask], starts, packs)(drawn)
+    want = np.zeros_like(sums)
+    for i in rows:
+        node = 1 if bins[0, i] > sizes[0] // 2 else 0  # node 2 is asked first
+        for f in range(len(sizes)):
+            want[:, 1 - node, starts[f] + bins[f, i]] += g[i], h[i], 1
+    assert (sums == want).all()
+    assert packs.count == 2
