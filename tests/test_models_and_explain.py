@@ -207,3 +207,22 @@ def test_batches_are_explained_together_to_the_same_attributions(monkeypatch):
     for conditions in (explain.HELD_CONDITIONS, 2):
         monkeypatch.setattr(explain, "HELD_CONDITIONS", conditions)
         assert np.array_equal(explain._tree_attribution(x, leaves), plain)
+
+
+@pytest.mark.parametrize("name", ["final_report", "model_invariants", "metadata_rows"])
+def test_folds_and_all_rows_are_fitted_in_one_series(name, spark, sf, pipe, monkeypatch):
+    import __spark_entry__ as entry
+    from stayline.plans.training import Pipeline
+
+    class Fitting(Exception):
+        pass
+
+    def begun(sets, *more):
+        raise Fitting(*sorted(sets))
+
+    own = Pipeline(pipe.customers, {**pipe.settings, "trees": 3})  # nothing of it is stored yet
+    monkeypatch.setattr(entry, "_pipe", lambda s, d: own)
+    monkeypatch.setattr(models, "fit_sets", begun)
+    with pytest.raises(Fitting) as found:
+        entry._own_queries()[name](spark, sf)
+    assert found.value.args == ("0", "1", "2", "3", "4", "all")
